@@ -47,3 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sessionsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Checkpoint ``df`` into the session's checkpoint folder (eager).
+
+    Used for an intermediate read by several consumers: the upstream scan
+    and aggregate run once, and lineage is cut, so a lost executor costs a
+    re-read of the checkpoint, not a recomputation from the raw files.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

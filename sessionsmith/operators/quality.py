@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.expressions import parse_time
 
 COUNTERS = [
     "n_rows",
@@ -36,7 +37,6 @@ def file_rules(grain: DataFrame) -> DataFrame:
     positive session (the "filtered data" check)."""
     return grain.groupBy(S.FILE).agg(
         *[F.sum(c).alias(c) for c in COUNTERS],
-        F.min("bad_time").alias("bad_time"),
         F.sum(F.when(F.col("session") > 0, F.col("n_tracked")).otherwise(0)).alias("n_tracked_pos"),
     )
 
@@ -58,7 +58,28 @@ def _fmt(template: str, **parts: Column) -> Column:
     return F.concat(F.lit(head), value, F.lit(tail))
 
 
-def validate_logs(grain: DataFrame, footers: DataFrame | None = None) -> DataFrame:
+def bad_time_examples(logs: DataFrame, rules: DataFrame) -> DataFrame:
+    """The smallest badly formatted time text of each file that has one.
+
+    Kept out of the grain aggregate on purpose: a string ``min`` buffer
+    turns a HashAggregate into a SortAggregate, which would sort every raw
+    row. Here only rows of files already known to hold a bad time are
+    aggregated (a semi join with that short file list).
+    """
+    bad_files = rules.where(F.col("n_bad_time") > 0).select(S.FILE)
+    bad = F.col("time").isNotNull() & parse_time("time").isNull()
+    return (
+        logs.select(S.FILE, "time")
+        .join(bad_files, S.FILE, "left_semi")
+        .where(bad)
+        .groupBy(S.FILE)
+        .agg(F.min("time").alias("bad_time"))
+    )
+
+
+def validate_logs(
+    grain: DataFrame, footers: DataFrame | None = None, logs: DataFrame | None = None
+) -> DataFrame:
     """Status per file: ``(source_file, status, reason)``.
 
     Rules in order: empty, missing columns, nulls in critical columns, type,
@@ -69,6 +90,10 @@ def validate_logs(grain: DataFrame, footers: DataFrame | None = None) -> DataFra
     cannot be read are ``failed``.
     """
     r = file_rules(grain)
+    if logs is not None:
+        r = r.join(bad_time_examples(logs, r), S.FILE, "left")
+    else:
+        r = r.withColumn("bad_time", F.concat(F.col("n_bad_time").cast("string"), F.lit(" rows")))
     if footers is not None:
         r = footers.join(r, S.FILE, "left")
     else:

@@ -78,9 +78,6 @@ def session_grain(logs: DataFrame) -> DataFrame:
             _count(F.col(S.KEY).isNull()).alias("n_null_account"),
             _count(F.col("logid").isNull()).alias("n_null_logid"),
             _count(F.col("time").isNotNull() & F.col("timestamp").isNull()).alias("n_bad_time"),
-            F.min(F.when(F.col("time").isNotNull() & F.col("timestamp").isNull(), F.col("time"))).alias(
-                "bad_time"
-            ),
             _count(F.col("session") < 0).alias("n_neg_session"),
             _count(F.col("actor_level") < 0).alias("n_neg_level"),
             _count(F.col("actor_level") > S.MAX_LEVEL).alias("n_high_level"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..context import materialize
 from ..operators import features as feat
 from ..operators import ml
 from ..operators import quality as q
@@ -29,7 +30,9 @@ def _pre(spark: SparkSession, sf: str):
 
 
 def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    return feat.feature_snapshots(_pre(spark, sf).sessions)
+    """The offline feature store: daily snapshots, written once (checkpoint)
+    and then read by the point-in-time join, lookups and training."""
+    return materialize(feat.feature_snapshots(_pre(spark, sf).sessions))
 
 
 def q_scan_logs(spark, sf):
@@ -76,7 +79,8 @@ def q_session_starts(spark, sf):
 
 def q_asof_forward(spark, sf):
     logs = read_log_view(spark, sf)
-    return sess.attach_orphans(sess.orphan_events(logs), sess.session_starts(sess.session_grain(logs)))
+    starts = materialize(sess.session_starts(sess.session_grain(logs)))
+    return sess.attach_orphans(sess.orphan_events(logs), starts)
 
 
 def q_session_event_counts(spark, sf):

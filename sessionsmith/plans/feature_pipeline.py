@@ -19,6 +19,7 @@ from .. import schema as S
 from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
+from ..context import materialize
 from ..sources.logs import footer_listing, scan_logs
 
 
@@ -30,10 +31,19 @@ class Preprocessed:
     players: DataFrame
 
 
-def preprocess(logs: DataFrame, footers: DataFrame | None = None) -> Preprocessed:
-    """Compose validation, quarantine, orphan handling and aggregation."""
+def preprocess(
+    logs: DataFrame, footers: DataFrame | None = None, materialize_grain: bool = True
+) -> Preprocessed:
+    """Compose validation, quarantine, orphan handling and aggregation.
+
+    The grain is read by three consumers (file status, session starts,
+    session rows). ``materialize_grain`` checkpoints it so the raw scan and
+    its aggregate run once; without it each consumer rescans the raw logs.
+    """
     grain = sess.session_grain(logs)
-    status = q.validate_logs(grain, footers)
+    if materialize_grain:
+        grain = materialize(grain)
+    status = q.validate_logs(grain, footers, logs)
     sessions = q.quarantine(sess.sessions_from_logs(logs, grain), status)
     players = feat.player_features(sessions)
     return Preprocessed(grain, status, sessions, players)
