@@ -12,8 +12,10 @@ by a superset of the account):
    session is cut down to one row per map task.
 2. ``session_starts``: first tracked time per (file, account, session),
    taken from the grain, not from the raw rows.
-3. ``attach_orphans``: delete-character events without a session (a
-   selective pushed-down scan) get the next session start by an as-of join.
+3. ``attach_orphans``: delete-character events without a session get the
+   next session start by an as-of join. They come out of the same grain
+   aggregate (an extra key ``orphan_time`` that is null for every other
+   row), so the raw logs are scanned exactly once.
 4. ``session_table``: grain rows with a positive session and the attached
    orphans, combined per key; the boundary wins over tracked min/max.
 """
@@ -35,6 +37,7 @@ from ..functions.expressions import (
 from .asof import asof_join
 
 GRAIN_KEYS = [S.FILE, S.KEY, "session", "session_date"]
+ORPHAN_TIME = "orphan_time"
 
 
 def filter_codes(df: DataFrame) -> DataFrame:
@@ -64,13 +67,17 @@ def session_grain(logs: DataFrame) -> DataFrame:
 
     ``logs`` is a raw T1 frame with ``source_file``. Rows with a null,
     zero or negative session form their own groups; they feed the file
-    validation and are dropped from the session table.
+    validation and are dropped from the session table. Orphan events are
+    grouped by their exact time (``orphan_time``), one grain row per
+    distinct time, so the as-of step can read them from the grain.
     """
     tracked = F.coalesce(tracked_code(), F.lit(False))
     lvl_ok = tracked & F.col("actor_level").isNotNull() & F.col("timestamp").isNotNull()
+    orphan = tracked & (F.col("session") == 0) & (F.col("logid") == S.ORPHAN_CODE)
     return (
         parse_times(logs)
-        .groupBy(*GRAIN_KEYS)
+        .withColumn(ORPHAN_TIME, F.when(orphan, F.col("timestamp")))
+        .groupBy(*GRAIN_KEYS, ORPHAN_TIME)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             _count(F.col("time").isNull()).alias("n_null_time"),
@@ -111,19 +118,17 @@ def session_starts(grain: DataFrame) -> DataFrame:
     )
 
 
-def orphan_events(logs: DataFrame) -> DataFrame:
-    """Tracked delete-character events that carry no session (``session = 0``).
-
-    The whole predicate is pushed to the Parquet scan, so this second read
-    touches only row groups that can hold such events.
-    """
-    code = S.ORPHAN_CODE
-    detail = dict(S.DETAIL_CODES)[code]
-    return parse_times(
-        logs.where(
-            (F.col("session") == 0) & (F.col("logid") == code) & (F.col("log_detail_code") == detail)
-        )
-    ).select(S.FILE, S.KEY, "timestamp", "session_date", "logid", "actor_level")
+def orphan_events(grain: DataFrame) -> DataFrame:
+    """Tracked delete-character events that carry no session, one row per
+    (file, account, exact time) with their count ``n`` and level key."""
+    return grain.where(F.col(ORPHAN_TIME).isNotNull()).select(
+        S.FILE,
+        S.KEY,
+        F.col(ORPHAN_TIME).alias("timestamp"),
+        "session_date",
+        F.col("n_tracked").alias("n_events"),
+        "level_key",
+    )
 
 
 def attach_orphans(orphans: DataFrame, starts: DataFrame) -> DataFrame:
@@ -147,19 +152,22 @@ def attach_orphans(orphans: DataFrame, starts: DataFrame) -> DataFrame:
 
 def orphan_grain(attached: DataFrame) -> DataFrame:
     """Attached orphans rolled up to the grain keys (same columns as tracked rows)."""
-    lvl_ok = F.col("actor_level").isNotNull()
+    orphan_label = dict(S.EVENT_CODES)[S.ORPHAN_CODE]
     return attached.groupBy(*GRAIN_KEYS).agg(
-        F.count(F.lit(1)).alias("n_tracked"),
+        F.sum("n_events").alias("n_tracked"),
         F.min("timestamp").alias("f_first"),
         F.max("timestamp").alias("f_last"),
-        *_event_counts(F.lit(True)),
-        F.max(F.when(lvl_ok, level_key("timestamp", "actor_level"))).alias("level_key"),
+        *[
+            (F.sum("n_events") if label == orphan_label else F.lit(0).cast("bigint")).alias(label)
+            for label in S.EVENT_LABELS
+        ],
+        F.max("level_key").alias("level_key"),
     )
 
 
 def session_table(grain: DataFrame, attached_grain: DataFrame | None) -> DataFrame:
     """T4 session rows: positive sessions with at least one tracked event."""
-    parts = grain.where(F.col("session") > 0).select(
+    parts = grain.where((F.col("session") > 0) & F.col(ORPHAN_TIME).isNull()).select(
         *GRAIN_KEYS, "b_first", "b_last", "n_tracked", "f_first", "f_last", *S.EVENT_LABELS, "level_key"
     )
     if attached_grain is not None:
@@ -192,8 +200,7 @@ def session_table(grain: DataFrame, attached_grain: DataFrame | None) -> DataFra
     )
 
 
-def sessions_from_logs(logs: DataFrame, grain: DataFrame | None = None) -> DataFrame:
-    """Whole session step for a raw log frame (no quarantine)."""
-    grain = session_grain(logs) if grain is None else grain
-    attached = attach_orphans(orphan_events(logs), session_starts(grain))
+def sessions_from_grain(grain: DataFrame) -> DataFrame:
+    """Whole session step from the grain (no quarantine)."""
+    attached = attach_orphans(orphan_events(grain), session_starts(grain))
     return session_table(grain, orphan_grain(attached))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..context import materialize
+from ..functions.expressions import level_from_key
 from ..operators import features as feat
 from ..operators import ml
 from ..operators import quality as q
@@ -78,9 +79,9 @@ def q_session_starts(spark, sf):
 
 
 def q_asof_forward(spark, sf):
-    logs = read_log_view(spark, sf)
-    starts = materialize(sess.session_starts(sess.session_grain(logs)))
-    return sess.attach_orphans(sess.orphan_events(logs), starts)
+    grain = _pre(spark, sf).grain
+    attached = sess.attach_orphans(sess.orphan_events(grain), sess.session_starts(grain))
+    return attached.withColumn("actor_level", level_from_key("level_key")).drop("level_key")
 
 
 def q_session_event_counts(spark, sf):

@@ -44,7 +44,7 @@ def preprocess(
     if materialize_grain:
         grain = materialize(grain)
     status = q.validate_logs(grain, footers, logs)
-    sessions = q.quarantine(sess.sessions_from_logs(logs, grain), status)
+    sessions = q.quarantine(sess.sessions_from_grain(grain), status)
     players = feat.player_features(sessions)
     return Preprocessed(grain, status, sessions, players)
 

@@ -310,8 +310,10 @@ def oracle_sql() -> dict[str, str]:
         "session_boundaries": f"{w} SELECT source_file, actor_account_id, session, session_date,"
         " first_ts, last_ts, actor_account_id AS actor_id FROM bounds",
         "session_starts": f"{w} SELECT source_file, actor_account_id, session, start_ts FROM starts",
-        "asof_forward": f"{w} SELECT source_file, actor_account_id, timestamp, session_date, logid,"
-        " actor_level, session FROM attached",
+        "asof_forward": f"{w} SELECT source_file, actor_account_id, timestamp, session_date,"
+        " count(*) AS n_events, CAST(max(epoch_us(timestamp) * 128 + actor_level) % 128 AS INTEGER) AS actor_level,"
+        " session"
+        " FROM attached GROUP BY source_file, actor_account_id, timestamp, session_date, session",
         "session_event_counts": f"{w} SELECT source_file, actor_account_id, session, session_date, "
         + ", ".join(S.EVENT_LABELS)
         + " FROM sessions",
