@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.expressions import days_between, one_if_zero, round_even, sample_std
@@ -17,26 +18,51 @@ from ..functions.expressions import days_between, one_if_zero, round_even, sampl
 DUR = "session_duration_minutes"
 
 
-def _partials(ts: str = "last_timestamp") -> list[Column]:
-    d = F.col(DUR).cast("bigint")
+def _is_integral(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def _partials(df: DataFrame, ts: str = "last_timestamp") -> list[Column]:
+    """Algebraic partial aggregates of a session frame.
+
+    Integer durations (the pipeline's) keep sums exact: BIGINT sum and a
+    DECIMAL(38,0) sum of squares. Fractional durations use doubles.
+    Event columns absent from the input count as 0.
+    """
+    if _is_integral(df, DUR):
+        d = F.col(DUR).cast("bigint")
+        sq = d.cast("decimal(38,0)") * d.cast("decimal(38,0)")
+    else:
+        d = F.col(DUR).cast("double")
+        sq = d * d
     return [
         F.min(ts).alias("__first"),
         F.max(ts).alias("__last"),
         F.count(ts).alias("__n"),
         F.count(d).alias("__nd"),
         F.sum(d).alias("__s"),
-        F.sum(d.cast("decimal(38,0)") * d.cast("decimal(38,0)")).alias("__ss"),
+        F.sum(sq).alias("__ss"),
         F.min(d).alias("__min"),
         F.max(d).alias("__max"),
-        *[F.sum(F.col(c).cast("bigint")).alias(f"__e_{c}") for c in S.EVENT_LABELS],
+        *[
+            (F.sum(F.col(c).cast("bigint")) if c in df.columns else F.lit(0).cast("bigint")).alias(f"__e_{c}")
+            for c in S.EVENT_LABELS
+        ],
     ]
 
 
-def _finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
+def _std(integral: bool) -> Column:
+    if integral:
+        return sample_std("__nd", "__s", "__ss")
+    n, s, ss = F.col("__nd"), F.col("__s"), F.col("__ss")
+    var = (ss - s * s / n) / (n - F.lit(1))
+    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+
+
+def _finish(df: DataFrame, integral: bool = True) -> DataFrame:
     """Partials -> the 31 T5 columns (same rounding order as the source pipeline)."""
     lifespan = round_even(days_between("__first", "__last"), 2)
     return df.select(
-        *(extra or []),
         F.col(S.KEY),
         F.col("__last").alias(S.EVENT_TIME),
         F.col("__n").alias("total_sessions"),
@@ -44,9 +70,7 @@ def _finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
         round_even(F.col("__n") / one_if_zero(lifespan), 2).alias("average_sessions_per_day"),
         F.col("__s").alias("total_playtime_minutes"),
         round_even(F.col("__s") / F.col("__nd"), 2).alias("avg_session_duration_minutes"),
-        round_even(F.coalesce(sample_std("__nd", "__s", "__ss"), F.lit(0.0)), 2).alias(
-            "std_session_duration_minutes"
-        ),
+        round_even(F.coalesce(_std(integral), F.lit(0.0)), 2).alias("std_session_duration_minutes"),
         F.col("__min").alias("min_session_duration_minutes"),
         F.col("__max").alias("max_session_duration_minutes"),
         *[
@@ -64,7 +88,8 @@ def player_features(sessions: DataFrame, as_of=None) -> DataFrame:
     """
     if as_of is not None:
         sessions = sessions.where(F.col("last_timestamp") <= F.lit(as_of).cast("timestamp_ntz"))
-    return _finish(sessions.groupBy(S.KEY).agg(*_partials()))
+    integral = _is_integral(sessions, DUR)
+    return _finish(sessions.groupBy(S.KEY).agg(*_partials(sessions)), integral)
 
 
 def feature_snapshots(sessions: DataFrame) -> DataFrame:
@@ -76,7 +101,7 @@ def feature_snapshots(sessions: DataFrame) -> DataFrame:
     day, so its size is bounded by the time span, not by the row count.
     """
     day = F.to_date("last_timestamp").alias("__day")
-    daily = sessions.groupBy(S.KEY, day).agg(*_partials())
+    daily = sessions.groupBy(S.KEY, day).agg(*_partials(sessions))
     w = Window.partitionBy(S.KEY).orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
     run = daily.select(
         S.KEY,
@@ -90,7 +115,7 @@ def feature_snapshots(sessions: DataFrame) -> DataFrame:
         F.min("__min").over(w).alias("__min"),
         F.max("__max").over(w).alias("__max"),
     )
-    return _finish(run)
+    return _finish(run, _is_integral(sessions, DUR))
 
 
 def feature_time_range(features: DataFrame, ts: str = S.EVENT_TIME) -> DataFrame:
@@ -153,7 +178,7 @@ def lookup_features(
     ids: DataFrame,
     online: DataFrame,
     key: str = S.KEY,
-    broadcast_max_rows: int = 2_000_000,
+    broadcast_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Features for a list of ids; an unknown id gives a row of nulls.
 
