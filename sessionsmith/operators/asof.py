@@ -94,19 +94,22 @@ def asof_join(
     lt = left.withColumn(_T, F.col(left_time)).withColumn(_B, _bucket(F.col(left_time), bucket_seconds))
 
     # Carry: for each (key, bucket) holding left rows, the nearest right row
-    # in a strictly later (forward) / earlier (backward) bucket.
-    per_bucket = r.groupBy(*by, _B).agg((F.min if fwd else F.max)(_R).alias(_R))
-    left_buckets = lt.where(F.col(_T).isNotNull()).select(*by, _B).distinct()
-    ub = left_buckets.withColumn(_SIDE, F.lit(0)).unionByName(
-        per_bucket.withColumn(_SIDE, F.lit(1)), allowMissingColumns=True
+    # in a strictly later (forward) / earlier (backward) bucket. One
+    # aggregate gives, per (key, bucket), "has left rows" and the best right
+    # row; a window over those bucket rows carries the best one across.
+    rtype = r.schema[_R].dataType
+    per_bucket = (
+        lt.where(F.col(_T).isNotNull())
+        .select(*by, _B, F.lit(1).alias(_SIDE), F.lit(None).cast(rtype).alias(_R))
+        .unionByName(r.select(*by, _B, F.lit(0).alias(_SIDE), _R))
+        .groupBy(*by, _B)
+        .agg(F.max(_SIDE).alias(_SIDE), (F.min if fwd else F.max)(_R).alias(_R))
     )
     border = F.col(_B).desc() if fwd else F.col(_B).asc()
-    wb = Window.partitionBy(*by).orderBy(border, F.col(_SIDE).asc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    wb = Window.partitionBy(*by).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        ub.withColumn(_M, F.last(_R, ignorenulls=True).over(wb))
-        .where((F.col(_SIDE) == 0) & F.col(_M).isNotNull())
+        per_bucket.withColumn(_M, F.last(_R, ignorenulls=True).over(wb))
+        .where((F.col(_SIDE) == 1) & F.col(_M).isNotNull())
         .select(*by, _B, F.col(f"{_M}.t").alias(_T), F.col(_M).alias(_R))
     )
 
