@@ -86,6 +86,8 @@ def player_features(sessions: DataFrame, as_of=None) -> DataFrame:
     ``first_session_timestamp`` -- the earliest session END -- starts the
     lifespan; sessions per day divide by the rounded lifespan (0 -> 1).
     """
+    if not isinstance(sessions.schema["last_timestamp"].dataType, T.TimestampNTZType):
+        sessions = sessions.withColumn("last_timestamp", F.col("last_timestamp").cast("timestamp_ntz"))
     if as_of is not None:
         sessions = sessions.where(F.col("last_timestamp") <= F.lit(as_of).cast("timestamp_ntz"))
     integral = _is_integral(sessions, DUR)

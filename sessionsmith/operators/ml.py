@@ -248,6 +248,15 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str] = S.FEA
     return out.select(*cols, p.alias("p")).withColumn("prediction", threshold("p"))
 
 
+def iteration_log_loss(model: PipelineModel, df: DataFrame, label: str = S.LABEL) -> list[float]:
+    """Binary log loss after each boosting round on ``df``, computed by Spark
+    ML in one distributed pass. Spark's logistic loss is
+    ``2 log(1 + exp(-2yF))``, twice the binary log loss, hence the halving."""
+    gbt = model.stages[-1]
+    assembled = model.stages[0].transform(fill_features(df).withColumn(label, F.col(label).cast("double")))
+    return [x / 2.0 for x in gbt.evaluateEachIteration(assembled)]
+
+
 def topk_importance(model: PipelineModel, features: Sequence[str] = S.FEATURES, k: int = 10) -> DataFrame:
     """The k largest feature importances, descending."""
     spark = SparkSession.getActiveSession()

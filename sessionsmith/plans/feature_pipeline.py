@@ -61,7 +61,7 @@ def run_feature_pipeline(
     footers = q.footer_facts(footer_listing(spark, raw_dir))
     out = preprocess(logs, footers)
     if write_sessions:
-        write_parquet(out.sessions, write_sessions)
+        write_parquet(out.sessions.orderBy("last_timestamp"), write_sessions)
     write_parquet(out.players.orderBy(F.col(S.EVENT_TIME).desc()), output_path)
     return spark.read.parquet(output_path)
 
@@ -82,3 +82,10 @@ def check_feature_contract(df: DataFrame, declared=S.ACCOUNT_FEATURES) -> list[s
     extra = [n for n in have if n not in {f.name for f in declared.fields}]
     problems += [f"unexpected column {n}" for n in extra]
     return problems
+
+
+def materialize_online(features: DataFrame, output_path: str) -> DataFrame:
+    """Write the online view: the newest feature row per account inside the
+    table's time range widened by one day (``latest_in_range``)."""
+    write_parquet(feat.latest_in_range(features), output_path)
+    return features.sparkSession.read.parquet(output_path)

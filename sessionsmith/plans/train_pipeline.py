@@ -84,8 +84,12 @@ def train_model_pipeline(
     metrics_wide = ml.evaluate(test)
     stats = ml.label_stats(data)
     sizes = split.groupBy().pivot("split", ["train", "val", "test"]).count()
-    long = _to_long(metrics_wide, "test_").unionByName(_to_long(stats, "")).unionByName(
-        _to_long(sizes, "samples_")
+    rounds = _round_metrics(spark, model, fit_rows)
+    long = (
+        _to_long(metrics_wide, "test_")
+        .unionByName(_to_long(stats, ""))
+        .unionByName(_to_long(sizes, "samples_"))
+        .unionByName(rounds)
     )
     metrics = long.select(F.lit(run_id).alias("run_id"), "metric", "value")
     if model_path:
@@ -93,6 +97,22 @@ def train_model_pipeline(
     return TrainResult(model, metrics, ml.topk_importance(model), split)
 
 
+def _round_metrics(spark: SparkSession, model: PipelineModel, fit_rows: DataFrame) -> DataFrame:
+    """Trees kept, and train / valid log loss at the best round (the round
+    with the lowest validation loss)."""
+    train_loss = ml.iteration_log_loss(model, fit_rows.where(~F.col("is_val")))
+    valid_rows = fit_rows.where(F.col("is_val"))
+    valid_loss = ml.iteration_log_loss(model, valid_rows) if not valid_rows.isEmpty() else train_loss
+    best = min(range(len(valid_loss)), key=valid_loss.__getitem__)
+    rows = [
+        ("num_trees", float(len(valid_loss))),
+        ("best_iteration", float(best + 1)),
+        ("train_binary_logloss", float(train_loss[best])),
+        ("valid_binary_logloss", float(valid_loss[best])),
+    ]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
 def _to_long(one_row: DataFrame, prefix: str) -> DataFrame:
     cols = one_row.columns
     pairs = ", ".join(f"'{prefix}{c}', CAST(`{c}` AS DOUBLE)" for c in cols)

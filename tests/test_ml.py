@@ -111,9 +111,32 @@ def test_train_pipeline_and_scoring(spark, frame, tmp_path):
     metrics = {r["metric"]: r["value"] for r in res.metrics.collect()}
     assert metrics["samples_test"] == 20 and metrics["total"] == 100
     assert 0 <= metrics["test_f1"] <= 1
+    assert 1 <= metrics["best_iteration"] <= metrics["num_trees"] <= 5
+    assert metrics["train_binary_logloss"] > 0
     ids = spark.createDataFrame([("p1",), ("unknown",)], f"{S.KEY} string")
     scores = score_accounts(ml.load_model(str(tmp_path / "m")), ids, snaps)
     assert scores.columns == [S.KEY, "churn_prediction", "churn_probability"]
     got = {r[S.KEY]: r for r in scores.collect()}
     assert set(got) == {"p1", "unknown"}
     assert 0 <= got["unknown"]["churn_probability"] <= 1
+
+
+def test_scan_labels_csv_and_parquet(spark, tmp_path):
+    from sessionsmith.sources.labels import scan_labels
+
+    csv = tmp_path / "labels.csv"
+    csv.write_text("actor_account_id,event_timestamp,churn_yn\n17,2024-01-05 10:00:00,1\n18,2024-01-06T11:30:00.5,0\n")
+    got = scan_labels(spark, str(csv))
+    assert dict(got.dtypes) == {S.KEY: "string", S.LABEL_TIME: "timestamp_ntz", S.LABEL: "int"}
+    rows = sorted(got.collect())
+    assert rows[0][S.LABEL_TIME] == dt.datetime(2024, 1, 5, 10) and rows[1][S.LABEL_TIME].microsecond == 500000
+    pq = str(tmp_path / "labels.parquet")
+    got.write.parquet(pq)
+    assert sorted(scan_labels(spark, pq).collect()) == rows
+
+
+def test_iteration_log_loss_is_binary_log_loss(frame):
+    model = ml.train_gbt(frame, params={"maxIter": 4, "minInstancesPerNode": 1})
+    per_round = ml.iteration_log_loss(model, frame)
+    direct = ml.log_loss(ml.predict(model, frame)).collect()[0]["log_loss"]
+    assert per_round[-1] == pytest.approx(direct, rel=1e-6)
