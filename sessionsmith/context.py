@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,11 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Checkpoint ``df`` into the session's checkpoint folder (eager).
+    """Write ``df`` as a Parquet table under the session's checkpoint folder
+    and return a reader over it.
 
     Used for an intermediate read by several consumers: the upstream scan
-    and aggregate run once, and lineage is cut, so a lost executor costs a
-    re-read of the checkpoint, not a recomputation from the raw files.
+    and aggregate run once, lineage is cut (a lost executor costs a re-read,
+    not a recomputation from the raw files), and, unlike an RDD checkpoint,
+    each consumer reads only the columns it needs from compressed files.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -38,6 +38,9 @@ from .asof import asof_join
 
 GRAIN_KEYS = [S.FILE, S.KEY, "session", "session_date"]
 ORPHAN_TIME = "orphan_time"
+# Hourly buckets: an as-of window group is one account's orphans and
+# session starts within one hour, however hot the account is.
+ORPHAN_BUCKET_SECONDS = 3600
 
 
 def filter_codes(df: DataFrame) -> DataFrame:
@@ -147,6 +150,7 @@ def attach_orphans(orphans: DataFrame, starts: DataFrame) -> DataFrame:
         how="inner",
         tie=["matched_session"],
         payload=["matched_session"],
+        bucket_seconds=ORPHAN_BUCKET_SECONDS,
     ).withColumnRenamed("matched_session", "session")
 
 

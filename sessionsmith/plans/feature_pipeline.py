@@ -37,8 +37,9 @@ def preprocess(
     """Compose validation, quarantine, orphan handling and aggregation.
 
     The grain is read by three consumers (file status, session starts,
-    session rows). ``materialize_grain`` checkpoints it so the raw scan and
-    its aggregate run once; without it each consumer rescans the raw logs.
+    session rows). ``materialize_grain`` writes it once to the checkpoint
+    folder so the raw scan and its aggregate run once; without it each
+    consumer rescans the raw logs.
     """
     grain = sess.session_grain(logs)
     if materialize_grain:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..context import materialize
 from ..operators import ml
 from ..operators.asof import asof_join
 from ..operators.features import lookup_features
@@ -71,13 +72,14 @@ def train_model_pipeline(
     """Training set -> stratified split -> boosted trees -> test metrics.
 
     The metrics table is long: ``(run_id, metric, value)``, with label
-    statistics, split sizes, test accuracy / precision / recall / F1 and
-    test log loss. The split is checkpointed, so training iterations and
-    the evaluation reread one fixed split instead of its lineage.
+    statistics, split sizes, test accuracy / precision / recall / F1, test
+    log loss, trees kept and train / valid log loss at the best round. The
+    split is materialized, so training iterations and the evaluation reread
+    one fixed split instead of its lineage.
     """
     run_id = run_id or uuid.uuid4().hex
     data = training_set(labels, snapshots)
-    split = ml.stratified_split(data, seed=seed, test_size=test_size, val_size=val_size).checkpoint()
+    split = materialize(ml.stratified_split(data, seed=seed, test_size=test_size, val_size=val_size))
     fit_rows = split.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
     model = ml.train_gbt(fit_rows, params=params, seed=seed)
     test = ml.predict(model, split.where(F.col("split") == "test"))

@@ -73,6 +73,8 @@ GBT_DEFAULTS = {
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.9",
     "minInstancesPerNode": 20,
+    # stop at the first round that does not lower the validation loss
+    "validationTol": 0.0,
 }
 TEST_SIZE = 0.2
 VAL_SIZE = 0.1
