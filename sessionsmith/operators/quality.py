@@ -162,44 +162,53 @@ def file_status_counts(status: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 _NUMERIC_ORDER = ["session", "logid", "actor_level"]
-
-
-def _footer_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    import pyarrow.types as pat
-    from pyarrow import fs as pafs
-
-    required = S.RAW_COLUMNS
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            row = {S.FILE: path, "footer_rows": None, "missing": None, "not_numeric": None, "read_error": None}
-            try:
-                filesystem, inner = pafs.FileSystem.from_uri(path)
-                with filesystem.open_input_file(inner) as fh:
-                    meta = pq.ParquetFile(fh)
-                    arrow_schema = meta.schema_arrow
-                    row["footer_rows"] = meta.metadata.num_rows
-                names = set(arrow_schema.names)
-                missing = [c for c in required if c not in names]
-                if missing:
-                    row["missing"] = "[" + ", ".join(f"'{c}'" for c in missing) + "]"
-                for c in _NUMERIC_ORDER:
-                    if c in names:
-                        t = arrow_schema.field(c).type
-                        if not (pat.is_integer(t) or pat.is_floating(t) or pat.is_null(t)):
-                            row["not_numeric"] = c
-                            break
-            except Exception as exc:  # unreadable file: reported, not raised
-                row["read_error"] = f"{type(exc).__name__}: {exc}"[:500]
-            out.append(row)
-        yield pd.DataFrame(out, columns=[S.FILE, "footer_rows", "missing", "not_numeric", "read_error"])
+_FOOTER_SCHEMA = f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string"
+
+
+def _footer_reader(required: list[str], numeric: list[str], file_col: str):
+    """Build the per-partition footer reader as a closure over plain values,
+    so it is shipped to the Python workers by value and needs no import of
+    this package there."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+        import pyarrow.parquet as pq
+        import pyarrow.types as pat
+        from pyarrow import fs as pafs
+
+        cols = [file_col, "footer_rows", "missing", "not_numeric", "read_error"]
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                row = dict.fromkeys(cols)
+                row[file_col] = path
+                try:
+                    filesystem, inner = pafs.FileSystem.from_uri(path)
+                    with filesystem.open_input_file(inner) as fh:
+                        meta = pq.ParquetFile(fh)
+                        arrow_schema = meta.schema_arrow
+                        row["footer_rows"] = meta.metadata.num_rows
+                    names = set(arrow_schema.names)
+                    missing = [c for c in required if c not in names]
+                    if missing:
+                        row["missing"] = "[" + ", ".join(f"'{c}'" for c in missing) + "]"
+                    for c in numeric:
+                        if c in names:
+                            t = arrow_schema.field(c).type
+                            if not (pat.is_integer(t) or pat.is_floating(t) or pat.is_null(t)):
+                                row["not_numeric"] = c
+                                break
+                except Exception as exc:  # unreadable file: reported, not raised
+                    row["read_error"] = f"{type(exc).__name__}: {exc}"[:500]
+                out.append(row)
+            yield pd.DataFrame(out, columns=cols)
+
+    return read
 
 
 def footer_facts(listing: DataFrame) -> DataFrame:
     """Per listed file: row count, missing columns, first non-numeric column
-    and read error, from the Parquet footer only (no data pages)."""
-    return listing.select("path").mapInPandas(
-        _footer_batch,
-        schema=f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string",
-    )
+    and read error, from the Parquet footer only (no data pages). Each task
+    reads the footers of its share of the listing."""
+    reader = _footer_reader(list(S.RAW_COLUMNS), list(_NUMERIC_ORDER), S.FILE)
+    return listing.select("path").mapInPandas(reader, schema=_FOOTER_SCHEMA)
