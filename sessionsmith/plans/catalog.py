@@ -40,6 +40,17 @@ def q_scan_logs(spark, sf):
     return read_log_view(spark, sf)
 
 
+def q_file_lineage(spark, sf):
+    """Per input file: rows, accounts and time span carried with the file identity."""
+    logs = sess.parse_times(read_log_view(spark, sf))
+    return logs.groupBy(S.FILE).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct(S.KEY).alias("n_accounts"),
+        F.min("timestamp").alias("first_time"),
+        F.max("timestamp").alias("last_time"),
+    )
+
+
 def q_filter_codes(spark, sf):
     return sess.filter_codes(read_log_view(spark, sf))
 
@@ -125,6 +136,11 @@ def q_label_join(spark, sf):
     return tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf))
 
 
+def q_project_entity(spark, sf):
+    """The entity frame of the point-in-time join: key and time of each label."""
+    return read_label_view(spark, sf).select(S.KEY, S.LABEL_TIME)
+
+
 def q_label_distribution(spark, sf):
     return ml.label_distribution(read_label_view(spark, sf))
 
@@ -176,8 +192,9 @@ def q_row_counts(spark, sf):
     return out
 
 
-def _trained(spark, sf):
-    return tp.train_model_pipeline(spark, read_label_view(spark, sf), _snapshots(spark, sf), run_id="bench")
+def _trained(spark, sf, snapshots=None):
+    snapshots = _snapshots(spark, sf) if snapshots is None else snapshots
+    return tp.train_model_pipeline(spark, read_label_view(spark, sf), snapshots, run_id="bench")
 
 
 def q_train_gbt(spark, sf):
@@ -189,14 +206,18 @@ def q_topk_importance(spark, sf):
 
 
 def q_batch_score(spark, sf):
-    res = _trained(spark, sf)
-    online = feat.latest_per_key(_snapshots(spark, sf))
+    """Train on the snapshot store, then score every labelled account from
+    the online view (newest snapshot per account)."""
+    snapshots = _snapshots(spark, sf)
+    res = _trained(spark, sf, snapshots)
+    online = feat.latest_per_key(snapshots)
     ids = read_label_view(spark, sf).select(S.KEY).distinct()
     return tp.score_accounts(res.model, ids, online)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_logs": q_scan_logs,
+    "file_lineage": q_file_lineage,
     "filter_codes": q_filter_codes,
     "parse_times": q_parse_times,
     "validate_logs": q_validate_logs,
@@ -216,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pit_join": q_pit_join,
     "pit_join_ttl": q_pit_join_ttl,
     "label_join": q_label_join,
+    "project_entity": q_project_entity,
     "label_distribution": q_label_distribution,
     "label_stats": q_label_stats,
     "project_features": q_project_features,

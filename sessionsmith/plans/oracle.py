@@ -300,6 +300,8 @@ def oracle_sql() -> dict[str, str]:
     w = WITH
     return {
         "scan_logs": f"{w} SELECT {_LOG_COLS} FROM logs",
+        "file_lineage": f"{w} SELECT source_file, count(*) AS n_rows, count(DISTINCT actor_account_id) AS n_accounts,"
+        " min(timestamp) AS first_time, max(timestamp) AS last_time FROM parsed GROUP BY source_file",
         "filter_codes": f"{w} SELECT {_LOG_COLS} FROM parsed WHERE tracked",
         "parse_times": f"{w} SELECT {_LOG_COLS}, timestamp, session_date FROM parsed",
         "validate_logs": f"{w} SELECT source_file, status, reason FROM status",
@@ -332,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
         "pit_join": f"{w} SELECT * FROM pit",
         "pit_join_ttl": f"{w} SELECT * FROM pit_ttl",
         "label_join": f"{w} SELECT * FROM pit WHERE churn_yn IS NOT NULL",
+        "project_entity": f"{w} SELECT actor_account_id, event_timestamp FROM labels_v",
         "label_distribution": f"{w} SELECT churn_yn, count(*) AS n FROM labels_v GROUP BY churn_yn",
         "label_stats": f"{w} SELECT count(*) AS total, count(*) FILTER (WHERE churn_yn IS NULL) AS null_labels,"
         " avg(CAST(churn_yn AS DOUBLE)) AS churn_rate, CAST(sum(churn_yn) AS BIGINT) AS num_churned,"
