@@ -31,8 +31,33 @@ def tracked_code(logid: str | Column = "logid", detail: str | Column = "log_deta
 
 
 def parse_time(c: str | Column = "time") -> Column:
-    """Parse ``yyyy-MM-dd HH:mm:ss.SSS`` text to TIMESTAMP_NTZ; bad text gives null."""
-    return F.try_to_timestamp(col(c), F.lit(S.TIME_FORMAT)).cast("timestamp_ntz")
+    """Parse ``yyyy-MM-dd HH:mm:ss.SSS`` text to TIMESTAMP_NTZ; bad text gives null.
+
+    The text must match the format exactly (the validation regex) and be a
+    real date and time (``try_cast``). Neither step looks at the session
+    time zone, so a wall-clock time inside a daylight-saving gap is kept.
+    """
+    c = col(c)
+    return F.when(c.rlike(S.TIME_REGEX), c.try_cast("timestamp_ntz"))
+
+
+def format_time(ts: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> ``yyyy-MM-dd HH:mm:ss.SSS`` text (milliseconds
+    truncated), built from the naive fields, independent of the time zone."""
+    ts = col(ts)
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    ms = F.floor(F.pmod(epoch_micros(ts), F.lit(1_000_000)) / 1000)
+    return F.concat(
+        F.to_date(ts).cast("string"),
+        F.lit(" "),
+        two(F.hour(ts)),
+        F.lit(":"),
+        two(F.minute(ts)),
+        F.lit(":"),
+        two(F.second(ts)),
+        F.lit("."),
+        F.lpad(ms.cast("string"), 3, "0"),
+    )
 
 
 def micros_between(start: str | Column, end: str | Column) -> Column:

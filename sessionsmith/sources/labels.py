@@ -13,8 +13,9 @@ def scan_labels(spark: SparkSession, path: str) -> DataFrame:
 
     The reader follows the extension: ``.csv`` with a header, anything else
     as Parquet. The key becomes a string; the time is parsed leniently
-    (ISO-like text, with or without fraction) to TIMESTAMP_NTZ; text that
-    does not parse becomes null instead of failing the job.
+    (ISO-like text, with or without fraction) to TIMESTAMP_NTZ without the
+    session time zone; text that does not parse becomes null instead of
+    failing the job.
     """
     if path.lower().rstrip("/").endswith(".csv"):
         raw = (
@@ -26,7 +27,7 @@ def scan_labels(spark: SparkSession, path: str) -> DataFrame:
         raw = spark.read.parquet(path)
     t = raw.schema[S.LABEL_TIME].dataType.simpleString()
     ts = F.col(S.LABEL_TIME)
-    ts = F.try_to_timestamp(ts).cast("timestamp_ntz") if t == "string" else ts.cast("timestamp_ntz")
+    ts = ts.try_cast("timestamp_ntz") if t == "string" else ts.cast("timestamp_ntz")
     return raw.select(
         F.col(S.KEY).cast("string").alias(S.KEY),
         ts.alias(S.LABEL_TIME),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schema as S
+from ..functions.expressions import format_time
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -83,10 +84,10 @@ def log_view(events: DataFrame) -> DataFrame:
     clean_session = F.when(
         (logid == S.ORPHAN_CODE) | (F.pmod(eid, F.lit(11)) == 0), F.lit(0)
     ).otherwise(F.lit(1) + F.floor((F.dayofmonth(ts) - 1) / 3))
-    time_text = F.date_format(ts, S.TIME_FORMAT)
+    time_text = format_time(ts)
     return events.select(
         F.when((kind == 3) & hit, F.lit(None).cast("string"))
-        .when((kind == 4) & hit, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .when((kind == 4) & hit, F.substring(time_text, 1, 19))
         .otherwise(time_text)
         .alias("time"),
         logid.cast("int").alias("logid"),
