@@ -30,6 +30,15 @@ def tracked_code(logid: str | Column = "logid", detail: str | Column = "log_deta
     return pred
 
 
+def code_match(code: int, logid: str | Column = "logid", detail: str | Column = "log_detail_code") -> Column:
+    """True for rows of one tracked code (with its detail code where one is
+    required). A match implies ``tracked_code``, so per-code counts need
+    not re-check the whole code list."""
+    m = col(logid) == code
+    det = dict(S.DETAIL_CODES).get(code)
+    return m & (col(detail) == det) if det is not None else m
+
+
 def parse_time(c: str | Column = "time") -> Column:
     """Parse ``yyyy-MM-dd HH:mm:ss.SSS`` text to TIMESTAMP_NTZ; bad text gives null.
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expressions import (
+    code_match,
     level_from_key,
     level_key,
     minutes_between,
@@ -56,13 +57,13 @@ def parse_times(df: DataFrame, time: str = "time") -> DataFrame:
 
 
 def _count(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
+    """Rows where ``cond`` is true (null counts as false)."""
+    return F.count_if(cond)
 
 
-def _event_counts(is_tracked: Column) -> list[Column]:
-    return [
-        _count(is_tracked & (F.col("logid") == code)).alias(label) for code, label in S.EVENT_CODES
-    ]
+def _event_counts() -> list[Column]:
+    """One count per tracked code, in dictionary order."""
+    return [_count(code_match(code)).alias(label) for code, label in S.EVENT_CODES]
 
 
 def session_grain(logs: DataFrame) -> DataFrame:
@@ -74,9 +75,9 @@ def session_grain(logs: DataFrame) -> DataFrame:
     grouped by their exact time (``orphan_time``), one grain row per
     distinct time, so the as-of step can read them from the grain.
     """
-    tracked = F.coalesce(tracked_code(), F.lit(False))
+    tracked = tracked_code()
     lvl_ok = tracked & F.col("actor_level").isNotNull() & F.col("timestamp").isNotNull()
-    orphan = tracked & (F.col("session") == 0) & (F.col("logid") == S.ORPHAN_CODE)
+    orphan = code_match(S.ORPHAN_CODE) & (F.col("session") == 0)
     return (
         parse_times(logs)
         .withColumn(ORPHAN_TIME, F.when(orphan, F.col("timestamp")))
@@ -96,7 +97,7 @@ def session_grain(logs: DataFrame) -> DataFrame:
             F.max("timestamp").alias("b_last"),
             F.min(F.when(tracked, F.col("timestamp"))).alias("f_first"),
             F.max(F.when(tracked, F.col("timestamp"))).alias("f_last"),
-            *_event_counts(tracked),
+            *_event_counts(),
             F.max(F.when(lvl_ok, level_key("timestamp", "actor_level"))).alias("level_key"),
         )
     )
