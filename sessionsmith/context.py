@@ -62,4 +62,28 @@ def materialize(df):
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.setdefault(id(spark), []).append(path)
     return spark.read.parquet(path)
+
+
+_MATERIALIZED: dict[int, list[str]] = {}
+
+
+def materialized_mark(spark: SparkSession) -> int:
+    """A mark for ``release_materialized``: tables written after it are released."""
+    return len(_MATERIALIZED.get(id(spark), []))
+
+
+def release_materialized(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables ``materialize`` wrote for this session after the
+    mark ``since`` (call once nothing reads them any more, e.g. after a
+    pipeline wrote its output). Returns how many were removed."""
+    paths = _MATERIALIZED.get(id(spark), [])
+    drop, keep = paths[since:], paths[:since]
+    _MATERIALIZED[id(spark)] = keep
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in drop:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(drop)

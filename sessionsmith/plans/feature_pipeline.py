@@ -19,7 +19,7 @@ from .. import schema as S
 from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
-from ..context import materialize
+from ..context import materialize, materialized_mark, release_materialized
 from ..sources.logs import footer_listing, scan_logs
 
 
@@ -59,11 +59,13 @@ def run_feature_pipeline(
     logs = scan_logs(spark, raw_dir)
     if logs is None:
         return None
+    mark = materialized_mark(spark)
     footers = q.footer_facts(footer_listing(spark, raw_dir))
     out = preprocess(logs, footers)
     if write_sessions:
         write_parquet(out.sessions.orderBy("last_timestamp"), write_sessions)
     write_parquet(out.players.orderBy(F.col(S.EVENT_TIME).desc()), output_path)
+    release_materialized(spark, mark)
     return spark.read.parquet(output_path)
 
 

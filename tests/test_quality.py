@@ -188,3 +188,19 @@ def test_quarantine_keeps_only_valid_files(spark):
     status = q.validate_logs(sess.session_grain(logs), None, logs)
     kept = q.quarantine(logs, status).select(S.FILE).distinct().collect()
     assert [r[0] for r in kept] == ["good"]
+
+
+def test_pipeline_releases_intermediate_tables(spark, tmp_path):
+    import os
+
+    from sessionsmith.context import ensure_checkpoint_dir
+
+    raw = tmp_path / "raw3"
+    raw.mkdir()
+    _write(str(raw / "g.parquet"), _good_table())
+    tables = os.path.join(ensure_checkpoint_dir(spark), "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    out = run_feature_pipeline(spark, str(raw), str(tmp_path / "feat"))
+    assert out.count() == 1
+    after = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    assert after <= before
