@@ -58,27 +58,33 @@ def _fmt(template: str, **parts: Column) -> Column:
     return F.concat(F.lit(head), value, F.lit(tail))
 
 
-def bad_time_examples(logs: DataFrame, rules: DataFrame) -> DataFrame:
+def bad_time_examples(logs: DataFrame, rules: DataFrame, read_files=None) -> DataFrame:
     """The smallest badly formatted time text of each file that has one.
 
     Kept out of the grain aggregate on purpose: a string ``min`` buffer
     turns a HashAggregate into a SortAggregate, which would sort every raw
-    row. Here only rows of files already known to hold a bad time are
-    aggregated (a semi join with that short file list).
+    row. With ``read_files`` (paths -> raw frame, as ``scan_logs`` gives),
+    only the files already known to hold a bad time are read again; the
+    short list of their paths comes from the (small) per-file rules.
+    Without it, rows are semi-joined with that file list.
     """
     bad_files = rules.where(F.col("n_bad_time") > 0).select(S.FILE)
     bad = F.col("time").isNotNull() & parse_time("time").isNull()
-    return (
-        logs.select(S.FILE, "time")
-        .join(bad_files, S.FILE, "left_semi")
-        .where(bad)
-        .groupBy(S.FILE)
-        .agg(F.min("time").alias("bad_time"))
-    )
+    if read_files is not None:
+        paths = [r[0] for r in bad_files.collect()]
+        if not paths:
+            return rules.sparkSession.createDataFrame([], f"{S.FILE} string, bad_time string")
+        rows = read_files(paths).select(S.FILE, "time")
+    else:
+        rows = logs.select(S.FILE, "time").join(bad_files, S.FILE, "left_semi")
+    return rows.where(bad).groupBy(S.FILE).agg(F.min("time").alias("bad_time"))
 
 
 def validate_logs(
-    grain: DataFrame, footers: DataFrame | None = None, logs: DataFrame | None = None
+    grain: DataFrame,
+    footers: DataFrame | None = None,
+    logs: DataFrame | None = None,
+    read_files=None,
 ) -> DataFrame:
     """Status per file: ``(source_file, status, reason)``.
 
@@ -91,7 +97,7 @@ def validate_logs(
     """
     r = file_rules(grain)
     if logs is not None:
-        r = r.join(bad_time_examples(logs, r), S.FILE, "left")
+        r = r.join(bad_time_examples(logs, r, read_files), S.FILE, "left")
     else:
         r = r.withColumn("bad_time", F.concat(F.col("n_bad_time").cast("string"), F.lit(" rows")))
     if footers is not None:

@@ -4,7 +4,7 @@ Plan (all keys carry the file and the account, so a file is processed on
 its own like the source pipeline does, and every later aggregate is keyed
 by a superset of the account):
 
-1. ``session_grain``: ONE ``groupBy(file, account, session, date)`` over
+1. ``session_grain``: ONE ``groupBy(file, account, session, date, orphan_time)`` over
    every raw row. It holds the validation counters of the rows, the
    session boundary (min/max time of all rows), min/max time of tracked
    rows, the 21 event counts and the latest level. All of it is algebraic,

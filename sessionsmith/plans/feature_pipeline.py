@@ -20,7 +20,7 @@ from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
 from ..context import materialize, materialized_mark, release_materialized
-from ..sources.logs import footer_listing, scan_logs
+from ..sources.logs import footer_listing, read_log_files, scan_logs
 
 
 @dataclass
@@ -32,7 +32,10 @@ class Preprocessed:
 
 
 def preprocess(
-    logs: DataFrame, footers: DataFrame | None = None, materialize_grain: bool = True
+    logs: DataFrame,
+    footers: DataFrame | None = None,
+    materialize_grain: bool = True,
+    read_files=None,
 ) -> Preprocessed:
     """Compose validation, quarantine, orphan handling and aggregation.
 
@@ -44,7 +47,7 @@ def preprocess(
     grain = sess.session_grain(logs)
     if materialize_grain:
         grain = materialize(grain)
-    status = q.validate_logs(grain, footers, logs)
+    status = q.validate_logs(grain, footers, logs, read_files)
     sessions = q.quarantine(sess.sessions_from_grain(grain), status)
     players = feat.player_features(sessions)
     return Preprocessed(grain, status, sessions, players)
@@ -61,7 +64,7 @@ def run_feature_pipeline(
         return None
     mark = materialized_mark(spark)
     footers = q.footer_facts(footer_listing(spark, raw_dir))
-    out = preprocess(logs, footers)
+    out = preprocess(logs, footers, read_files=lambda paths: read_log_files(spark, paths))
     if write_sessions:
         write_parquet(out.sessions.orderBy("last_timestamp"), write_sessions)
     write_parquet(out.players.orderBy(F.col(S.EVENT_TIME).desc()), output_path)

@@ -57,6 +57,17 @@ def scan_logs(
     return df
 
 
+def read_log_files(spark: SparkSession, paths: list[str], schema=S.RAW_LOG) -> DataFrame:
+    """The given raw log files only, with the same schema and lineage column
+    as ``scan_logs``."""
+    return (
+        spark.read.schema(schema)
+        .option("ignoreCorruptFiles", "true")
+        .parquet(*paths)
+        .withColumn(S.FILE, F.col("_metadata.file_path"))
+    )
+
+
 # --------------------------------------------------------------------------
 # A game-log view over the driver's ``events`` table
 # --------------------------------------------------------------------------

@@ -204,3 +204,22 @@ def test_pipeline_releases_intermediate_tables(spark, tmp_path):
     assert out.count() == 1
     after = set(os.listdir(tables)) if os.path.isdir(tables) else set()
     assert after <= before
+
+
+def test_bad_time_example_from_bad_files_only(spark, tmp_path):
+    raw = tmp_path / "raw4"
+    raw.mkdir()
+    _write(str(raw / "ok.parquet"), _good_table(account="a"))
+    bad = _good_table(account="b").set_column(0, "time", pa.array(["2024-01-15 10:30:45", "2024-01-15 10:31:45.1", "x"]))
+    _write(str(raw / "bad.parquet"), bad)
+    from sessionsmith.sources.logs import read_log_files
+
+    logs = scan_logs(spark, str(raw))
+    footers = q.footer_facts(footer_listing(spark, str(raw)))
+    pre = preprocess(logs, footers, read_files=lambda paths: read_log_files(spark, paths))
+    st = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in pre.status.collect()}
+    assert st["ok.parquet"] == ""
+    assert st["bad.parquet"] == "Invalid timestamp format: 2024-01-15 10:30:45"
+    # same answer through the semi-join path
+    st2 = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in preprocess(logs, footers).status.collect()}
+    assert st2 == st
