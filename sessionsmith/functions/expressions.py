@@ -133,3 +133,58 @@ def level_key(ts: str | Column, level: str | Column) -> Column:
 
 def level_from_key(key: str | Column) -> Column:
     return F.pmod(col(key), F.lit(128)).cast("int")
+
+
+# --------------------------------------------------------------------------
+# The same formulas as SQL expression text, for wide projections and
+# aggregates: one JVM call per column instead of one per expression node.
+# Each performs the same operations in the same order as its Column twin.
+# --------------------------------------------------------------------------
+
+
+def sql_micros_between(start: str, end: str) -> str:
+    return f"timestampdiff(MICROSECOND, {start}, {end})"
+
+
+def sql_days_between(start: str, end: str) -> str:
+    return f"({sql_micros_between(start, end)} / 1000000D / 86400D)"
+
+
+def sql_minutes_between(start: str, end: str) -> str:
+    return f"({sql_micros_between(start, end)} / 1000000D / 60D)"
+
+
+def sql_round_even(x: str, digits: int = 0) -> str:
+    if digits == 0:
+        return f"rint({x})"
+    scale = f"{float(10**digits)!r}D"
+    return f"(rint(({x}) * {scale}) / {scale})"
+
+
+def sql_sample_std(n: str, s: str, ss: str) -> str:
+    """``sample_std`` as SQL: exact DECIMAL(38,0) numerator and denominator."""
+    dn, ds, dss = (f"CAST({x} AS DECIMAL(38,0))" for x in (n, s, ss))
+    num = f"CAST({dn} * {dss} - {ds} * {ds} AS DOUBLE)"
+    den = f"CAST({dn} * ({dn} - 1) AS DOUBLE)"
+    return f"CASE WHEN {dn} > 1 THEN sqrt({num} / {den}) END"
+
+
+def sql_text(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_code_match(code: int, logid: str = "logid", detail: str = "log_detail_code") -> str:
+    det = dict(S.DETAIL_CODES).get(code)
+    return f"({logid} = {code} AND {detail} = {det})" if det is not None else f"({logid} = {code})"
+
+
+def sql_tracked_code(logid: str = "logid", detail: str = "log_detail_code") -> str:
+    simple = ", ".join(str(c) for c in S.SIMPLE_LOGIDS)
+    pairs = " OR ".join(sql_code_match(c, logid, detail) for c, _ in S.DETAIL_CODES)
+    return f"({logid} IN ({simple}) OR {pairs})"
+
+
+def sql_level_key(ts: str, level: str) -> str:
+    epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    return f"({sql_micros_between(epoch, ts)} * 128 + CAST({level} AS BIGINT))"

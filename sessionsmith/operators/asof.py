@@ -20,16 +20,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import epoch_micros, micros_between
+from ..functions.expressions import sql_micros_between
 
 _T, _SIDE, _B, _R, _M = "__asof_t", "__asof_side", "__asof_b", "__asof_r", "__asof_m"
 
 
-def _bucket(t: Column, bucket_seconds: int) -> Column:
-    return F.floor(epoch_micros(t) / F.lit(bucket_seconds * 1_000_000))
+def _bucket_sql(t: str, bucket_seconds: int) -> str:
+    """Time bucket number: whole ``bucket_seconds`` since 1970-01-01."""
+    micros = sql_micros_between("TIMESTAMP_NTZ '1970-01-01 00:00:00'", t)
+    return f"floor({micros} / {bucket_seconds * 1_000_000})"
 
 
 def asof_join(
@@ -75,70 +77,67 @@ def asof_join(
     fwd = direction == "forward"
 
     # Right rows as one orderable struct: (time, tie..., payload...).
-    rstruct = F.struct(
-        F.col(right_time).alias("t"),
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate(tie)],
-        *[F.col(c).alias(f"p{i}") for i, c in enumerate(payload)],
-    )
+    fields = [f"'t', {right_time}"]
+    fields += [f"'k{i}', {c}" for i, c in enumerate(tie)]
+    fields += [f"'p{i}', {c}" for i, c in enumerate(payload)]
     # SQL equality: a null key or time never matches.
-    r_ok = F.col(right_time).isNotNull()
-    for c in by:
-        r_ok = r_ok & F.col(c).isNotNull()
-    r = right.where(r_ok).select(
+    r_ok = " AND ".join(f"{c} IS NOT NULL" for c in [right_time, *by])
+    r = right.where(r_ok).selectExpr(
         *by,
-        F.col(right_time).alias(_T),
-        _bucket(F.col(right_time), bucket_seconds).alias(_B),
-        rstruct.alias(_R),
+        f"{right_time} AS {_T}",
+        f"{_bucket_sql(right_time, bucket_seconds)} AS {_B}",
+        f"named_struct({', '.join(fields)}) AS {_R}",
     )
     left_cols = left.columns
-    lt = left.withColumn(_T, F.col(left_time)).withColumn(_B, _bucket(F.col(left_time), bucket_seconds))
+    lt = left.withColumns(
+        {_T: F.col(left_time), _B: F.expr(_bucket_sql(left_time, bucket_seconds))}
+    )
 
     # Carry: for each (key, bucket) holding left rows, the nearest right row
     # in a strictly later (forward) / earlier (backward) bucket. One
     # aggregate gives, per (key, bucket), "has left rows" and the best right
     # row; a window over those bucket rows carries the best one across.
-    rtype = r.schema[_R].dataType
+    pick = "min" if fwd else "max"
     per_bucket = (
         lt.where(F.col(_T).isNotNull())
-        .select(*by, _B, F.lit(1).alias(_SIDE), F.lit(None).cast(rtype).alias(_R))
-        .unionByName(r.select(*by, _B, F.lit(0).alias(_SIDE), _R))
+        .selectExpr(*by, _B, f"1 AS {_SIDE}")
+        .unionByName(r.selectExpr(*by, _B, f"0 AS {_SIDE}", _R), allowMissingColumns=True)
         .groupBy(*by, _B)
-        .agg(F.max(_SIDE).alias(_SIDE), (F.min if fwd else F.max)(_R).alias(_R))
+        .agg(F.expr(f"max({_SIDE}) AS {_SIDE}"), F.expr(f"{pick}({_R}) AS {_R}"))
     )
-    border = F.col(_B).desc() if fwd else F.col(_B).asc()
-    wb = Window.partitionBy(*by).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    keys = ", ".join(by)
+    bdir = "DESC" if fwd else "ASC"
     carry = (
-        per_bucket.withColumn(_M, F.last(_R, ignorenulls=True).over(wb))
-        .where((F.col(_SIDE) == 1) & F.col(_M).isNotNull())
-        .select(*by, _B, F.col(f"{_M}.t").alias(_T), F.col(_M).alias(_R))
+        per_bucket.selectExpr(
+            *by,
+            _B,
+            _SIDE,
+            f"last({_R}, true) OVER (PARTITION BY {keys} ORDER BY {_B} {bdir} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS {_M}",
+        )
+        .where(f"{_SIDE} = 1 AND {_M} IS NOT NULL")
+        .selectExpr(*by, _B, f"{_M}.t AS {_T}", f"{_M} AS {_R}")
     )
 
     # Main window per (key, bucket): right rows, carry rows and left rows.
+    # Without exact matches, right rows of equal time sort after the left row.
     rights = r.unionByName(carry).withColumn(_SIDE, F.lit(1))
     u = lt.withColumn(_SIDE, F.lit(0)).unionByName(rights, allowMissingColumns=True)
-    side_order = F.col(_SIDE).desc() if allow_exact else F.col(_SIDE).asc()
-    if fwd:
-        order = [F.col(_T).desc(), side_order, F.col(_R).desc()]
-    else:
-        order = [F.col(_T).asc(), side_order, F.col(_R).asc()]
-    # Without exact matches, right rows of equal time sort after the left row.
-    w = Window.partitionBy(*by, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = u.withColumn(_M, F.last(_R, ignorenulls=True).over(w)).where(F.col(_SIDE) == 0)
+    tdir = "DESC" if fwd else "ASC"
+    sdir = "DESC" if allow_exact else "ASC"
+    window = (
+        f"OVER (PARTITION BY {keys}, {_B} ORDER BY {_T} {tdir}, {_SIDE} {sdir}, {_R} {tdir} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+    out = u.withColumn(_M, F.expr(f"last({_R}, true) {window}")).where(F.col(_SIDE) == 0)
     if tolerance_seconds:
-        gap = micros_between(
-            *(
-                (F.col(_T), F.col(f"{_M}.t"))
-                if fwd
-                else (F.col(f"{_M}.t"), F.col(_T))
-            )
-        )
-        out = out.withColumn(
-            _M, F.when(gap <= F.lit(int(tolerance_seconds * 1_000_000)), F.col(_M))
-        )
+        gap = f"timestampdiff(MICROSECOND, {_T}, {_M}.t)" if fwd else f"timestampdiff(MICROSECOND, {_M}.t, {_T})"
+        limit = int(tolerance_seconds * 1_000_000)
+        out = out.withColumn(_M, F.expr(f"CASE WHEN {gap} <= {limit} THEN {_M} END"))
     if how == "inner":
         out = out.where(F.col(_M).isNotNull())
-    sel = [F.col(c) for c in left_cols]
+    sel = [f"`{c}`" for c in left_cols]
     if matched_time:
-        sel.append(F.col(f"{_M}.t").alias(matched_time))
-    sel += [F.col(f"{_M}.p{i}").alias(c) for i, c in enumerate(payload)]
-    return out.select(*sel)
+        sel.append(f"{_M}.t AS `{matched_time}`")
+    sel += [f"{_M}.p{i} AS `{c}`" for i, c in enumerate(payload)]
+    return out.selectExpr(*sel)

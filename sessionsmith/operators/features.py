@@ -8,12 +8,12 @@ count / sum / sum of squares in exact decimal arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions.expressions import days_between, one_if_zero, round_even, sample_std
+from ..functions.expressions import sql_days_between, sql_round_even, sql_sample_std
 
 DUR = "session_duration_minutes"
 
@@ -27,57 +27,59 @@ def _partials(df: DataFrame, ts: str = "last_timestamp") -> list[Column]:
 
     Integer durations (the pipeline's) keep sums exact: BIGINT sum and a
     DECIMAL(38,0) sum of squares. Fractional durations use doubles.
-    Event columns absent from the input count as 0.
+    Event columns absent from the input count as 0. Written as SQL
+    expression strings: one JVM call per column instead of one per node.
     """
     if _is_integral(df, DUR):
-        d = F.col(DUR).cast("bigint")
-        sq = d.cast("decimal(38,0)") * d.cast("decimal(38,0)")
+        d = f"CAST({DUR} AS BIGINT)"
+        sq = f"CAST({d} AS DECIMAL(38,0)) * CAST({d} AS DECIMAL(38,0))"
     else:
-        d = F.col(DUR).cast("double")
-        sq = d * d
-    return [
-        F.min(ts).alias("__first"),
-        F.max(ts).alias("__last"),
-        F.count(ts).alias("__n"),
-        F.count(d).alias("__nd"),
-        F.sum(d).alias("__s"),
-        F.sum(sq).alias("__ss"),
-        F.min(d).alias("__min"),
-        F.max(d).alias("__max"),
-        *[
-            (F.sum(F.col(c).cast("bigint")) if c in df.columns else F.lit(0).cast("bigint")).alias(f"__e_{c}")
-            for c in S.EVENT_LABELS
-        ],
+        d = f"CAST({DUR} AS DOUBLE)"
+        sq = f"{d} * {d}"
+    have = set(df.columns)
+    exprs = [
+        f"min({ts}) AS __first",
+        f"max({ts}) AS __last",
+        f"count({ts}) AS __n",
+        f"count({d}) AS __nd",
+        f"sum({d}) AS __s",
+        f"sum({sq}) AS __ss",
+        f"min({d}) AS __min",
+        f"max({d}) AS __max",
+    ] + [
+        (f"sum(CAST({c} AS BIGINT))" if c in have else "CAST(0 AS BIGINT)") + f" AS __e_{c}"
+        for c in S.EVENT_LABELS
     ]
+    return [F.expr(e) for e in exprs]
 
 
-def _std(integral: bool) -> Column:
+def _finish_exprs(integral: bool = True) -> list[str]:
+    """Partials -> the 31 T5 columns (same rounding order as the source
+    pipeline: lifespan rounded first, then divided into the session count)."""
+    life = f"{sql_round_even(sql_days_between('__first', '__last'), 2)}"
     if integral:
-        return sample_std("__nd", "__s", "__ss")
-    n, s, ss = F.col("__nd"), F.col("__s"), F.col("__ss")
-    var = (ss - s * s / n) / (n - F.lit(1))
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+        std = sql_sample_std("__nd", "__s", "__ss")
+    else:
+        std = "CASE WHEN __nd > 1 THEN sqrt(greatest((__ss - __s * __s / __nd) / (__nd - 1), 0.0D)) END"
+    return [
+        S.KEY,
+        f"__last AS {S.EVENT_TIME}",
+        "__n AS total_sessions",
+        f"{life} AS account_lifespan_days",
+        f"{sql_round_even(f'__n / CASE WHEN {life} = 0 THEN 1.0D ELSE {life} END', 2)} AS average_sessions_per_day",
+        "__s AS total_playtime_minutes",
+        f"{sql_round_even('__s / __nd', 2)} AS avg_session_duration_minutes",
+        f"{sql_round_even(f'coalesce({std}, 0.0D)', 2)} AS std_session_duration_minutes",
+        "__min AS min_session_duration_minutes",
+        "__max AS max_session_duration_minutes",
+    ] + [
+        f"CAST(coalesce(__e_{c}, 0) AS BIGINT) AS {name}"
+        for c, name in zip(S.EVENT_LABELS, S.ACCOUNT_EVENT_LABELS)
+    ]
 
 
 def _finish(df: DataFrame, integral: bool = True) -> DataFrame:
-    """Partials -> the 31 T5 columns (same rounding order as the source pipeline)."""
-    lifespan = round_even(days_between("__first", "__last"), 2)
-    return df.select(
-        F.col(S.KEY),
-        F.col("__last").alias(S.EVENT_TIME),
-        F.col("__n").alias("total_sessions"),
-        lifespan.alias("account_lifespan_days"),
-        round_even(F.col("__n") / one_if_zero(lifespan), 2).alias("average_sessions_per_day"),
-        F.col("__s").alias("total_playtime_minutes"),
-        round_even(F.col("__s") / F.col("__nd"), 2).alias("avg_session_duration_minutes"),
-        round_even(F.coalesce(_std(integral), F.lit(0.0)), 2).alias("std_session_duration_minutes"),
-        F.col("__min").alias("min_session_duration_minutes"),
-        F.col("__max").alias("max_session_duration_minutes"),
-        *[
-            F.coalesce(F.col(f"__e_{c}"), F.lit(0)).cast("bigint").alias(name)
-            for c, name in zip(S.EVENT_LABELS, S.ACCOUNT_EVENT_LABELS)
-        ],
-    )
+    return df.selectExpr(*_finish_exprs(integral))
 
 
 def player_features(sessions: DataFrame, as_of=None) -> DataFrame:
@@ -102,20 +104,17 @@ def feature_snapshots(sessions: DataFrame) -> DataFrame:
     per account sums the day rows. The window holds one row per active
     day, so its size is bounded by the time span, not by the row count.
     """
-    day = F.to_date("last_timestamp").alias("__day")
-    daily = sessions.groupBy(S.KEY, day).agg(*_partials(sessions))
-    w = Window.partitionBy(S.KEY).orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
-    run = daily.select(
+    daily = sessions.groupBy(S.KEY, F.to_date("last_timestamp").alias("__day")).agg(*_partials(sessions))
+    w = f"OVER (PARTITION BY {S.KEY} ORDER BY __day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    sums = ["__n", "__nd", "__s", "__ss", *[f"__e_{e}" for e in S.EVENT_LABELS]]
+    run = daily.selectExpr(
         S.KEY,
         "__day",
-        F.min("__first").over(w).alias("__first"),
-        F.max("__last").over(w).alias("__last"),
-        *[
-            F.sum(c).over(w).alias(c)
-            for c in ["__n", "__nd", "__s", "__ss", *[f"__e_{e}" for e in S.EVENT_LABELS]]
-        ],
-        F.min("__min").over(w).alias("__min"),
-        F.max("__max").over(w).alias("__max"),
+        f"min(__first) {w} AS __first",
+        f"max(__last) {w} AS __last",
+        *[f"sum({c}) {w} AS {c}" for c in sums],
+        f"min(__min) {w} AS __min",
+        f"max(__max) {w} AS __max",
     )
     return _finish(run, _is_integral(sessions, DUR))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.expressions import parse_time
+from ..functions.expressions import parse_time, sql_text
 
 COUNTERS = [
     "n_rows",
@@ -41,23 +41,6 @@ def file_rules(grain: DataFrame) -> DataFrame:
     )
 
 
-def _null_list() -> Column:
-    names = {
-        "time": "n_null_time",
-        "session": "n_null_session",
-        "actor_account_id": "n_null_account",
-        "logid": "n_null_logid",
-    }
-    items = [F.when(F.col(names[c]) > 0, F.lit(f"'{c}'")) for c in S.CRITICAL_COLUMNS]
-    return F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
-
-
-def _fmt(template: str, **parts: Column) -> Column:
-    (name, value), = parts.items()
-    head, tail = template.split("{" + name + "}")
-    return F.concat(F.lit(head), value, F.lit(tail))
-
-
 def bad_time_examples(logs: DataFrame, rules: DataFrame, read_files=None) -> DataFrame:
     """The smallest badly formatted time text of each file that has one.
 
@@ -99,53 +82,46 @@ def validate_logs(
     if logs is not None:
         r = r.join(bad_time_examples(logs, r, read_files), S.FILE, "left")
     else:
-        r = r.withColumn("bad_time", F.concat(F.col("n_bad_time").cast("string"), F.lit(" rows")))
+        r = r.withColumn("bad_time", F.expr("concat(CAST(n_bad_time AS STRING), ' rows')"))
     if footers is not None:
         r = footers.join(r, S.FILE, "left")
     else:
-        r = r.withColumn("read_error", F.lit(None).cast("string")).withColumn(
-            "missing", F.lit(None).cast("string")
-        ).withColumn("not_numeric", F.lit(None).cast("string")).withColumn(
-            "footer_rows", F.col("n_rows")
-        )
-    any_null = (
-        (F.col("n_null_time") > 0)
-        | (F.col("n_null_session") > 0)
-        | (F.col("n_null_account") > 0)
-        | (F.col("n_null_logid") > 0)
-    )
-    def sr(status, reason) -> Column:
-        status = F.lit(status) if isinstance(status, str) else status
-        return F.struct(status.alias("status"), reason.alias("reason"))
-
-    skipped = "skipped"
-    status_reason = (
-        F.when(F.col("read_error").isNotNull(), sr("failed", F.col("read_error")))
-        .when(
-            F.coalesce(F.col("footer_rows"), F.col("n_rows"), F.lit(0)) == 0,
-            sr(skipped, F.lit(S.MSG_EMPTY)),
-        )
-        .when(
-            F.col("missing").isNotNull(),
-            sr(skipped, _fmt(S.MSG_MISSING, cols=F.col("missing"))),
-        )
-        .when(any_null, sr(skipped, _fmt(S.MSG_NULLS, cols=_null_list())))
-        .when(
-            F.col("not_numeric").isNotNull(),
-            sr(skipped, _fmt(S.MSG_NOT_NUMERIC, col=F.col("not_numeric"))),
-        )
-        .when(F.col("n_bad_time") > 0, sr(skipped, _fmt(S.MSG_TIME_FORMAT, value=F.col("bad_time"))))
-        .when(F.col("n_neg_session") > 0, sr(skipped, F.lit(S.MSG_NEG_SESSION)))
-        .when(F.col("n_neg_level") > 0, sr(skipped, F.lit(S.MSG_NEG_LEVEL)))
-        .when(F.col("n_high_level") > 0, sr(skipped, F.lit(S.MSG_HIGH_LEVEL)))
-        .when(F.col("n_tracked_pos") == 0, sr(skipped, F.lit(S.MSG_NO_SESSIONS)))
-        .otherwise(sr("success", F.lit("")))
-    )
-    return r.select(
-        S.FILE,
-        status_reason.getField("status").alias("status"),
-        status_reason.getField("reason").alias("reason"),
-    )
+        none = F.lit(None).cast("string")
+        r = r.withColumns({"read_error": none, "missing": none, "not_numeric": none, "footer_rows": F.col("n_rows")})
+    return r.selectExpr(S.FILE, f"{_STATUS} AS status", f"{_REASON} AS reason")
+
+
+def _template(template: str, value: str) -> str:
+    """``'head' || value || 'tail'`` for a message with one ``{...}`` slot."""
+    head, tail = template.split("{", 1)[0], template.split("}", 1)[1]
+    return f"concat({sql_text(head)}, {value}, {sql_text(tail)})"
+
+
+_NULL_COUNTS = {
+    "time": "n_null_time",
+    "session": "n_null_session",
+    "actor_account_id": "n_null_account",
+    "logid": "n_null_logid",
+}
+_NULL_LIST = "concat('[', concat_ws(', ', {}), ']')".format(
+    ", ".join(f"CASE WHEN {_NULL_COUNTS[c]} > 0 THEN {sql_text(repr(c))} END" for c in S.CRITICAL_COLUMNS)
+)
+# The rules in order; the first that holds gives the reason ('' = valid).
+_REASON = f"""CASE
+  WHEN read_error IS NOT NULL THEN read_error
+  WHEN coalesce(footer_rows, n_rows, 0) = 0 THEN {sql_text(S.MSG_EMPTY)}
+  WHEN missing IS NOT NULL THEN {_template(S.MSG_MISSING, "missing")}
+  WHEN n_null_time > 0 OR n_null_session > 0 OR n_null_account > 0 OR n_null_logid > 0
+    THEN {_template(S.MSG_NULLS, _NULL_LIST)}
+  WHEN not_numeric IS NOT NULL THEN {_template(S.MSG_NOT_NUMERIC, "not_numeric")}
+  WHEN n_bad_time > 0 THEN {_template(S.MSG_TIME_FORMAT, "bad_time")}
+  WHEN n_neg_session > 0 THEN {sql_text(S.MSG_NEG_SESSION)}
+  WHEN n_neg_level > 0 THEN {sql_text(S.MSG_NEG_LEVEL)}
+  WHEN n_high_level > 0 THEN {sql_text(S.MSG_HIGH_LEVEL)}
+  WHEN n_tracked_pos = 0 THEN {sql_text(S.MSG_NO_SESSIONS)}
+  ELSE '' END"""
+_STATUS = f"""CASE WHEN read_error IS NOT NULL THEN 'failed'
+  WHEN ({_REASON}) = '' THEN 'success' ELSE 'skipped' END"""
 
 
 def quarantine(df: DataFrame, status: DataFrame) -> DataFrame:

@@ -22,17 +22,17 @@ by a superset of the account):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expressions import (
-    code_match,
-    level_from_key,
-    level_key,
-    minutes_between,
     parse_time,
-    round_even,
+    sql_code_match,
+    sql_level_key,
+    sql_minutes_between,
+    sql_round_even,
+    sql_tracked_code,
     tracked_code,
 )
 from .asof import asof_join
@@ -51,19 +51,13 @@ def filter_codes(df: DataFrame) -> DataFrame:
 
 def parse_times(df: DataFrame, time: str = "time") -> DataFrame:
     """Add ``timestamp`` (TIMESTAMP_NTZ) and ``session_date`` (DATE)."""
-    return df.withColumn("timestamp", parse_time(time)).withColumn(
-        "session_date", F.to_date(F.col("timestamp"))
-    )
-
+    ts = parse_time(time)
+    return df.withColumns({"timestamp": ts, "session_date": F.to_date(ts)})
 
-def _count(cond: Column) -> Column:
-    """Rows where ``cond`` is true (null counts as false)."""
-    return F.count_if(cond)
 
-
-def _event_counts() -> list[Column]:
-    """One count per tracked code, in dictionary order."""
-    return [_count(code_match(code)).alias(label) for code, label in S.EVENT_CODES]
+def _event_counts(match: str = "") -> list[str]:
+    """One count per tracked code, in dictionary order (SQL text)."""
+    return [f"count_if({match}{sql_code_match(code)}) AS {label}" for code, label in S.EVENT_CODES]
 
 
 def session_grain(logs: DataFrame) -> DataFrame:
@@ -74,32 +68,39 @@ def session_grain(logs: DataFrame) -> DataFrame:
     validation and are dropped from the session table. Orphan events are
     grouped by their exact time (``orphan_time``), one grain row per
     distinct time, so the as-of step can read them from the grain.
+    The tracked-code predicate is projected once per row (``__tracked``)
+    and reused by every aggregate that needs it.
     """
-    tracked = tracked_code()
-    lvl_ok = tracked & F.col("actor_level").isNotNull() & F.col("timestamp").isNotNull()
-    orphan = code_match(S.ORPHAN_CODE) & (F.col("session") == 0)
+    orphan = f"{sql_code_match(S.ORPHAN_CODE)} AND session = 0"
+    lvl_ok = "__tracked AND actor_level IS NOT NULL AND timestamp IS NOT NULL"
+    aggs = [
+        "count(1) AS n_rows",
+        "count_if(time IS NULL) AS n_null_time",
+        "count_if(session IS NULL) AS n_null_session",
+        f"count_if({S.KEY} IS NULL) AS n_null_account",
+        "count_if(logid IS NULL) AS n_null_logid",
+        "count_if(time IS NOT NULL AND timestamp IS NULL) AS n_bad_time",
+        "count_if(session < 0) AS n_neg_session",
+        "count_if(actor_level < 0) AS n_neg_level",
+        f"count_if(actor_level > {S.MAX_LEVEL}) AS n_high_level",
+        "count_if(__tracked) AS n_tracked",
+        "min(timestamp) AS b_first",
+        "max(timestamp) AS b_last",
+        "min(CASE WHEN __tracked THEN timestamp END) AS f_first",
+        "max(CASE WHEN __tracked THEN timestamp END) AS f_last",
+        *_event_counts(),
+        f"max(CASE WHEN {lvl_ok} THEN {sql_level_key('timestamp', 'actor_level')} END) AS level_key",
+    ]
     return (
         parse_times(logs)
-        .withColumn(ORPHAN_TIME, F.when(orphan, F.col("timestamp")))
-        .groupBy(*GRAIN_KEYS, ORPHAN_TIME)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            _count(F.col("time").isNull()).alias("n_null_time"),
-            _count(F.col("session").isNull()).alias("n_null_session"),
-            _count(F.col(S.KEY).isNull()).alias("n_null_account"),
-            _count(F.col("logid").isNull()).alias("n_null_logid"),
-            _count(F.col("time").isNotNull() & F.col("timestamp").isNull()).alias("n_bad_time"),
-            _count(F.col("session") < 0).alias("n_neg_session"),
-            _count(F.col("actor_level") < 0).alias("n_neg_level"),
-            _count(F.col("actor_level") > S.MAX_LEVEL).alias("n_high_level"),
-            _count(tracked).alias("n_tracked"),
-            F.min("timestamp").alias("b_first"),
-            F.max("timestamp").alias("b_last"),
-            F.min(F.when(tracked, F.col("timestamp"))).alias("f_first"),
-            F.max(F.when(tracked, F.col("timestamp"))).alias("f_last"),
-            *_event_counts(),
-            F.max(F.when(lvl_ok, level_key("timestamp", "actor_level"))).alias("level_key"),
+        .withColumns(
+            {
+                "__tracked": F.expr(f"coalesce({sql_tracked_code()}, false)"),
+                ORPHAN_TIME: F.expr(f"CASE WHEN {orphan} THEN timestamp END"),
+            }
         )
+        .groupBy(*GRAIN_KEYS, ORPHAN_TIME)
+        .agg(*[F.expr(e) for e in aggs])
     )
 
 
@@ -158,16 +159,17 @@ def attach_orphans(orphans: DataFrame, starts: DataFrame) -> DataFrame:
 def orphan_grain(attached: DataFrame) -> DataFrame:
     """Attached orphans rolled up to the grain keys (same columns as tracked rows)."""
     orphan_label = dict(S.EVENT_CODES)[S.ORPHAN_CODE]
-    return attached.groupBy(*GRAIN_KEYS).agg(
-        F.sum("n_events").alias("n_tracked"),
-        F.min("timestamp").alias("f_first"),
-        F.max("timestamp").alias("f_last"),
+    aggs = [
+        "sum(n_events) AS n_tracked",
+        "min(timestamp) AS f_first",
+        "max(timestamp) AS f_last",
         *[
-            (F.sum("n_events") if label == orphan_label else F.lit(0).cast("bigint")).alias(label)
+            ("sum(n_events)" if label == orphan_label else "CAST(0 AS BIGINT)") + f" AS {label}"
             for label in S.EVENT_LABELS
         ],
-        F.max("level_key").alias("level_key"),
-    )
+        "max(level_key) AS level_key",
+    ]
+    return attached.groupBy(*GRAIN_KEYS).agg(*[F.expr(e) for e in aggs])
 
 
 def session_table(grain: DataFrame, attached_grain: DataFrame | None) -> DataFrame:
@@ -177,31 +179,27 @@ def session_table(grain: DataFrame, attached_grain: DataFrame | None) -> DataFra
     )
     if attached_grain is not None:
         parts = parts.unionByName(attached_grain, allowMissingColumns=True)
-    merged = (
-        parts.groupBy(*GRAIN_KEYS)
-        .agg(
-            F.min("b_first").alias("b_first"),
-            F.max("b_last").alias("b_last"),
-            F.sum("n_tracked").alias("n_tracked"),
-            F.min("f_first").alias("f_first"),
-            F.max("f_last").alias("f_last"),
-            *[F.sum(c).alias(c) for c in S.EVENT_LABELS],
-            F.max("level_key").alias("level_key"),
-        )
-        .where(F.col("n_tracked") > 0)
-    )
-    first = F.coalesce(F.col("b_first"), F.col("f_first"))
-    last = F.coalesce(F.col("b_last"), F.col("f_last"))
-    return merged.select(
+    aggs = [
+        "min(b_first) AS b_first",
+        "max(b_last) AS b_last",
+        "sum(n_tracked) AS n_tracked",
+        "min(f_first) AS f_first",
+        "max(f_last) AS f_last",
+        *[f"sum({c}) AS {c}" for c in S.EVENT_LABELS],
+        "max(level_key) AS level_key",
+    ]
+    merged = parts.groupBy(*GRAIN_KEYS).agg(*[F.expr(e) for e in aggs]).where(F.col("n_tracked") > 0)
+    first, last = "coalesce(b_first, f_first)", "coalesce(b_last, f_last)"
+    return merged.selectExpr(
         S.FILE,
         "session",
         "session_date",
-        first.alias("first_timestamp"),
-        last.alias("last_timestamp"),
+        f"{first} AS first_timestamp",
+        f"{last} AS last_timestamp",
         S.KEY,
-        round_even(minutes_between(first, last)).cast("bigint").alias("session_duration_minutes"),
-        level_from_key("level_key").alias("actor_level"),
-        *[F.col(c).cast("bigint").alias(c) for c in S.EVENT_LABELS],
+        f"CAST({sql_round_even(sql_minutes_between(first, last))} AS BIGINT) AS session_duration_minutes",
+        "CAST(pmod(level_key, 128) AS INT) AS actor_level",
+        *[f"CAST({c} AS BIGINT) AS {c}" for c in S.EVENT_LABELS],
     )
 
 
