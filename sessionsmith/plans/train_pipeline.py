@@ -126,3 +126,17 @@ def score_accounts(
 ) -> DataFrame:
     """Batch scoring: look the ids up in the online view, then score."""
     return ml.batch_score(model, lookup_features(ids, online, key))
+
+
+def score_account(model: PipelineModel, account_id: str, online: DataFrame) -> dict:
+    """One account's score as plain values: ``{actor_account_id, will_churn,
+    churn_probability}``. It is ``score_accounts`` on a one-row id frame;
+    only that one result row reaches the driver."""
+    spark = online.sparkSession
+    ids = spark.createDataFrame([(str(account_id),)], f"{S.KEY} string")
+    row = score_accounts(model, ids, online).first()
+    return {
+        S.KEY: row[S.KEY],
+        "will_churn": bool(row["churn_prediction"]),
+        "churn_probability": float(row["churn_probability"]),
+    }

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
-from ..context import ensure_checkpoint_dir
+from ..context import ensure_checkpoint_dir, materialized_mark, release_materialized
 from ..operators import features as feat
 from ..operators import quality as q
 from ..plans.feature_pipeline import preprocess
@@ -39,6 +39,21 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def ingest_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
+    """One micro-batch: validate, build sessions, write both tables.
+
+    Replaying a batch id (after a failure) overwrites that batch's
+    partitions, so the tables never hold a batch twice.
+    """
+    spark = batch.sparkSession
+    mark = materialized_mark(spark)
+    files = batch.select(F.col(S.FILE).alias("path")).distinct()
+    pre = preprocess(batch, q.footer_facts(files))
+    _write_batch(pre.status, os.path.join(out_dir, "file_status"), batch_id)
+    _write_batch(pre.sessions, os.path.join(out_dir, "sessions"), batch_id)
+    release_materialized(spark, mark)
+
+
 def start_ingest(
     spark: SparkSession,
     raw_dir: str,
@@ -63,14 +78,9 @@ def start_ingest(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_dir).withColumn(S.FILE, F.col("_metadata.file_path"))
-    sessions_path = os.path.join(out_dir, "sessions")
-    status_path = os.path.join(out_dir, "file_status")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select(F.col(S.FILE).alias("path")).distinct()
-        pre = preprocess(batch, q.footer_facts(files))
-        _write_batch(pre.status, status_path, batch_id)
-        _write_batch(pre.sessions, sessions_path, batch_id)
+        ingest_batch(batch, batch_id, out_dir)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sessionsmith import schema as S
 from sessionsmith.operators import ml
-from sessionsmith.plans.train_pipeline import pit_join, score_accounts, train_model_pipeline
+from sessionsmith.plans.train_pipeline import pit_join, score_account, score_accounts, train_model_pipeline
 
 
 @pytest.fixture(scope="module")
@@ -119,6 +119,9 @@ def test_train_pipeline_and_scoring(spark, frame, tmp_path):
     got = {r[S.KEY]: r for r in scores.collect()}
     assert set(got) == {"p1", "unknown"}
     assert 0 <= got["unknown"]["churn_probability"] <= 1
+    one = score_account(ml.load_model(str(tmp_path / "m")), "p1", snaps)
+    assert one[S.KEY] == "p1" and isinstance(one["will_churn"], bool)
+    assert one["churn_probability"] == pytest.approx(got["p1"]["churn_probability"])
 
 
 def test_scan_labels_csv_and_parquet(spark, tmp_path):

@@ -43,3 +43,17 @@ def test_ingest_matches_batch(spark, tmp_path):
     status = spark.read.parquet(f"{out}/file_status")
     assert status.select(S.FILE).distinct().count() == 15
     assert status.select("batch_id").distinct().count() == 2
+
+
+def test_replayed_batch_is_not_duplicated(spark, tmp_path):
+    from sessionsmith.streaming.file_ingest import ingest_batch
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    _split_into_files(spark, raw, range(0, 4))
+    batch = scan_logs(spark, str(raw))
+    out = str(tmp_path / "out")
+    ingest_batch(batch, 7, out)
+    first = spark.read.parquet(f"{out}/sessions").count()
+    ingest_batch(batch, 7, out)  # the same batch again, as after a failure
+    assert spark.read.parquet(f"{out}/sessions").count() == first > 0
