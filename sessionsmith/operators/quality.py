@@ -164,8 +164,18 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
             for path in pdf["path"]:
                 row = dict.fromkeys(cols)
                 row[file_col] = path
+                uri = path
+                for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+                    if uri.startswith(hadoop):
+                        uri = arrow + uri[len(hadoop):]
+                try:
+                    filesystem, inner = pafs.FileSystem.from_uri(uri)
+                except Exception:
+                    # a store pyarrow cannot open here: footer facts stay
+                    # unknown and the row-derived rules decide alone
+                    out.append(row)
+                    continue
                 try:
-                    filesystem, inner = pafs.FileSystem.from_uri(path)
                     with filesystem.open_input_file(inner) as fh:
                         meta = pq.ParquetFile(fh)
                         arrow_schema = meta.schema_arrow

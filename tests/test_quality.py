@@ -223,3 +223,9 @@ def test_bad_time_example_from_bad_files_only(spark, tmp_path):
     # same answer through the semi-join path
     st2 = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in preprocess(logs, footers).status.collect()}
     assert st2 == st
+
+
+def test_footer_reader_degrades_on_unknown_store(spark):
+    listing = spark.createDataFrame([("nosuchscheme://bucket/x.parquet",)], "path string")
+    row = q.footer_facts(listing).collect()[0]
+    assert row["read_error"] is None and row["footer_rows"] is None
