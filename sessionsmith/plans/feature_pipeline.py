@@ -1,11 +1,12 @@
-"""Raw logs -> file status -> sessions -> account features, as one plan.
-
-Physical shape (see ``tools/explain_plans.py``): the raw scan feeds one
-partial/final hash aggregate on (file, account, session, date); the file
-status, the session starts and the session rows are all computed from
-that small grain table; the orphan scan is selective and pushed down; the
-account aggregate is keyed by a subset of the grain key. Nothing is
-collected; the only driver action is the final write.
+"""Raw logs -> file status -> sessions -> account features.
+
+Physical shape (see ``docs/plans/``): the raw files are scanned once into
+one partial/final hash aggregate on (file, account, session, date,
+orphan_time), written once as the grain table; the file status, the
+session starts, the orphan events and the session rows are all computed
+from that small table; the account aggregate is keyed by a subset of the
+grain key. Driver actions: the grain write, the short list of files with
+a bad time (to re-read only them), and the final write.
 """
 
 from __future__ import annotations
