@@ -68,6 +68,7 @@ def validate_logs(
     footers: DataFrame | None = None,
     logs: DataFrame | None = None,
     read_files=None,
+    with_reasons: bool = True,
 ) -> DataFrame:
     """Status per file: ``(source_file, status, reason)``.
 
@@ -76,9 +77,17 @@ def validate_logs(
     then "no tracked event with a positive session". Every row is checked
     (the source checks the time format on the first row only and fails
     later rows by an exception). Rejections are ``skipped``; files that
-    cannot be read are ``failed``.
+    cannot be read are ``failed``. ``with_reasons=False`` gives only
+    ``(source_file, status)``, enough for quarantine.
     """
     r = file_rules(grain)
+    if not with_reasons:
+        if footers is not None:
+            r = footers.join(r, S.FILE, "left")
+        else:
+            none = F.lit(None).cast("string")
+            r = r.withColumns({"read_error": none, "missing": none, "not_numeric": none, "footer_rows": F.col("n_rows")})
+        return r.selectExpr(S.FILE, f"{_STATUS} AS status")
     if logs is not None:
         r = r.join(bad_time_examples(logs, r, read_files), S.FILE, "left")
     else:
@@ -106,22 +115,33 @@ _NULL_COUNTS = {
 _NULL_LIST = "concat('[', concat_ws(', ', {}), ']')".format(
     ", ".join(f"CASE WHEN {_NULL_COUNTS[c]} > 0 THEN {sql_text(repr(c))} END" for c in S.CRITICAL_COLUMNS)
 )
-# The rules in order; the first that holds gives the reason ('' = valid).
-_REASON = f"""CASE
-  WHEN read_error IS NOT NULL THEN read_error
-  WHEN coalesce(footer_rows, n_rows, 0) = 0 THEN {sql_text(S.MSG_EMPTY)}
-  WHEN missing IS NOT NULL THEN {_template(S.MSG_MISSING, "missing")}
-  WHEN n_null_time > 0 OR n_null_session > 0 OR n_null_account > 0 OR n_null_logid > 0
-    THEN {_template(S.MSG_NULLS, _NULL_LIST)}
-  WHEN not_numeric IS NOT NULL THEN {_template(S.MSG_NOT_NUMERIC, "not_numeric")}
-  WHEN n_bad_time > 0 THEN {_template(S.MSG_TIME_FORMAT, "bad_time")}
-  WHEN n_neg_session > 0 THEN {sql_text(S.MSG_NEG_SESSION)}
-  WHEN n_neg_level > 0 THEN {sql_text(S.MSG_NEG_LEVEL)}
-  WHEN n_high_level > 0 THEN {sql_text(S.MSG_HIGH_LEVEL)}
-  WHEN n_tracked_pos = 0 THEN {sql_text(S.MSG_NO_SESSIONS)}
-  ELSE '' END"""
-_STATUS = f"""CASE WHEN read_error IS NOT NULL THEN 'failed'
-  WHEN ({_REASON}) = '' THEN 'success' ELSE 'skipped' END"""
+# The rules in order, as (condition, message); the first that holds wins.
+_RULES = [
+    ("coalesce(footer_rows, n_rows, 0) = 0", sql_text(S.MSG_EMPTY)),
+    ("missing IS NOT NULL", _template(S.MSG_MISSING, "missing")),
+    (
+        "n_null_time > 0 OR n_null_session > 0 OR n_null_account > 0 OR n_null_logid > 0",
+        _template(S.MSG_NULLS, _NULL_LIST),
+    ),
+    ("not_numeric IS NOT NULL", _template(S.MSG_NOT_NUMERIC, "not_numeric")),
+    ("n_bad_time > 0", _template(S.MSG_TIME_FORMAT, "bad_time")),
+    ("n_neg_session > 0", sql_text(S.MSG_NEG_SESSION)),
+    ("n_neg_level > 0", sql_text(S.MSG_NEG_LEVEL)),
+    ("n_high_level > 0", sql_text(S.MSG_HIGH_LEVEL)),
+    ("n_tracked_pos = 0", sql_text(S.MSG_NO_SESSIONS)),
+]
+_REASON = (
+    "CASE WHEN read_error IS NOT NULL THEN read_error "
+    + " ".join(f"WHEN {cond} THEN {msg}" for cond, msg in _RULES)
+    + " ELSE '' END"
+)
+# The status needs only the conditions, not the messages, so a plan that
+# only quarantines never computes the message parts.
+_STATUS = (
+    "CASE WHEN read_error IS NOT NULL THEN 'failed' WHEN "
+    + " OR ".join(f"coalesce({cond}, false)" for cond, _ in _RULES)
+    + " THEN 'skipped' ELSE 'success' END"
+)
 
 
 def quarantine(df: DataFrame, status: DataFrame) -> DataFrame:

@@ -49,7 +49,8 @@ def preprocess(
     if materialize_grain:
         grain = materialize(grain)
     status = q.validate_logs(grain, footers, logs, read_files)
-    sessions = q.quarantine(sess.sessions_from_grain(grain), status)
+    ok = q.validate_logs(grain, footers, with_reasons=False)
+    sessions = q.quarantine(sess.sessions_from_grain(grain), ok)
     players = feat.player_features(sessions)
     return Preprocessed(grain, status, sessions, players)
 
