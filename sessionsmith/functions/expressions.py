@@ -30,15 +30,6 @@ def tracked_code(logid: str | Column = "logid", detail: str | Column = "log_deta
     return pred
 
 
-def code_match(code: int, logid: str | Column = "logid", detail: str | Column = "log_detail_code") -> Column:
-    """True for rows of one tracked code (with its detail code where one is
-    required). A match implies ``tracked_code``, so per-code counts need
-    not re-check the whole code list."""
-    m = col(logid) == code
-    det = dict(S.DETAIL_CODES).get(code)
-    return m & (col(detail) == det) if det is not None else m
-
-
 def parse_time(c: str | Column = "time") -> Column:
     """Parse ``yyyy-MM-dd HH:mm:ss.SSS`` text to TIMESTAMP_NTZ; bad text gives null.
 
@@ -79,16 +70,6 @@ def epoch_micros(ts: str | Column) -> Column:
     return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def minutes_between(start: str | Column, end: str | Column) -> Column:
-    """Elapsed minutes as a double: micros / 1e6 / 60."""
-    return micros_between(start, end) / F.lit(1e6) / F.lit(60.0)
-
-
-def days_between(start: str | Column, end: str | Column) -> Column:
-    """Elapsed days as a double: micros / 1e6 / 86400."""
-    return micros_between(start, end) / F.lit(1e6) / F.lit(86400.0)
-
-
 def round_even(c: str | Column, digits: int = 0) -> Column:
     """Round half to even on the binary double (``rint(x * 10^d) / 10^d``).
 
@@ -101,36 +82,6 @@ def round_even(c: str | Column, digits: int = 0) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
-def one_if_zero(c: str | Column) -> Column:
-    """Replace 0 by 1 before a division."""
-    c = col(c)
-    return F.when(c == 0, F.lit(1.0)).otherwise(c)
-
-
-def sample_std(n: str | Column, s: str | Column, ss: str | Column) -> Column:
-    """Sample standard deviation from count, sum and sum of squares of integers.
-
-    ``(n*ss - s*s) / (n*(n-1))`` is computed exactly in DECIMAL(38,0) and
-    only then turned into a double, so the result does not depend on the
-    order in which partial aggregates were merged. Null when ``n < 2``.
-    """
-    n, s, ss = (col(x).cast("decimal(38,0)") for x in (n, s, ss))
-    num = (n * ss - s * s).cast("double")
-    den = (n * (n - F.lit(1))).cast("double")
-    return F.when(n > 1, F.sqrt(num / den))
-
-
-def level_key(ts: str | Column, level: str | Column) -> Column:
-    """Pack (timestamp, level) into one orderable BIGINT.
-
-    ``max`` of the key picks the level of the latest row (ties: the
-    higher level), and keeps the aggregate a fixed-width HashAggregate
-    instead of a sort-based ``max_by`` over a struct. Levels outside
-    0..127 only occur in rows that validation rejects.
-    """
-    return epoch_micros(ts) * F.lit(128) + col(level).cast("long")
-
-
 def level_from_key(key: str | Column) -> Column:
     return F.pmod(col(key), F.lit(128)).cast("int")
 
