@@ -8,7 +8,6 @@ metric tables are small enough to reach the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -66,29 +65,44 @@ def _id_text(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def _largest_remainder(counts: dict, total: int) -> dict:
-    """Split ``total`` over classes in proportion to ``counts`` (floor, then
-    the largest remainders; ties by class order)."""
-    n = sum(counts.values())
-    if n == 0:
-        return {k: 0 for k in counts}
-    exact = {k: total * v / n for k, v in counts.items()}
-    alloc = {k: math.floor(x) for k, x in exact.items()}
-    left = total - sum(alloc.values())
-    for k in sorted(counts, key=lambda k: (-(exact[k] - alloc[k]), k))[:left]:
-        alloc[k] += 1
-    return alloc
+def _allocate(classes: DataFrame, label: str, count: str, total: str, target: str, out: str) -> DataFrame:
+    """Split ``target`` rows over the classes in proportion to ``count``:
+    floors first, then one more for the largest remainders (ties: class
+    order). ``classes`` has one row per label class, so the unpartitioned
+    windows here run over that handful of rows only."""
+    every = Window.partitionBy()
+    exact = F.col(target) * F.col(count) / F.col(total)
+    c = classes.withColumn("__ex", exact).withColumn("__fl", F.floor("__ex"))
+    order = Window.orderBy((F.col("__ex") - F.col("__fl")).desc(), F.col(label))
+    c = c.withColumn("__rk", F.row_number().over(order)).withColumn(
+        "__left", F.col(target) - F.sum("__fl").over(every)
+    )
+    return c.withColumn(out, F.col("__fl") + (F.col("__rk") <= F.col("__left")).cast("long")).drop(
+        "__ex", "__fl", "__rk", "__left"
+    )
+
 
+def split_quotas(
+    counts: DataFrame, label: str = S.LABEL, test_size: float = S.TEST_SIZE, val_size: float = S.VAL_SIZE
+) -> DataFrame:
+    """Per class ``(label, __qt, __qv)``: test and validation row counts.
 
-def split_quotas(counts: dict, test_size: float = S.TEST_SIZE, val_size: float = S.VAL_SIZE) -> dict:
-    """Per class: (test, val) row counts. Test takes ceil(test_size * n);
-    the validation share is taken from what is left, as two nested splits."""
-    n = sum(counts.values())
-    n_train = n - math.ceil(test_size * n)
-    train = _largest_remainder(counts, n_train)
-    n_val = math.ceil(val_size * n_train)
-    train2 = _largest_remainder(train, n_train - n_val)
-    return {k: (counts[k] - train[k], train[k] - train2[k]) for k in counts}
+    ``counts`` is ``(label, n)``, one row per class. Test takes
+    ``ceil(test_size * n)`` rows overall; validation takes
+    ``ceil(val_size * rest)`` of the rest, as two nested stratified splits.
+    """
+    every = Window.partitionBy()
+    c = counts.where(F.col(label).isNotNull()).withColumn("__N", F.sum("n").over(every))
+    c = c.withColumn("__ntr", F.col("__N") - F.ceil(F.lit(test_size) * F.col("__N")))
+    c = _allocate(c, label, "n", "__N", "__ntr", "__train")
+    c = c.withColumn("__N2", F.sum("__train").over(every))
+    c = c.withColumn("__ntr2", F.col("__N2") - F.ceil(F.lit(val_size) * F.col("__N2")))
+    c = _allocate(c, label, "__train", "__N2", "__ntr2", "__train2")
+    return c.select(
+        label,
+        (F.col("n") - F.col("__train")).alias("__qt"),
+        (F.col("__train") - F.col("__train2")).alias("__qv"),
+    )
 
 
 def stratified_split(
@@ -106,7 +120,7 @@ def stratified_split(
     ``test`` rows are test, the next ``val`` rows validation, the rest train.
     The rank is the row count of lower hash buckets (a per-class histogram
     of at most 2^bits rows) plus the rank inside the bucket, so no window
-    ever holds a whole class.
+    ever holds a whole class. Nothing is collected to the driver.
     """
     ids = [_id_text(df, c) for c in id_cols]
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), *ids))
@@ -114,13 +128,8 @@ def stratified_split(
     hashed = df.withColumn("__h", h).withColumn(
         "__bk", F.conv(F.substring("__h", 1, nb), 16, 10).cast("int")
     )
-    class_counts = {r[0]: r[1] for r in hashed.groupBy(label).count().collect()}
-    if len(class_counts) > 10_000:
-        raise ValueError("too many label classes for a stratified split")
-    quotas = split_quotas({k: v for k, v in class_counts.items() if k is not None}, test_size, val_size)
-    q_rows = [(k, q[0], q[1]) for k, q in quotas.items()]
-    spark = df.sparkSession
-    qdf = spark.createDataFrame(q_rows, f"{label} {df.schema[label].dataType.simpleString()}, __qt long, __qv long")
+    # Class counts and quotas stay in Spark: one row per class, broadcast.
+    qdf = split_quotas(hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, test_size, val_size)
 
     hist = hashed.groupBy(label, "__bk").agg(F.count(F.lit(1)).alias("__nb"))
     wc = Window.partitionBy(label).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -206,13 +215,13 @@ def threshold(prob: str | Column, cut: float = S.THRESHOLD) -> Column:
 
 def fill_features(df: DataFrame, features: Sequence[str] = S.FEATURES) -> DataFrame:
     """Null policy for rows without features: counts 0, other values -1,
-    and ``has_features`` = 0 (1 when the row had a feature match)."""
-    present = F.col(features[0]).isNotNull().cast("double")
-    out = df.withColumn("has_features", present)
-    for f in features:
-        fill = 0 if f in S.ACCOUNT_EVENT_LABELS or f in ("total_sessions", "total_playtime_minutes") else -1
-        out = out.withColumn(f, F.coalesce(F.col(f).cast("double"), F.lit(float(fill))))
-    return out
+    and ``has_features`` = 0 (1 when the row had a feature match).
+    One projection (``withColumns``), not one plan step per feature."""
+    zero = set(S.ACCOUNT_EVENT_LABELS) | {"total_sessions", "total_playtime_minutes"}
+    filled = {
+        f: F.coalesce(F.col(f).cast("double"), F.lit(0.0 if f in zero else -1.0)) for f in features
+    }
+    return df.withColumns({"has_features": F.col(features[0]).isNotNull().cast("double"), **filled})
 
 
 def assembler(features: Sequence[str] = S.FEATURES) -> VectorAssembler:

@@ -49,10 +49,15 @@ def test_split_sizes_disjoint_and_stratified(frame):
     assert again.exceptAll(sp.select(S.KEY, "split")).count() == 0
 
 
-def test_split_quotas_largest_remainder():
-    q = ml.split_quotas({0: 70, 1: 30})
+def test_split_quotas_largest_remainder(spark):
+    counts = spark.createDataFrame([(0, 70), (1, 30)], f"{S.LABEL} int, n long")
+    q = {r[S.LABEL]: (r["__qt"], r["__qv"]) for r in ml.split_quotas(counts).collect()}
     assert sum(t for t, _ in q.values()) == 20 and sum(v for _, v in q.values()) == 8
-    assert q[1][0] == 6
+    assert q[1][0] == 6 and q[0][0] == 14
+    odd = spark.createDataFrame([(0, 7), (1, 4), (2, 2)], f"{S.LABEL} int, n long")
+    q = {r[S.LABEL]: (r["__qt"], r["__qv"]) for r in ml.split_quotas(odd).collect()}
+    assert sum(t for t, _ in q.values()) == 3  # ceil(0.2 * 13)
+    assert sum(v for _, v in q.values()) == 1  # ceil(0.1 * 10)
 
 
 def test_train_predict_and_custom_params(frame):

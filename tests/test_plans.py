@@ -70,15 +70,21 @@ def test_snapshot_window_runs_over_daily_rows(spark):
 
 def test_split_has_no_window_over_a_whole_class(spark):
     p = plan(ml.stratified_split(read_label_view(spark, SF)))
-    windows = re.findall(r"Window \[(.*?)\], \[(.*?)\], \[", p)
-    assert windows
-    for funcs, spec in windows:
-        if "row_number" in funcs:
+    lines = [ln for ln in p.splitlines() if "Window [" in ln]
+    assert lines
+    kinds = {"rank": 0, "histogram": 0, "class_table": 0}
+    for ln in lines:
+        if "row_number" in ln and "__h#" in ln:
             # the row-level rank is per (label, hash bucket)
-            assert "__bk" in spec
+            assert "__bk#" in ln.split("windowspecdefinition(")[1].split("__h#")[0]
+            kinds["rank"] += 1
+        elif "__nb#" in ln:
+            kinds["histogram"] += 1  # per label, over at most 2^16 bucket rows
         else:
-            # the only per-label window runs over the hash histogram
-            assert "__nb" in funcs
+            # unpartitioned windows only over the one-row-per-class quota table
+            assert re.search(r"\b(n#|__fl#|__train#|_w0#)", ln), ln
+            kinds["class_table"] += 1
+    assert kinds["rank"] == 1 and kinds["histogram"] == 1
 
 
 def test_latest_per_key_pre_aggregates(spark):
