@@ -6,7 +6,10 @@ preprocessing, the snapshot store and the point-in-time join with Spark's
 event log in a scratch folder, and reports, per stage that reads a shuffle,
 the share of records read by its largest task.
 
-Usage: python tools/skew_check.py [sf_dir] [cores]
+Usage: python tools/skew_check.py [sf_dir] [cores] [max_share]
+
+With ``max_share`` (e.g. 0.25) the exit code is 1 when a shuffle stage of
+more than 1000 records gives one task a larger share than that.
 """
 
 from __future__ import annotations
@@ -58,7 +61,9 @@ def main() -> None:
     out.write.format("noop").mode("overwrite").save()
     spark.stop()
     print(f"rows {total}, hot account rows {hot_rows} ({hot_rows / total:.0%})")
-    report(logdir)
+    worst = report(logdir)
+    if len(sys.argv) > 3 and worst > float(sys.argv[3]):
+        sys.exit(1)
 
 
 def report(logdir: str) -> None:
@@ -85,6 +90,7 @@ def report(logdir: str) -> None:
             worst = (share, sid)
         print(f"stage {sid:4d} tasks {len(recs):3d} records {sum(recs):8d} largest task {max(recs):7d} ({share:.0%})")
     print(f"largest task share in a shuffle stage of >1000 records: {worst[0]:.0%} (stage {worst[1]})")
+    return worst[0]
 
 
 if __name__ == "__main__":
