@@ -106,3 +106,18 @@ class TestOnlineView:
         assert r["start_time"] == D(1, 10) - dt.timedelta(days=1)
         assert r["end_time"] == D(9, 10) + dt.timedelta(days=1)
         assert r["total_records"] == 2
+
+
+def test_latest_in_window_and_online_sink(spark, tmp_path):
+    from sessionsmith.plans.feature_pipeline import materialize_online
+
+    rows = [("a", D(1, 10), 10, 1, 0), ("a", D(5, 10), 20, 1, 0), ("b", D(2, 10), 30, 0, 1)]
+    snaps = feat.feature_snapshots(sessions(spark, rows))
+    # only rows inside [start, end] count: a's newest is then its day-1 snapshot
+    got = {
+        r[S.KEY]: r["total_sessions"]
+        for r in feat.latest_per_key(snaps, start="2024-01-01 00:00:00", end="2024-01-03 00:00:00").collect()
+    }
+    assert got == {"a": 1, "b": 1}
+    online = materialize_online(snaps, str(tmp_path / "online"))
+    assert {r[S.KEY]: r["total_sessions"] for r in online.collect()} == {"a": 2, "b": 1}
