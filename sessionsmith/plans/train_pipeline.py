@@ -84,7 +84,7 @@ def train_model_pipeline(
     model = ml.train_gbt(fit_rows, params=params, seed=seed)
     test = ml.predict(model, split.where(F.col("split") == "test"))
     metrics_wide = ml.evaluate(test)
-    stats = ml.label_stats(data)
+    stats = ml.label_stats(split)  # same rows as the training set, already materialized
     sizes = split.groupBy().pivot("split", ["train", "val", "test"]).count()
     rounds = _round_metrics(spark, model, fit_rows)
     long = (
