@@ -20,6 +20,25 @@ LOCAL_CONF = {
 }
 
 
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of raw logs.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (AQE coalesces them down and splits skewed ones); file splits use the
+    same size. ``spark.checkpoint.dir`` must still be set to shared storage.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "sessionsmith", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC, AQE on)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

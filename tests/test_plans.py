@@ -92,3 +92,12 @@ def test_latest_per_key_pre_aggregates(spark):
     p = plan(feat.latest_per_key(df, key="k", ts="t"))
     assert "Window" not in p
     assert re.search(r"(Hash|Sort|ObjectHash)Aggregate.*partial", p.replace("\n", " "))
+
+
+def test_cluster_settings_scale_with_input():
+    from sessionsmith.context import cluster_settings
+
+    big = cluster_settings(100 * 2**40)  # 100 TiB of raw logs
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_settings(10**6)["spark.sql.shuffle.partitions"]) == 200
