@@ -20,14 +20,21 @@ LOCAL_CONF = {
 }
 
 
-def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_settings(
+    input_bytes: int, shuffle_fraction: float = 0.05, target_partition_bytes: int = 256 << 20
+) -> dict[str, str]:
     """Session settings for a cluster run over ``input_bytes`` of raw logs.
 
-    Shuffle partitions start at one per ``target_partition_bytes`` of input
-    (AQE coalesces them down and splits skewed ones); file splits use the
-    same size. ``spark.checkpoint.dir`` must still be set to shared storage.
+    The large shuffle carries the grain after map-side combining, a small
+    fraction of the raw input (``shuffle_fraction``), so shuffle partitions
+    are sized for that: one per ``target_partition_bytes`` of expected
+    shuffle data, at least 200. Sizing them by raw input would give every
+    map task hundreds of thousands of tiny blocks. AQE coalesces small
+    partitions and splits skewed ones; file splits use the target size.
+    ``spark.checkpoint.dir`` must still name shared storage.
     """
-    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = max(200, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
