@@ -57,6 +57,13 @@ class TrainResult:
     importances: DataFrame
     split: DataFrame
 
+    def test_metrics(self) -> dict[str, float]:
+        """``{accuracy, precision, recall, f1}`` on the test split (four
+        numbers from the one-row evaluation aggregate)."""
+        names = ("accuracy", "precision", "recall", "f1")
+        rows = self.metrics.where(F.col("metric").isin([f"test_{n}" for n in names])).collect()
+        return {r["metric"].removeprefix("test_"): r["value"] for r in rows}
+
 
 def train_model_pipeline(
     spark: SparkSession,

@@ -118,6 +118,8 @@ def test_train_pipeline_and_scoring(spark, frame, tmp_path):
     assert 0 <= metrics["test_f1"] <= 1
     assert 1 <= metrics["best_iteration"] <= metrics["num_trees"] <= 5
     assert metrics["train_binary_logloss"] > 0
+    tm = res.test_metrics()
+    assert set(tm) == {"accuracy", "precision", "recall", "f1"} and all(0 <= v <= 1 for v in tm.values())
     ids = spark.createDataFrame([("p1",), ("unknown",)], f"{S.KEY} string")
     scores = score_accounts(ml.load_model(str(tmp_path / "m")), ids, snaps)
     assert scores.columns == [S.KEY, "churn_prediction", "churn_probability"]
