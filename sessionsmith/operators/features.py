@@ -161,12 +161,10 @@ def latest_per_key(
 
 def latest_in_range(features: DataFrame, ts: str = S.EVENT_TIME) -> DataFrame:
     """Materialization: range from ``feature_time_range`` (+-1 day), then the
-    newest row per key inside it. The bounds are scalar subqueries, so no
-    value makes a round trip through the driver."""
-    rng = feature_time_range(features, ts)
-    start = rng.select("start_time").scalar()
-    end = rng.select("end_time").scalar()
-    inside = features.where(F.col(ts).between(start, end))
+    newest row per key inside it. Both bounds come from one scalar
+    subquery, so no value makes a round trip through the driver."""
+    bounds = feature_time_range(features, ts).select(F.struct("start_time", "end_time")).scalar()
+    inside = features.where(F.col(ts).between(bounds.getField("start_time"), bounds.getField("end_time")))
     return latest_per_key(inside, ts=ts)
 
 
