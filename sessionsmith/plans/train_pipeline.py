@@ -24,13 +24,16 @@ def pit_join(
     feature_time: str = S.EVENT_TIME,
     feature_names=S.FEATURES,
     ttl_seconds: float | None = None,
+    bucket_seconds: int = 86400,
 ) -> DataFrame:
     """Point-in-time features: for each entity row, the latest feature row of
     its key at or before the entity time (left: no match keeps nulls).
 
     Every entity column (the label too) is carried through, so duplicate
     (key, time) rows stay one output row each. ``ttl_seconds`` (0 or None:
-    no limit) drops matches older than the TTL.
+    no limit) drops matches older than the TTL. ``bucket_seconds`` is the
+    width of the time buckets that split a key's window (narrower for keys
+    with many labels per day).
     """
     return asof_join(
         entities,
@@ -42,6 +45,7 @@ def pit_join(
         how="left",
         payload=list(feature_names),
         tolerance_seconds=ttl_seconds,
+        bucket_seconds=bucket_seconds,
     )
 
 

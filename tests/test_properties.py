@@ -60,3 +60,13 @@ def test_sessions_are_unique_per_key(pre):
     keys = [S.FILE, S.KEY, "session", "session_date"]
     assert pre.sessions.groupBy(*keys).count().where("count > 1").count() == 0
     assert pre.players.groupBy(S.KEY).count().where("count > 1").count() == 0
+
+
+def test_pit_join_bucket_width_does_not_change_result(spark, pre):
+    from sessionsmith.plans.train_pipeline import pit_join
+
+    snaps = feature_snapshots(pre.sessions)
+    labels = read_label_view(spark, SF)
+    day = pit_join(labels, snaps)
+    hour = pit_join(labels, snaps, bucket_seconds=3600)
+    assert day.exceptAll(hour).count() == 0 and hour.exceptAll(day).count() == 0
