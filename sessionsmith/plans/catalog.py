@@ -78,7 +78,8 @@ def q_file_status(spark, sf):
 
 def q_quarantine(spark, sf):
     logs = read_log_view(spark, sf)
-    return q.quarantine(logs, _pre(spark, sf).status)
+    ok = q.validate_logs(_pre(spark, sf).grain, with_reasons=False)  # status only, no message text
+    return q.quarantine(logs, ok)
 
 
 def q_session_boundaries(spark, sf):
