@@ -73,7 +73,7 @@ def q_validate_filtered(spark, sf):
 
 
 def q_file_status(spark, sf):
-    return q.file_status_counts(_pre(spark, sf).status)
+    return q.file_status_counts(q.validate_logs(_pre(spark, sf).grain, with_reasons=False))
 
 
 def q_quarantine(spark, sf):
