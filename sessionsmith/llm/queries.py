@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pieces
+from . import pieces, quality_rules, simhash
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -19,11 +20,22 @@ def piece_model(name: str = PIECE_MODEL) -> bytes:
         return f.read()
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
 }
 
