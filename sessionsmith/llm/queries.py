@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, quality_rules, simhash
+from . import line_dedup, ordinal, pieces, quality_rules, simhash
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_removed")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -33,10 +37,22 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings 0 to 2: a point for good quality, one for not being toxic. Kept: rating 2 is likely."""
+    docs = table(spark, sf_dir, "documents")
+    ratings = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
+    graded = ordinal.grade(docs, ordinal.train(docs, ratings, 3), ["doc_id"])
+    return graded.select("doc_id", "expected_grade", F.col("tails")[0].alias("p_grade_1"), F.col("tails")[1].alias("p_grade_2"), ordinal.selected(F.col("tails")[1]).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_line_dedup": op3_line_dedup,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_ordinal_quality": op9_ordinal_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_dedup.ORACLE,
+}
