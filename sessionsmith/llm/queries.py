@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ordinal, pieces, quality_rules, simhash
+from . import line_dedup, ordinal, pieces, quality_rules, simhash, substring_dedup
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -28,6 +28,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_removed")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -48,6 +52,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ordinal_quality": op9_ordinal_quality,
