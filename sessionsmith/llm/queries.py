@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ordinal, pieces, quality_rules, simhash, substring_dedup
+from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -28,6 +28,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_removed")
 
 
+#: Domains of the labels: good, of low quality, toxic; and the share of the tokens that each shall have.
+DOMAIN_WEIGHTS = (0.97, 0.02, 0.01)
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 0)
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that bring the domains to their weights, while good documents keep their total."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"), domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, ["doc_id"], steady=0)
+    return found.select("doc_id", "n_tokens", *[F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(("good", "low", "toxic"))], "rate")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,6 +67,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
