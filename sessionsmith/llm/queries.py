@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup
+from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, warc
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -20,6 +20,10 @@ def piece_model(name: str = PIECE_MODEL) -> bytes:
         return f.read()
 
 
+def op1_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -65,6 +69,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_merge": op1_warc_merge,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
@@ -75,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc_merge": warc.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
 }
