@@ -142,31 +142,35 @@ def value_of(bucket: Column) -> Column:
     return F.when(bucket == -2000, 0.0).otherwise(2 * F.pow(F.lit(GROWTH), bucket) / (GROWTH + 1))
 
 
-def sketches(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, bucket, n): one sketch per group and measure. ``rows`` has a column for each measure."""
+def sketches(rows: DataFrame, lang: str, source: str) -> DataFrame:
+    """(lang, source, measure, bucket, n): one sketch per language, source and measure. ``rows`` has a column for each measure."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in MEASURES]))
-    return rows.select(*groups, pairs.alias("p")).groupBy(*groups, "p.measure", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), pairs.alias("p")).groupBy("lang", "source", "p.measure", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Sketches of coarser groups, from finer ones."""
-    return sketch.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
+def merged(sketch: DataFrame) -> DataFrame:
+    """Level 0: the sketches as they are; 1: those of a language's sources merged; 2: all merged."""
+    null = F.lit(None).cast("string")
+    levels = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), (null if k > 1 else F.col("lang")).alias("lang"), (null if k else F.col("source")).alias("source")) for k in range(3)]))
+    return sketch.select(levels.alias("g"), "measure", "bucket", "n").groupBy("g.level", "g.lang", "g.source", "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, groups: list[str], reach: float, prefix: str) -> DataFrame:
-    """Per group one row: number of documents and both fences of every measure, as ``{prefix}_docs`` and ``{prefix}_{measure}`` structs.
+def fences(sketch: DataFrame, reach: float) -> DataFrame:
+    """Per level, language and source one row: ``docs``, and ``low_{measure}`` and ``high_{measure}``.
 
     A window holds the buckets of one sketch: their number is bounded by the accuracy, whatever the number of documents.
     """
-    of = Window.partitionBy(*groups, "measure")
-    ranked = sketch.withColumn("total", F.sum("n").over(of)).withColumn("upto", F.sum("n").over(of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
+    of = ["level", "lang", "source", "measure"]
+    upto = F.sum("n").over(Window.partitionBy(*of).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("n").over(Window.partitionBy(*of).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranked = sketch.withColumns({"upto": upto, "total": total})
     quartile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bucket")))
-    per = ranked.groupBy(*groups, "measure").agg(F.max("total").alias("total"), value_of(quartile(0.25)).alias("q1"), value_of(quartile(0.75)).alias("q3"))
+    per = ranked.groupBy(*of).agg(F.max("total").alias("total"), value_of(quartile(0.25)).alias("q1"), value_of(quartile(0.75)).alias("q3"))
     floor = F.create_map(*[x for m, (least, _) in MEASURES.items() for x in (F.lit(m), F.lit(least))])[F.col("measure")]
-    width = reach * F.greatest(F.col("q3") - F.col("q1"), floor)
-    per = per.withColumn("fence", F.struct((F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high")))
-    one = lambda m: F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"{prefix}_{m}")
-    return per.groupBy(*groups).agg(F.max("total").alias(f"{prefix}_docs"), *[one(m) for m in MEASURES])
+    per = per.withColumn("width", reach * F.greatest(F.col("q3") - F.col("q1"), floor))
+    one = lambda m, fence, name: F.max(F.when(F.col("measure") == m, fence)).alias(f"{name}_{m}")
+    both = [one(m, *x) for m in MEASURES for x in ((F.col("q1") - F.col("width"), "low"), (F.col("q3") + F.col("width"), "high"))]
+    return per.groupBy("level", "lang", "source").agg(F.max("total").alias("docs"), *both)
 
 
 def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach: float = REACH, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -175,19 +179,16 @@ def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach:
     Thresholds come from documents that pass the base rules, so junk that those already reject doesn't shift them.
     Null language or source: a group of its own. Without documents that pass, no thresholds exist and none reject.
     """
-    rows = counts.withColumn("base_failed", base_failed())
-    rows = rows.withColumns(measures())
-    by_source = sketches(rows.where(~F.col("base_failed")), [lang, source])
-    by_source = stored(by_source)
-    by_lang = merged(by_source, [lang])
-    overall = merged(by_lang.withColumn("_all", F.lit(1)), ["_all"])
-    table = fences(by_source, [lang, source], reach, "s")
-    of_lang, of_all = fences(by_lang, [lang], reach, "l"), fences(overall, ["_all"], reach, "a")
-    table = table.join(of_lang.withColumnRenamed(lang, "_lang"), F.col(lang).eqNullSafe(F.col("_lang")), "left").withColumn("_all", F.lit(1)).join(of_all, "_all", "left")
-    fence = lambda m: F.when(F.col("s_docs") >= least_docs, F.col(f"s_{m}")).when(F.col("l_docs") >= least_docs, F.col(f"l_{m}")).otherwise(F.col(f"a_{m}"))
-    table = table.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), *[fence(m).alias(f"f_{m}") for m in MEASURES])
-    joined = rows.join(table, rows[lang].eqNullSafe(table["_lang"]) & rows[source].eqNullSafe(table["_source"]), "left")
-    out = lambda m, both: (F.col(m) > F.col(f"f_{m}.high")) | (F.col(m) < F.col(f"f_{m}.low") if both else F.lit(False))
+    rows = counts.withColumn("base_failed", base_failed()).withColumns(measures())
+    table = stored(fences(merged(sketches(rows.where(~F.col("base_failed")), lang, source)), reach))
+    limits = [f"{side}_{m}" for m in MEASURES for side in ("low", "high")]
+    level = lambda k, on: table.where(F.col("level") == k).select(*[F.col(c).alias(f"{c}_{k}") for c in on], F.col("docs").alias(f"docs_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in limits])
+    of = level(0, ["lang", "source"]).join(level(1, ["lang"]), F.col("lang_0").eqNullSafe(F.col("lang_1")))
+    overall = table.where(F.col("level") == 2).first()  # one row
+    chosen = lambda c: F.when(F.col("docs_0") >= least_docs, F.col(f"{c}_0")).when(F.col("docs_1") >= least_docs, F.col(f"{c}_1")).otherwise(F.lit(overall and overall[c])).alias(c)
+    of = of.select("lang_0", "source_0", *[chosen(c) for c in limits])
+    joined = rows.join(of, rows[lang].eqNullSafe(of["lang_0"]) & rows[source].eqNullSafe(of["source_0"]), "left")
+    out = lambda m, both: (F.col(m) > F.col(f"high_{m}")) | (F.col(m) < F.col(f"low_{m}") if both else F.lit(False))
     outside = F.array_compact(F.array(*[F.when(out(m, both), F.lit(m)) for m, (_, both) in MEASURES.items()]))
     return joined.withColumn("outside", outside).withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0)).select(*counts.columns, "base_failed", "outside", "kept")
 
