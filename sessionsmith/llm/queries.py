@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, warc
+from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, topk, warc
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -68,6 +68,11 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("doc_id", "expected_grade", F.col("tails")[0].alias("p_grade_1"), F.col("tails")[1].alias("p_grade_2"), ordinal.selected(F.col("tails")[1]).alias("kept"))
 
 
+def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_merge": op1_warc_merge,
     "op2_quality_rules": op2_quality_rules,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ordinal_quality": op9_ordinal_quality,
+    "op10_mtree_topk": op10_mtree_topk,
 }
 
 ORACLES: dict[str, str] = {
