@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, topk, warc
+from . import html_extract, line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, topk, warc
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -51,6 +51,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_simhash": op7_simhash,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ordinal_quality": op9_ordinal_quality,
