@@ -1,22 +1,77 @@
-"""The corpus pipeline: quality rules, line dedup, near-duplicate removal, mixing, encoding."""
+"""The corpus pipeline: quality rules, line dedup, near-duplicate removal, mixing to target weights, encoding.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``, which is what its predecessor kept. All stages but
+the last return the columns of ``documents``; ``sf_dir`` holds the tables that are not documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sessionsmith.llm import queries
+from sessionsmith.llm import line_dedup, mixing, pieces, quality_rules, queries, simhash
 from sessionsmith.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def without(docs: DataFrame, gone: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """Rows of ``docs`` whose id, text and further ``keys`` (column of docs: column of gone) are not in ``gone`` (doc_id, text_id, ...)."""
+    match = docs["doc_id"].eqNullSafe(gone["_doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_text_id"])
+    for own, other in keys.items():
+        match = match & docs[own].eqNullSafe(gone[other])
+    return docs.join(gone, match, "left_anti").select(*COLUMNS)
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """With the hash that stands for a text where texts need not travel: a key and it tell rows apart unless they are the same."""
+    return docs.withColumn("_text_id", F.xxhash64("text"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = quality_rules.quality_rules(identified(docs), ["doc_id", "_text_id", "lang", "source"])
+    rejected = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_doc_id"), "_text_id", F.col("lang").alias("_lang"), F.col("source").alias("_source"))
+    return without(docs, stored(rejected), {"lang": "_lang", "source": "_source"})
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that many sources share. The first document with a line keeps it."""
+    cleaned = line_dedup.line_dedup(docs.select(*COLUMNS))
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id (a null one last), of several texts for it the one with the least hash."""
+    found = stored(simhash.near_duplicates(identified(docs), keep=("_text_id",)))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text_id")
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    others = found.join(first, "root").where(~order.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_doc_id"), "_text_id").distinct()
+    kept = without(docs, stored(others), {})
+    if found.groupBy("doc_id", "_text_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates(["doc_id", "text"])  # rows that repeat a document
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at the rates, up to 1, that bring the labelled domains nearest to their weights."""
+    rated = mixing.mixed(identified(docs), queries.domains(table(spark, sf_dir, "labels")), queries.DOMAIN_WEIGHTS, ["doc_id", "_text_id"], steady=0, most=1.0)
+    undrawn = rated.where(~mixing.drawn(F.col("rate"), "doc_id", "_text_id")).select(F.col("doc_id").alias("_doc_id"), "_text_id").distinct()
+    return without(docs, stored(undrawn), {})
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return queries.pieces.encoding_digests(docs, queries.piece_model())
+    """Ids and decoded text of every document, as digests."""
+    return pieces.encoding_digests(docs, queries.piece_model())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("simhash", near_duplicates),
+    ("mixing", mixture),
     ("sentencepiece", encoding),
 ]
 

@@ -31,6 +31,8 @@ LEAST_CHI2 = 25.0
 LEAST_SHARE = 0.02
 #: ... and if its log odds between a domain and the others are at least this, in absolute value.
 LEAST_ODDS = 1.5
+#: ... and if at least this many documents bear it out.
+LEAST_DOCS = 5
 #: Steps of the fit, at most, and the relative error of the totals that ends it.
 STEPS = 60
 TOLERANCE = 1e-6
@@ -83,7 +85,8 @@ def classifier(docs: DataFrame, labels: DataFrame, n_domains: int, key: str = "d
     def evidence(k: int) -> Column:
         """Log odds of the word in domain k against all others, where they are telling."""
         odds = F.log((F.col(f"n_{k}") + 0.5) / (size[k] + 1.0)) - F.log((F.col("n") - F.col(f"n_{k}") + 0.5) / (total - size[k] + 1.0))
-        return F.when((chi2(k) >= LEAST_CHI2) & (F.abs(odds) >= LEAST_ODDS), odds).otherwise(0.0)
+        enough = F.when(odds > 0, F.col(f"n_{k}")).otherwise(F.col("n") - F.col(f"n_{k}")) >= LEAST_DOCS
+        return F.when(enough & (chi2(k) >= LEAST_CHI2) & (F.abs(odds) >= LEAST_ODDS), odds).otherwise(0.0)
 
     weights = [evidence(k).alias(f"w_{k}") for k in range(n_domains)]
     model = stored(seen.where(often).select("bucket", *weights).where(" or ".join(f"w_{k} <> 0" for k in range(n_domains))))
@@ -135,13 +138,13 @@ def inverse(matrix: list[list[float]], damping: float) -> list[list[float]]:
     return [row[n:] for row in rows]
 
 
-def fitted_rates(members: DataFrame, weights: Sequence[float], steady: int | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[Column, list[float], list[float]]:
+def fitted_rates(members: DataFrame, weights: Sequence[float], steady: int | None = None, most: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[Column, list[float], list[float]]:
     """The rate of a row of ``members`` (a stored table with ``n_tokens`` and ``p``) as a column, the targets, and the totals that the rates give.
 
     Targets share a total by ``weights``: the tokens there are or, with ``steady``, as many as leave that domain its own.
-    Rates start at 1. With A the domains' expected tokens per unit of each rate, a step goes down the gradient of
-    |A r - target|^2, scaled by (A N^-1 A')^-1 over the rates that are not at zero, N the documents' tokens, and clips at
-    zero; a step that would not lower |A r - target| is damped to a shorter, plainer one. The scaling makes few steps
+    Rates are at least 0 and, with ``most``, at most that; they start at 1. With A the domains' expected tokens per unit of each rate, a step goes down the gradient of
+    |A r - target|^2, scaled by (A N^-1 A')^-1 over the rates that no bound holds, N the documents' tokens, and is clipped
+    at the bounds; a step that would not lower |A r - target| is damped to a shorter, plainer one. The scaling makes few steps
     enough, and a document's length doesn't bend its rate. Targets that no rates reach are approached as far as steps help. A rate is a chain of
     the clipped steps, so no step writes a table.
     """
@@ -149,32 +152,41 @@ def fitted_rates(members: DataFrame, weights: Sequence[float], steady: int | Non
     n, p = F.col("n_tokens").cast("double"), [F.col("p")[k] for k in range(len(weights))]
     pairs = [(i, j) for i in domains for j in domains if i <= j]
 
-    def sums(rate: Column) -> tuple[list[float], list[list[float]]]:
-        """The domains' totals, and the metric of the rates that are not at zero."""
-        got = members.agg(*[F.coalesce(F.sum(n * p[i] * rate), F.lit(0.0)) for i in domains], *[F.coalesce(F.sum(F.when(rate > 0, n * p[i] * p[j])), F.lit(0.0)) for i, j in pairs]).first()
+    def sums(rate: Column) -> list[float]:
+        return [float(x) for x in members.agg(*[F.coalesce(F.sum(n * p[i] * rate), F.lit(0.0)) for i in domains]).first()]
+
+    def gram(rate: Column, error: list[float]) -> list[list[float]]:
+        """A N^-1 A' over the rates that a step down the gradient changes."""
+        slope = sum(p[i] * error[i] for i in domains)
+        free = (rate > 0) | (slope < 0)
+        if most is not None:
+            free = free & ((rate < most) | (slope > 0))
+        got = members.agg(*[F.coalesce(F.sum(F.when(free, n * p[i] * p[j])), F.lit(0.0)) for i, j in pairs]).first()
         matrix = [[0.0] * len(weights) for _ in domains]
-        for (i, j), x in zip(pairs, got[len(weights) :], strict=True):
+        for (i, j), x in zip(pairs, got, strict=True):
             matrix[i][j] = matrix[j][i] = float(x)
-        return [float(x) for x in got[: len(weights)]], matrix
+        return matrix
 
-    rate = F.lit(1.0)
-    totals, matrix = sums(rate)
+    rate = F.lit(1.0 if most is None else min(1.0, most))
+    totals = sums(rate)
     share = [w / sum(weights) for w in weights]
     whole = sum(totals) if steady is None or not share[steady] else totals[steady] / share[steady]
     targets = [s * whole for s in share]
     off = lambda totals: sum((x - t) ** 2 for x, t in zip(totals, targets, strict=True))
-    damping = 1e-9
+    damping, matrix = 1e-9, None
     for _ in range(steps):
         error = [x - t for x, t in zip(totals, targets, strict=True)]
         if max(map(abs, error)) <= tolerance * max(whole, 1.0) or damping > 1e6:
             break
+        matrix = matrix or gram(rate, error)
         metric = inverse(matrix, damping)
         move = [sum(metric[i][j] * error[j] for j in domains) for i in domains]
         further = F.greatest(F.lit(0.0), rate - sum(p[i] * move[i] for i in domains))
-        got, next_matrix = sums(further)
+        further = further if most is None else F.least(F.lit(float(most)), further)
+        got = sums(further)
         if off(got) < off(totals):
             gain = 1 - off(got) / off(totals)
-            rate, totals, matrix, damping = further, got, next_matrix, max(1e-9, damping / 10)
+            rate, totals, matrix, damping = further, got, None, max(1e-9, damping / 10)
             if gain < 1e-5:
                 break
         else:
@@ -182,14 +194,14 @@ def fitted_rates(members: DataFrame, weights: Sequence[float], steady: int | Non
     return rate, targets, totals
 
 
-def mixed(docs: DataFrame, labels: DataFrame, weights: Sequence[float], keep: list[str], key: str = "doc_id", text: str = "text", steady: int | None = None, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, weights: Sequence[float], keep: list[str], key: str = "doc_id", text: str = "text", steady: int | None = None, most: float | None = None, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """``keep`` columns, ``n_tokens``, ``p`` and ``rate`` of every row.
 
     A null or empty text has no tokens: it belongs to the domains by their priors, gets a rate like others and adds nothing.
     Rows that repeat each count. Null keys have no label but get a rate. An empty table gives an empty one.
     """
     members = stored(memberships(docs, classifier(docs, labels, len(weights), key, text, train_docs), keep, text))
-    rate, _, _ = fitted_rates(members, weights, steady)
+    rate, _, _ = fitted_rates(members, weights, steady, most)
     return members.withColumn("rate", rate)
 
 

@@ -203,20 +203,19 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, distance: int = DISTANCE, key_bits: int = KEY_BITS) -> DataFrame:
-    """``key``, ``fp`` and ``component`` (smallest key reachable by links, its own included) of every row.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), width: int = SHINGLE, distance: int = DISTANCE, key_bits: int = KEY_BITS) -> DataFrame:
+    """``key``, ``keep`` columns, ``fp``, ``root`` (smallest fingerprint of the component) and ``component`` (smallest key in it) of every row.
 
     Null and empty texts, and texts without words, have fingerprint zero and are linked like any other. Rows that repeat a
     key keep their own row. Null keys never are a component's name unless all its keys are null. Other columns are not
     read; an empty table gives an empty one. Exact copies share a fingerprint and are one node, however many there are.
     """
-    fps = stored(fingerprints(docs, [key], text, width))
+    fps = stored(fingerprints(docs, [key, *keep], text, width))
     nodes = stored(fps.groupBy("fp").agg(F.min(key).alias("first")))
     linked = stored(components(links(nodes.select("fp"), distance, key_bits)))
-    named = nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    named = stored(named)
-    names = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "component")
-    return fps.join(names, "fp").select(key, "fp", "component")
+    named = stored(nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
+    names = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "root", "component")
+    return fps.join(names, "fp").select(key, *keep, "fp", "root", "component")
 
 
 def hex_digits(fp: Column) -> Column:
