@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from sessionsmith.llm import warc
+from sessionsmith.llm.common import shared_path, stored
+
+BODIES = [None, "", "x" * 99, "y" * 100, "WARC/1.1\r\n\r\nContent-Length: 5\r\n\r\n" * 8, "é" * 60, "\r\n\r\n" * 50, "z" * 300]
+URLS = [None, "http://www.A.com:80/b/?z=1&a=2#f", "https://b.org", "not a url", "http://[bad", "http://x.y/\r\nq"]
+COLUMNS = "page_id bigint, url string, html string"
+
+
+def expected(rows):
+    body = {i: (h or "").encode() for i, _, h in rows}
+    first = {}
+    for i in sorted(body):
+        first.setdefault(body[i], i)
+    out = []
+    for i, b in body.items():
+        again = len(b) >= 100 and first[b] < i
+        out.append((i, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", first[b] if again else None))
+    return sorted(out)
+
+
+def digest(row):
+    return row.page_id, row.payload_bytes, row.payload_digest, row.record_type, row.refers_to
+
+
+def test_loser_tree_merges(rng):
+    for _ in range(200):
+        runs = [sorted((rng.randint(0, 20), i) for i in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 9))]
+        assert list(warc.LoserTree([[(x, x) for x in r] for r in runs])) == sorted(x for r in runs for x in r)
+
+
+def test_round_trip_and_global_order(spark, rng, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 5_000)
+    rows = [(i, rng.choice(URLS), rng.choice(BODIES)) for i in range(200)]
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, COLUMNS).repartition(4), path)
+    runs = stored(warc.read_runs(spark, path))
+    assert runs.select("run").distinct().count() > 4
+    index = warc.merged(runs, range_rows=40).withColumn("part", F.spark_partition_id()).collect()
+    assert len({r.part for r in index}) > 2
+    order = [warc.order_of(tuple(r)) for r in index]
+    assert order == sorted(order)
+    assert sorted(map(digest, index)) == expected(rows)
+
+
+def test_index_finds_records(spark):
+    """Offset and length lead to the record."""
+    import gzip
+
+    rows = [(i, f"http://a.b/{i}", f"<p>{i}</p>" * 30) for i in range(20)]
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, COLUMNS).coalesce(1), path)
+    files = {r.path.rpartition("/")[2]: gzip.decompress(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()}
+    for r in warc.read_runs(spark, path).collect():
+        record = files[r.run][r.offset : r.offset + r.length]
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(f"<p>{r.page_id}</p>".encode() * 30)
+        assert hashlib.sha256(record.rpartition(b"\r\n\r\n")[2]).hexdigest() == r.payload_digest
+
+
+def test_nulls_repeats_empty(spark):
+    body = "y" * 200
+    rows = [(None, None, body), (None, None, body), (3, None, body), (3, None, body), (5, "u", body), (None, "u", "q" * 200), (7, "v", "w" * 2_000_000)]
+    got = [digest(r)[:2] + digest(r)[3:] for r in warc.archived(spark.createDataFrame(rows, COLUMNS).withColumn("digest", F.lit(1)).withColumn("run", F.lit(2))).collect()]
+    want = [(None, 200, "revisit", 3)] * 2 + [(3, 200, "response", None)] * 2 + [(5, 200, "revisit", 3), (None, 200, "response", None), (7, 2_000_000, "response", None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert warc.archived(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def test_url_key():
+    same = ["http://www.A.com:80/b/?z=1&a=2#f", "https://a.com/b?a=2&z=1"]
+    assert len({warc.url_key(u) for u in same}) == 1
+    assert warc.url_key("http://x.org:8080/") == "org,x:8080)/"
+    assert warc.url_key(None) == ""
+    assert warc.url_key("http://[bad") == "http://[bad"
