@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -59,15 +60,24 @@ def local_session(cores: int | str = "*", app: str = "sessionsmith", **conf: str
     return spark
 
 
+#: Set to true where ``file:`` paths are a mount that all executors share.
+SHARED_FILES = "spark.sessionsmith.sharedFileCheckpoint"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster the setting names a shared folder that survives executor
-    loss; a machine-local folder is only created for local test sessions.
+    loss, so a ``file:`` path is refused there unless ``SHARED_FILES`` says
+    that it is a shared mount. A machine-local folder is only created for
+    local test sessions.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
+        shared = sc.master.startswith("local") or sc.getConf().get(SHARED_FILES, "false").lower() == "true"
+        if not shared and _scheme(spark, current) == "file":
+            raise RuntimeError(f"spark.checkpoint.dir is the local folder {current}; name a shared one, or set {SHARED_FILES}")
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
@@ -78,40 +88,76 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df):
-    """Write ``df`` as a Parquet table under the session's checkpoint folder
-    and return a reader over it.
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _scheme(spark: SparkSession, path: str) -> str:
+    return _filesystem(spark, path)[1].getScheme()
+
 
-    Used for an intermediate read by several consumers: the upstream scan
-    and aggregate run once, lineage is cut (a lost executor costs a re-read,
-    not a recomputation from the raw files), and, unlike an RDD checkpoint,
-    each consumer reads only the columns it needs from compressed files.
+class Workspace:
+    """The intermediate tables of one run. Whoever makes it releases it; other runs of the session keep theirs.
+
+    Use as a context manager, so that a failing run leaves nothing behind::
+
+        with Workspace(spark) as work:
+            grain = work.materialize(grain)
     """
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.setdefault(id(spark), []).append(path)
-    return spark.read.parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def materialize(self, df):
+        """Write ``df`` as a Parquet table under the session's checkpoint folder
+        and return a reader over it.
+
+        Used for an intermediate read by several consumers: the upstream scan
+        and aggregate run once, lineage is cut (a lost executor costs a re-read,
+        not a recomputation from the raw files), and, unlike an RDD checkpoint,
+        each consumer reads only the columns it needs from compressed files.
+        """
+        path = os.path.join(ensure_checkpoint_dir(self.spark), "tables", uuid.uuid4().hex)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self, since: int = 0) -> int:
+        """Delete the tables after the first ``since``; returns how many."""
+        drop, self.paths = self.paths[since:], self.paths[:since]
+        for p in drop:
+            path, fs = _filesystem(self.spark, p)
+            fs.delete(path, True)
+        return len(drop)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+#: Of registered queries, whose lazy results read their tables after the call.
+_DEFAULT: weakref.WeakKeyDictionary[SparkSession, Workspace] = weakref.WeakKeyDictionary()
+
+
+def default_workspace(spark: SparkSession) -> Workspace:
+    """The session's workspace for results that outlive the call that makes them."""
+    return _DEFAULT.setdefault(spark, Workspace(spark))
 
 
-_MATERIALIZED: dict[int, list[str]] = {}
+def materialize(df, work: Workspace | None = None):
+    """``Workspace.materialize`` in ``work``, or in the session's default one."""
+    return (work or default_workspace(df.sparkSession)).materialize(df)
 
 
 def materialized_mark(spark: SparkSession) -> int:
-    """A mark for ``release_materialized``: tables written after it are released."""
-    return len(_MATERIALIZED.get(id(spark), []))
+    """A mark for ``release_materialized``: tables of the default workspace written after it are released."""
+    return len(default_workspace(spark).paths)
 
 
 def release_materialized(spark: SparkSession, since: int = 0) -> int:
-    """Delete the tables ``materialize`` wrote for this session after the
-    mark ``since`` (call once nothing reads them any more, e.g. after a
-    pipeline wrote its output). Returns how many were removed."""
-    paths = _MATERIALIZED.get(id(spark), [])
-    drop, keep = paths[since:], paths[:since]
-    _MATERIALIZED[id(spark)] = keep
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in drop:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    return len(drop)
+    """Delete the tables of the session's default workspace after the mark ``since``."""
+    return default_workspace(spark).release(since)

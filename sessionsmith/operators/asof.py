@@ -6,14 +6,16 @@ at or before it (``backward``). It is expressed as a union of both sides
 and a ``last(..., ignorenulls)`` running window.
 
 Scale: a window partitioned by the key alone would put a hot key (one
-account holding a third of all rows) into one task. The window is
-therefore partitioned by ``(key, time bucket)``. A left row whose match
-lies in a later (forward) or earlier (backward) bucket gets it from a
-"carry" row: per key, the nearest right row outside each bucket, found by
-a second window over at most one row per (key, bucket) -- its size is
-bounded by the time span divided by the bucket width, not by the data.
-Carry rows join the first window as extra right rows, so no join back is
-needed.
+account holding a third of all rows) into one task. Time is therefore cut
+into coarse buckets (a day) and fine ones (a minute), and the main window is
+partitioned by ``(key, fine bucket)``, so even a key that is hot within one
+day is spread. A left row whose match lies in another fine bucket gets it
+from a "carry" row: the nearest right row outside the bucket, found by a
+window over the fine buckets of one coarse bucket (their number is fixed)
+and a window over the coarse buckets of a key (bounded by the time span).
+Carry rows join the main window as extra right rows, so no join back is
+needed. Left rows with a null key or time match nothing; they are set aside
+and never meet in one task.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import sql_micros_between
 
-_T, _SIDE, _B, _R, _M = "__asof_t", "__asof_side", "__asof_b", "__asof_r", "__asof_m"
+_T, _SIDE, _D, _B, _R, _M = "__asof_t", "__asof_side", "__asof_d", "__asof_b", "__asof_r", "__asof_m"
 
 
 def _bucket_sql(t: str, bucket_seconds: int) -> str:
@@ -48,6 +50,7 @@ def asof_join(
     matched_time: str | None = None,
     bucket_seconds: int = 86400,
     allow_exact: bool = True,
+    fine_seconds: int = 60,
 ) -> DataFrame:
     """Join each left row to the nearest right row in time.
 
@@ -62,8 +65,9 @@ def asof_join(
         tolerance_seconds: a match further away than this counts as none
             (``None`` or 0: no limit).
         matched_time: name for the matched right time in the output.
-        bucket_seconds: width of the time buckets that split a key.
+        bucket_seconds: width of the coarse time buckets that split a key.
         allow_exact: whether equal times match.
+        fine_seconds: width of the fine time buckets, at most ``bucket_seconds``.
     """
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
@@ -76,6 +80,8 @@ def asof_join(
     payload = list(payload)
     fwd = direction == "forward"
 
+    fine = min(fine_seconds, bucket_seconds)
+
     # Right rows as one orderable struct: (time, tie..., payload...).
     fields = [f"'t', {right_time}"]
     fields += [f"'k{i}', {c}" for i, c in enumerate(tie)]
@@ -85,41 +91,57 @@ def asof_join(
     r = right.where(r_ok).selectExpr(
         *by,
         f"{right_time} AS {_T}",
-        f"{_bucket_sql(right_time, bucket_seconds)} AS {_B}",
+        f"{_bucket_sql(right_time, bucket_seconds)} AS {_D}",
+        f"{_bucket_sql(right_time, fine)} AS {_B}",
         f"named_struct({', '.join(fields)}) AS {_R}",
     )
     left_cols = left.columns
-    lt = left.withColumns(
-        {_T: F.col(left_time), _B: F.expr(_bucket_sql(left_time, bucket_seconds))}
+    l_ok = " AND ".join(f"`{c}` IS NOT NULL" for c in [left_time, *by])
+    lt = left.where(l_ok).withColumns(
+        {
+            _T: F.col(left_time),
+            _D: F.expr(_bucket_sql(left_time, bucket_seconds)),
+            _B: F.expr(_bucket_sql(left_time, fine)),
+        }
     )
 
-    # Carry: for each (key, bucket) holding left rows, the nearest right row
-    # in a strictly later (forward) / earlier (backward) bucket. One
-    # aggregate gives, per (key, bucket), "has left rows" and the best right
-    # row; a window over those bucket rows carries the best one across.
+    # Carry: for each (key, fine bucket) holding left rows, the nearest right
+    # row in a strictly later (forward) / earlier (backward) bucket. One
+    # aggregate gives, per fine bucket, "has left rows" and the best right row.
+    # Then a window over the fine buckets of a coarse one, and a window over
+    # the coarse buckets of a key, carry the best ones across.
     pick = "min" if fwd else "max"
     per_bucket = (
-        lt.where(F.col(_T).isNotNull())
-        .selectExpr(*by, _B, f"1 AS {_SIDE}")
-        .unionByName(r.selectExpr(*by, _B, f"0 AS {_SIDE}", _R), allowMissingColumns=True)
-        .groupBy(*by, _B)
+        lt.selectExpr(*by, _D, _B, f"1 AS {_SIDE}")
+        .unionByName(r.selectExpr(*by, _D, _B, f"0 AS {_SIDE}", _R), allowMissingColumns=True)
+        .groupBy(*by, _D, _B)
         .agg(F.expr(f"max({_SIDE}) AS {_SIDE}"), F.expr(f"{pick}({_R}) AS {_R}"))
     )
     keys = ", ".join(by)
     bdir = "DESC" if fwd else "ASC"
+    preceding = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    within = per_bucket.selectExpr(
+        *by, _D, _B, _SIDE, _R,
+        f"last({_R}, true) OVER (PARTITION BY {keys}, {_D} ORDER BY {_B} {bdir} {preceding}) AS __asof_near",
+        f"{pick}({_R}) OVER (PARTITION BY {keys}, {_D}) AS __asof_day",
+        f"row_number() OVER (PARTITION BY {keys}, {_D} ORDER BY {_B} {bdir}) AS __asof_n",
+    )
+    # The coarse buckets: one row each, the first of its fine ones.
+    across = within.where("__asof_n = 1").selectExpr(
+        *[f"{c} AS __asof_k{i}" for i, c in enumerate(by)],
+        f"{_D} AS __asof_dd",
+        f"last(__asof_day, true) OVER (PARTITION BY {keys} ORDER BY {_D} {bdir} {preceding}) AS __asof_far",
+    )
+    same = " AND ".join([*(f"{c} = __asof_k{i}" for i, c in enumerate(by)), f"{_D} = __asof_dd"])
     carry = (
-        per_bucket.selectExpr(
-            *by,
-            _B,
-            _SIDE,
-            f"last({_R}, true) OVER (PARTITION BY {keys} ORDER BY {_B} {bdir} "
-            f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS {_M}",
-        )
-        .where(f"{_SIDE} = 1 AND {_M} IS NOT NULL")
-        .selectExpr(*by, _B, f"{_M}.t AS {_T}", f"{_M} AS {_R}")
+        within.where(f"{_SIDE} = 1")
+        .join(across.where("__asof_far IS NOT NULL"), F.expr(same), "left")
+        .withColumn(_M, F.expr("coalesce(__asof_near, __asof_far)"))
+        .where(f"{_M} IS NOT NULL")
+        .selectExpr(*by, _D, _B, f"{_M}.t AS {_T}", f"{_M} AS {_R}")
     )
 
-    # Main window per (key, bucket): right rows, carry rows and left rows.
+    # Main window per (key, fine bucket): right rows, carry rows and left rows.
     # Without exact matches, right rows of equal time sort after the left row.
     rights = r.unionByName(carry).withColumn(_SIDE, F.lit(1))
     u = lt.withColumn(_SIDE, F.lit(0)).unionByName(rights, allowMissingColumns=True)
@@ -140,4 +162,7 @@ def asof_join(
     if matched_time:
         sel.append(f"{_M}.t AS `{matched_time}`")
     sel += [f"{_M}.p{i} AS `{c}`" for i, c in enumerate(payload)]
-    return out.selectExpr(*sel)
+    out = out.selectExpr(*sel)
+    if how == "left":
+        out = out.unionByName(left.where(f"NOT ({l_ok})"), allowMissingColumns=True)
+    return out

@@ -168,26 +168,14 @@ def latest_in_range(features: DataFrame, ts: str = S.EVENT_TIME) -> DataFrame:
     return latest_per_key(inside, ts=ts)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_features(
-    ids: DataFrame,
-    online: DataFrame,
-    key: str = S.KEY,
-    broadcast_max_rows: int = 1_000_000,
-) -> DataFrame:
+def lookup_features(ids: DataFrame, online: DataFrame, key: str = S.KEY) -> DataFrame:
     """Features for a list of ids; an unknown id gives a row of nulls.
 
-    The id list is broadcast only after a bounded row count proves it small;
-    then the online table streams past it without a shuffle. Otherwise both
-    sides are shuffled on the key (sort-merge, with AQE skew splitting).
+    A semi join first cuts the online table down to the asked ids. Where
+    the id list is small, Spark broadcasts it by its measured size and the
+    online table streams past it without a shuffle; only the hits are then
+    joined back to the ids.
     """
     ids = ids.select(F.col(key).cast("string").alias(key))
-    if fits(ids, broadcast_max_rows):
-        out = online.join(F.broadcast(ids), key, "right")
-    else:
-        out = ids.join(online, key, "left")
-    return out.select(key, *[c for c in online.columns if c != key])
+    hits = online.join(ids.distinct(), key, "left_semi")
+    return ids.join(hits, key, "left").select(key, *[c for c in online.columns if c != key])

@@ -67,18 +67,20 @@ def _id_text(df: DataFrame, c: str) -> Column:
 
 def _allocate(classes: DataFrame, label: str, count: str, total: str, target: str, out: str) -> DataFrame:
     """Split ``target`` rows over the classes in proportion to ``count``:
-    floors first, then one more for the largest remainders (ties: class
-    order). ``classes`` has one row per label class, so the unpartitioned
+    whole parts first, then one more for the largest remainders (ties: class
+    order). Products are decimals: counts of some billions would overflow a
+    long. ``classes`` has one row per label class, so the unpartitioned
     windows here run over that handful of rows only."""
     every = Window.partitionBy()
-    exact = F.col(target) * F.col(count) / F.col(total)
-    c = classes.withColumn("__ex", exact).withColumn("__fl", F.floor("__ex"))
-    order = Window.orderBy((F.col("__ex") - F.col("__fl")).desc(), F.col(label))
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    product = wide(target) * wide(count)
+    c = classes.withColumn("__rest", product % wide(total)).withColumn("__fl", ((product - product % wide(total)) / wide(total)).cast("bigint"))
+    order = Window.orderBy(F.col("__rest").desc(), F.col(label))
     c = c.withColumn("__rk", F.row_number().over(order)).withColumn(
         "__left", F.col(target) - F.sum("__fl").over(every)
     )
     return c.withColumn(out, F.col("__fl") + (F.col("__rk") <= F.col("__left")).cast("long")).drop(
-        "__ex", "__fl", "__rk", "__left"
+        "__rest", "__fl", "__rk", "__left"
     )
 
 
@@ -120,33 +122,34 @@ def stratified_split(
     ``test`` rows are test, the next ``val`` rows validation, the rest train.
     The rank is the row count of lower hash buckets (a per-class histogram
     of at most 2^bits rows) plus the rank inside the bucket, so no window
-    ever holds a whole class. Nothing is collected to the driver.
+    ever holds a whole class. The class counts are sums over the histogram,
+    so the input is read twice: for the histogram and for the ranks. Nothing
+    is collected to the driver. A row without a label has no split (null).
     """
+    if buckets_bits % 4 or not 4 <= buckets_bits <= 28:
+        raise ValueError("buckets_bits must be a multiple of 4 from 4 to 28")
     ids = [_id_text(df, c) for c in id_cols]
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), *ids))
     nb = buckets_bits // 4
     hashed = df.withColumn("__h", h).withColumn(
         "__bk", F.conv(F.substring("__h", 1, nb), 16, 10).cast("int")
     )
-    # Class counts and quotas stay in Spark: one row per class, broadcast.
-    qdf = split_quotas(hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, test_size, val_size)
-
-    hist = hashed.groupBy(label, "__bk").agg(F.count(F.lit(1)).alias("__nb"))
+    hist = hashed.where(F.col(label).isNotNull()).groupBy(label, "__bk").agg(F.count(F.lit(1)).alias("__nb"))
+    quotas = split_quotas(hist.groupBy(label).agg(F.sum("__nb").alias("n")), label, test_size, val_size)
     wc = Window.partitionBy(label).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     before = hist.select(label, "__bk", F.coalesce(F.sum("__nb").over(wc), F.lit(0)).alias("__before"))
+    # Both are small, so the rows meet one table keyed by class and bucket, which spreads a class.
+    places = before.join(quotas, label)
     w = Window.partitionBy(label, "__bk").orderBy("__h", *id_cols)
-    ranked = (
-        hashed.withColumn("__rn", F.row_number().over(w))
-        .join(F.broadcast(before), [label, "__bk"], "left")
-        .join(F.broadcast(qdf), label, "left")
-    )
+    ranked = hashed.withColumn("__rn", F.row_number().over(w)).join(places, [label, "__bk"], "left")
     rank = F.col("__before") + F.col("__rn")
     split = (
-        F.when(rank <= F.col("__qt"), F.lit("test"))
+        F.when(F.col(label).isNull(), F.lit(None).cast("string"))
+        .when(rank <= F.col("__qt"), F.lit("test"))
         .when(rank <= F.col("__qt") + F.col("__qv"), F.lit("val"))
         .otherwise(F.lit("train"))
     )
-    return ranked.withColumn("split", split).drop("__h", "__bk", "__rn", "__before", "__qt", "__qv")
+    return ranked.withColumn("split", split).drop("__h", "__bk", "__rn", "__before", "__qt", "__qv").select(*df.columns, "split")
 
 
 # --------------------------------------------------------------------------
@@ -230,6 +233,17 @@ def assembler(features: Sequence[str] = S.FEATURES) -> VectorAssembler:
     )
 
 
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The best round (from 1) when training stops after ``patience`` rounds without gain, and whether that came to pass."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def train_gbt(
     data: DataFrame,
     label: str = S.LABEL,
@@ -237,16 +251,42 @@ def train_gbt(
     params: dict | None = None,
     val_col: str | None = "is_val",
     seed: int = S.SEED,
+    patience: int = S.PATIENCE,
 ) -> PipelineModel:
-    """Boosted trees on the training rows; rows with ``val_col`` true are the
-    validation set that stops boosting early. ``params`` replace defaults."""
+    """Boosted trees on the training rows; ``params`` replace defaults.
+
+    Rows with ``val_col`` true are the validation set. Boosting stops after
+    ``patience`` rounds without a lower validation loss, and the model keeps
+    the rounds up to the best one. Trees depend on the rounds before them and
+    on the seed only, so the model with fewer rounds is the beginning of the
+    one with more: rounds are fitted in growing numbers until the stop shows,
+    then once more up to the best round.
+    """
     p = {**S.GBT_DEFAULTS, **(params or {})}
-    kwargs = dict(labelCol=label, featuresCol="features", seed=seed, **p)
-    if val_col is not None and val_col in data.columns:
-        kwargs["validationIndicatorCol"] = val_col
-    gbt = GBTClassifier(**kwargs)
+    rounds = p.pop("maxIter")
     prepared = fill_features(data, features).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[assembler(features), gbt]).fit(prepared)
+
+    def fit(rows: DataFrame, n: int) -> PipelineModel:
+        gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed, maxIter=n, **p)
+        return Pipeline(stages=[assembler(features), gbt]).fit(rows)
+
+    if val_col is None or val_col not in data.columns:
+        return fit(prepared, rounds)
+    train, valid = prepared.where(~F.col(val_col)).cache(), prepared.where(F.col(val_col)).cache()
+    try:
+        if valid.isEmpty():
+            return fit(train, rounds)
+        tried = min(rounds, max(2 * patience, 1))
+        while True:
+            model = fit(train, tried)
+            losses = model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid))
+            best, stopped = stopping_round(losses, patience)
+            if stopped or tried >= rounds:
+                return model if best == tried else fit(train, best)
+            tried = min(rounds, 2 * tried)
+    finally:
+        train.unpersist()
+        valid.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str] = S.FEATURES) -> DataFrame:
@@ -266,14 +306,18 @@ def iteration_log_loss(model: PipelineModel, df: DataFrame, label: str = S.LABEL
     return [x / 2.0 for x in gbt.evaluateEachIteration(assembled)]
 
 
+def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
+    """The k rows with the largest ``by``, ties by ``tie``: one partial top-k per task."""
+    return df.orderBy(F.col(by).desc_nulls_last(), F.col(tie)).limit(k)
+
+
 def topk_importance(model: PipelineModel, features: Sequence[str] = S.FEATURES, k: int = 10) -> DataFrame:
     """The k largest feature importances, descending."""
     spark = SparkSession.getActiveSession()
     gbt = model.stages[-1]
     names = [*features, "has_features"]
     rows = [(n, float(v)) for n, v in zip(names, gbt.featureImportances.toArray())]
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(k)
+    return top_k(spark.createDataFrame(rows, "feature string, importance double"), "importance", k, "feature")
 
 
 def batch_score(

@@ -41,62 +41,50 @@ def file_rules(grain: DataFrame) -> DataFrame:
     )
 
 
-def bad_time_examples(logs: DataFrame, rules: DataFrame, read_files=None) -> DataFrame:
+def bad_time_examples(logs: DataFrame, rules: DataFrame) -> DataFrame:
     """The smallest badly formatted time text of each file that has one.
 
     Kept out of the grain aggregate on purpose: a string ``min`` buffer
     turns a HashAggregate into a SortAggregate, which would sort every raw
-    row. With ``read_files`` (paths -> raw frame, as ``scan_logs`` gives),
-    only the files already known to hold a bad time are read again; the
-    short list of their paths comes from the (small) per-file rules.
-    Without it, rows are semi-joined with that file list.
+    row. Rows are semi-joined with the files known to hold a bad time. It is
+    lazy: only whoever asks for the reasons reads the rows again.
     """
     bad_files = rules.where(F.col("n_bad_time") > 0).select(S.FILE)
     bad = F.col("time").isNotNull() & parse_time("time").isNull()
-    if read_files is not None:
-        paths = [r[0] for r in bad_files.collect()]
-        if not paths:
-            return rules.sparkSession.createDataFrame([], f"{S.FILE} string, bad_time string")
-        rows = read_files(paths).select(S.FILE, "time")
-    else:
-        rows = logs.select(S.FILE, "time").join(bad_files, S.FILE, "left_semi")
-    return rows.where(bad).groupBy(S.FILE).agg(F.min("time").alias("bad_time"))
+    rows = logs.select(S.FILE, "time").where(bad).join(bad_files, S.FILE, "left_semi")
+    return rows.groupBy(S.FILE).agg(F.min("time").alias("bad_time"))
 
 
 def validate_logs(
     grain: DataFrame,
     footers: DataFrame | None = None,
     logs: DataFrame | None = None,
-    read_files=None,
     with_reasons: bool = True,
 ) -> DataFrame:
     """Status per file: ``(source_file, status, reason)``.
 
-    Rules in order: empty, missing columns, nulls in critical columns, type,
-    time format, negative session, negative level, level above the maximum,
-    then "no tracked event with a positive session". Every row is checked
-    (the source checks the time format on the first row only and fails
-    later rows by an exception). Rejections are ``skipped``; files that
-    cannot be read are ``failed``. ``with_reasons=False`` gives only
+    Rules in order: unreadable, empty, missing columns, not all rows read,
+    nulls in critical columns, type, time format, negative session, negative
+    level, level above the maximum, then "no tracked event with a positive
+    session". Every row is checked (the source checks the time format on the
+    first row only and fails later rows by an exception). A file that can't
+    be read, or not whole, or of which nothing is known is ``failed``;
+    other rejections are ``skipped``. ``with_reasons=False`` gives only
     ``(source_file, status)``, enough for quarantine.
     """
     r = file_rules(grain)
-    if not with_reasons:
-        if footers is not None:
-            r = footers.join(r, S.FILE, "left")
+    if with_reasons:
+        if logs is not None:
+            r = r.join(bad_time_examples(logs, r), S.FILE, "left")
         else:
-            none = F.lit(None).cast("string")
-            r = r.withColumns({"read_error": none, "missing": none, "not_numeric": none, "footer_rows": F.col("n_rows")})
-        return r.selectExpr(S.FILE, f"{_STATUS} AS status")
-    if logs is not None:
-        r = r.join(bad_time_examples(logs, r, read_files), S.FILE, "left")
-    else:
-        r = r.withColumn("bad_time", F.expr("concat(CAST(n_bad_time AS STRING), ' rows')"))
+            r = r.withColumn("bad_time", F.expr("concat(CAST(n_bad_time AS STRING), ' rows')"))
     if footers is not None:
         r = footers.join(r, S.FILE, "left")
     else:
         none = F.lit(None).cast("string")
         r = r.withColumns({"read_error": none, "missing": none, "not_numeric": none, "footer_rows": F.col("n_rows")})
+    if not with_reasons:
+        return r.selectExpr(S.FILE, f"{_STATUS} AS status")
     return r.selectExpr(S.FILE, f"{_STATUS} AS status", f"{_REASON} AS reason")
 
 
@@ -115,33 +103,29 @@ _NULL_COUNTS = {
 _NULL_LIST = "concat('[', concat_ws(', ', {}), ']')".format(
     ", ".join(f"CASE WHEN {_NULL_COUNTS[c]} > 0 THEN {sql_text(repr(c))} END" for c in S.CRITICAL_COLUMNS)
 )
-# The rules in order, as (condition, message); the first that holds wins.
+# The rules in order, as (condition, status, message); the first that holds wins.
 _RULES = [
-    ("coalesce(footer_rows, n_rows, 0) = 0", sql_text(S.MSG_EMPTY)),
-    ("missing IS NOT NULL", _template(S.MSG_MISSING, "missing")),
+    ("read_error IS NOT NULL", "failed", "read_error"),
+    ("footer_rows IS NULL AND n_rows IS NULL", "failed", sql_text(S.MSG_UNREAD)),
+    ("coalesce(footer_rows, n_rows) = 0", "skipped", sql_text(S.MSG_EMPTY)),
+    ("missing IS NOT NULL", "skipped", _template(S.MSG_MISSING, "missing")),
+    ("not_numeric IS NOT NULL", "skipped", _template(S.MSG_NOT_NUMERIC, "not_numeric")),
+    ("coalesce(n_rows, 0) <> footer_rows", "failed", _template(S.MSG_PARTLY, "concat(coalesce(n_rows, 0), ' of ', footer_rows)")),
     (
         "n_null_time > 0 OR n_null_session > 0 OR n_null_account > 0 OR n_null_logid > 0",
+        "skipped",
         _template(S.MSG_NULLS, _NULL_LIST),
     ),
-    ("not_numeric IS NOT NULL", _template(S.MSG_NOT_NUMERIC, "not_numeric")),
-    ("n_bad_time > 0", _template(S.MSG_TIME_FORMAT, "bad_time")),
-    ("n_neg_session > 0", sql_text(S.MSG_NEG_SESSION)),
-    ("n_neg_level > 0", sql_text(S.MSG_NEG_LEVEL)),
-    ("n_high_level > 0", sql_text(S.MSG_HIGH_LEVEL)),
-    ("n_tracked_pos = 0", sql_text(S.MSG_NO_SESSIONS)),
+    ("n_bad_time > 0", "skipped", _template(S.MSG_TIME_FORMAT, "bad_time")),
+    ("n_neg_session > 0", "skipped", sql_text(S.MSG_NEG_SESSION)),
+    ("n_neg_level > 0", "skipped", sql_text(S.MSG_NEG_LEVEL)),
+    ("n_high_level > 0", "skipped", sql_text(S.MSG_HIGH_LEVEL)),
+    ("n_tracked_pos = 0", "skipped", sql_text(S.MSG_NO_SESSIONS)),
 ]
-_REASON = (
-    "CASE WHEN read_error IS NOT NULL THEN read_error "
-    + " ".join(f"WHEN {cond} THEN {msg}" for cond, msg in _RULES)
-    + " ELSE '' END"
-)
+_REASON = "CASE " + " ".join(f"WHEN {cond} THEN {msg}" for cond, _, msg in _RULES) + " ELSE '' END"
 # The status needs only the conditions, not the messages, so a plan that
 # only quarantines never computes the message parts.
-_STATUS = (
-    "CASE WHEN read_error IS NOT NULL THEN 'failed' WHEN "
-    + " OR ".join(f"coalesce({cond}, false)" for cond, _ in _RULES)
-    + " THEN 'skipped' ELSE 'success' END"
-)
+_STATUS = "CASE " + " ".join(f"WHEN {cond} THEN '{status}'" for cond, status, _ in _RULES) + " ELSE 'success' END"
 
 
 def quarantine(df: DataFrame, status: DataFrame) -> DataFrame:
@@ -164,7 +148,7 @@ def file_status_counts(status: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 _NUMERIC_ORDER = ["session", "logid", "actor_level"]
-_FOOTER_SCHEMA = f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string"
+_FOOTER_SCHEMA = f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string, signature string"
 
 
 def _footer_reader(required: list[str], numeric: list[str], file_col: str):
@@ -173,26 +157,54 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
     this package there."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import urlsplit
+
         import pandas as pd
         import pyarrow.parquet as pq
         import pyarrow.types as pat
         from pyarrow import fs as pafs
 
-        cols = [file_col, "footer_rows", "missing", "not_numeric", "read_error"]
+        cols = [file_col, "footer_rows", "missing", "not_numeric", "read_error", "signature"]
+        stores: dict[tuple[str, str], object] = {}
+
+        def opened(path: str):
+            """The store of a plain path and the path in it. Local paths are not parsed as URIs: they may hold any character."""
+            if path.startswith("file:"):
+                path = "/" + path[len("file:") :].lstrip("/")
+            if path.startswith("/"):
+                return stores.setdefault(("file", ""), pafs.LocalFileSystem()), path
+            scheme, _, rest = path.partition("://")
+            bucket, _, inner = rest.partition("/")
+            arrow = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            if (scheme, bucket) not in stores:
+                stores[scheme, bucket] = pafs.FileSystem.from_uri(f"{arrow}://{urlsplit(f'x://{bucket}').netloc}/")[0]
+            return stores[scheme, bucket], inner if arrow in ("hdfs", "viewfs") and inner.startswith("/") else f"/{inner}" if arrow == "hdfs" else f"{bucket}/{inner}"
+
+        def stored_type(t) -> str | None:
+            """The Spark type that reads a stored number or text; None for other types."""
+            if pat.is_dictionary(t):
+                t = t.value_type
+            if pat.is_uint64(t):
+                return "decimal(20,0)"
+            if pat.is_integer(t):
+                return "bigint"
+            if pat.is_floating(t):
+                return "double" if pat.is_float64(t) else "float"
+            if pat.is_decimal(t):
+                return f"decimal({t.precision},{t.scale})"
+            if pat.is_string(t) or pat.is_large_string(t):
+                return "string"
+            return "int" if pat.is_null(t) else None
+
         for pdf in batches:
             out = []
-            for path in pdf["path"]:
+            for name, path in zip(pdf[file_col], pdf["path"], strict=True):
                 row = dict.fromkeys(cols)
-                row[file_col] = path
-                uri = path
-                for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
-                    if uri.startswith(hadoop):
-                        uri = arrow + uri[len(hadoop):]
+                row[file_col] = name
                 try:
-                    filesystem, inner = pafs.FileSystem.from_uri(uri)
+                    filesystem, inner = opened(path)
                 except Exception:
-                    # a store pyarrow cannot open here: footer facts stay
-                    # unknown and the row-derived rules decide alone
+                    # a store pyarrow cannot open here: the footer stays unknown
                     out.append(row)
                     continue
                 try:
@@ -204,12 +216,16 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
                     missing = [c for c in required if c not in names]
                     if missing:
                         row["missing"] = "[" + ", ".join(f"'{c}'" for c in missing) + "]"
-                    for c in numeric:
-                        if c in names:
-                            t = arrow_schema.field(c).type
-                            if not (pat.is_integer(t) or pat.is_floating(t) or pat.is_null(t)):
-                                row["not_numeric"] = c
-                                break
+                    types = {c: stored_type(arrow_schema.field(c).type) if c in names else "int" for c in required}
+                    wrong = [c for c in numeric if types[c] in (None, "string")]
+                    if wrong:
+                        row["not_numeric"] = wrong[0]
+                    elif types["time"] not in ("string", "int") and not missing:
+                        row["read_error"] = f"TypeError: column 'time' must be text, not {arrow_schema.field('time').type}"
+                    elif None not in types.values() and not missing:
+                        row["signature"] = ";".join("string" if c == "time" else types[c] for c in required)
+                    elif not missing:
+                        row["read_error"] = f"TypeError: column '{next(c for c in required if types[c] is None)}' has a type that can't be read"
                 except Exception as exc:  # unreadable file: reported, not raised
                     row["read_error"] = f"{type(exc).__name__}: {exc}"[:500]
                 out.append(row)
@@ -219,8 +235,9 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
 
 
 def footer_facts(listing: DataFrame) -> DataFrame:
-    """Per listed file: row count, missing columns, first non-numeric column
-    and read error, from the Parquet footer only (no data pages). Each task
-    reads the footers of its share of the listing."""
+    """Per listed file (``source_file``, ``path``): row count, missing columns,
+    first non-numeric column, read error, and the stored type of each T1
+    column (``signature``), from the Parquet footer only (no data pages).
+    Each task reads the footers of its share of the listing."""
     reader = _footer_reader(list(S.RAW_COLUMNS), list(_NUMERIC_ORDER), S.FILE)
-    return listing.select("path").mapInPandas(reader, schema=_FOOTER_SCHEMA)
+    return listing.select(S.FILE, "path").mapInPandas(reader, schema=_FOOTER_SCHEMA)

@@ -7,21 +7,24 @@ library operators over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..context import materialize
+from ..context import ensure_checkpoint_dir, materialize
 from ..functions.expressions import level_from_key
 from ..operators import features as feat
 from ..operators import ml
 from ..operators import quality as q
 from ..operators import sessions as sess
-from ..sources.logs import read_label_view, read_log_view, read_table
+from ..sources.labels import scan_labels, write_metrics
+from ..sources.logs import read_label_view, read_log_view, read_table, write_log_files
 from . import train_pipeline as tp
-from .feature_pipeline import preprocess
+from .feature_pipeline import materialize_online, preprocess, preprocess_files, run_feature_pipeline
 
 TTL_SECONDS = 3 * 86400
 
@@ -72,8 +75,41 @@ def q_validate_filtered(spark, sf):
     )
 
 
+def _log_files(spark, sf) -> str:
+    """The log view written as one Parquet file per account, in the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
+    write_log_files(read_log_view(spark, sf), path)
+    return path
+
+
 def q_file_status(spark, sf):
-    return q.file_status_counts(q.validate_logs(_pre(spark, sf).grain, with_reasons=False))
+    """Files by status, of a run over real files."""
+    return q.file_status_counts(preprocess_files(spark, _log_files(spark, sf)).status)
+
+
+def q_feature_pipeline(spark, sf):
+    """Files in, feature table out: listing, footers, scan, validation, sessions, contract check, write."""
+    out = f"{ensure_checkpoint_dir(spark)}/features-{uuid.uuid4().hex}"
+    return run_feature_pipeline(spark, _log_files(spark, sf), out)
+
+
+def q_materialize(spark, sf):
+    """The online view as it is written and read back."""
+    return materialize_online(_snapshots(spark, sf), f"{ensure_checkpoint_dir(spark)}/online-{uuid.uuid4().hex}")
+
+
+def q_scan_labels(spark, sf):
+    """Labels from CSV files with another column order, one more column, labels such as ``1.0`` and some missing."""
+    path = f"{ensure_checkpoint_dir(spark)}/labels-{uuid.uuid4().hex}"
+    events = read_table(spark, sf, "events").where("event_type = 'purchase'")
+    text = F.when(F.pmod("event_id", F.lit(13)) == 0, F.lit(None)).when(F.col("value") < 20, "1.0").otherwise("0.0")
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    events.select(text.alias(S.LABEL), F.lit("x").alias("note"), F.col("user_id").alias(S.KEY), time.alias(S.LABEL_TIME)).write.option("header", True).csv(path)
+    return scan_labels(spark, path)
+
+
+def q_drop_null_labels(spark, sf):
+    return ml.drop_null_labels(q_scan_labels(spark, sf))
 
 
 def q_quarantine(spark, sf):
@@ -176,20 +212,38 @@ def q_log_loss(spark, sf):
     return ml.log_loss(_doc_scores(spark, sf))
 
 
+def q_evaluate(spark, sf):
+    return ml.evaluate(_doc_scores(spark, sf))
+
+
+def q_topk(spark, sf):
+    """The ten documents with the highest score."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    return ml.top_k(docs, "n_chars", 10, "doc_id")
+
+
+def q_head_sample(spark, sf):
+    """The first rows of the feature table, as a run logs them."""
+    return _pre(spark, sf).players.orderBy(S.KEY).limit(5)
+
+
+def q_write_metrics(spark, sf):
+    """Label statistics of two runs, appended to the metrics table and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    stats = ml.label_stats(read_label_view(spark, sf))
+    for run in ("a", "b"):
+        write_metrics(tp.to_long(stats, "").select(F.lit(run).alias("run_id"), "metric", "value", F.lit(None).cast("string").alias("text")), path)
+    return spark.read.parquet(path).select("run_id", "metric", "value")
+
+
 def q_row_counts(spark, sf):
-    logs = read_log_view(spark, sf)
-    pre = preprocess(logs)
-    parts = [
-        ("raw_rows", logs),
-        ("tracked_rows", sess.filter_codes(logs)),
-        ("sessions", pre.sessions),
-        ("accounts", pre.players),
-        ("labels", read_label_view(spark, sf)),
-    ]
-    out = None
-    for name, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        out = one if out is None else out.unionByName(one)
+    """Rows of each stage. Raw and tracked rows are sums of the grain."""
+    pre = _pre(spark, sf)
+    work = materialize(pre.sessions)
+    rows = pre.grain.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("raw_rows"), F.coalesce(F.sum("n_tracked"), F.lit(0)).alias("tracked_rows"))
+    out = rows.selectExpr("stack(2, 'raw_rows', raw_rows, 'tracked_rows', tracked_rows) AS (table_name, n_rows)")
+    for name, df in (("sessions", work), ("accounts", feat.player_features(work)), ("labels", read_label_view(spark, sf))):
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
     return out
 
 
@@ -216,6 +270,49 @@ def q_batch_score(spark, sf):
     return tp.score_accounts(res.model, ids, online)
 
 
+def _small_model(spark, sf):
+    """A model of few rounds over the training set, and that set."""
+    data = materialize(tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf)))
+    return ml.train_gbt(data, params={"maxIter": 3}), data
+
+
+def q_write_model(spark, sf):
+    """A model written and read back scores every row alike."""
+    model, data = _small_model(spark, sf)
+    path = ml.save_model(model, f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}")
+    both = ml.predict(ml.load_model(path), ml.predict(model, data).withColumnsRenamed({"p": "p_before", "prediction": "prediction_before"}))
+    alike = (F.col("p") == F.col("p_before")) & (F.col("prediction") == F.col("prediction_before"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~alike).alias("n_different"))
+
+
+def q_assemble(spark, sf):
+    """Facts of the model's input vectors: one per row, of one length, without nulls; rows without features are marked."""
+    data = tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf))
+    vector = vector_to_array("features")
+    rows = ml.assembler().transform(ml.fill_features(data))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min(F.size(vector)).cast("bigint").alias("shortest"),
+        F.max(F.size(vector)).cast("bigint").alias("longest"),
+        F.count_if(F.exists(vector, F.isnan)).alias("n_undefined"),
+        F.count_if(F.element_at(vector, -1) == 0).alias("n_without_features"),
+    )
+
+
+def q_batch_score_facts(spark, sf):
+    """What must hold for scores of any model: one per id, probabilities, and the threshold's decision."""
+    model, _ = _small_model(spark, sf)
+    ids = read_label_view(spark, sf).select(S.KEY).distinct()
+    scores = tp.score_accounts(model, ids, feat.latest_per_key(_snapshots(spark, sf)))
+    p = F.col("churn_probability")
+    return scores.agg(
+        F.count(F.lit(1)).alias("n_scores"),
+        F.countDistinct(S.KEY).alias("n_ids"),
+        F.count_if(p.between(0, 1)).alias("n_probabilities"),
+        F.count_if((F.col("churn_prediction") == 1) == (p > S.THRESHOLD)).alias("n_decided"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_logs": q_scan_logs,
     "file_lineage": q_file_lineage,
@@ -225,6 +322,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_filtered": q_validate_filtered,
     "file_status": q_file_status,
     "quarantine": q_quarantine,
+    "feature_pipeline": q_feature_pipeline,
+    "materialize": q_materialize,
+    "scan_labels": q_scan_labels,
+    "drop_null_labels": q_drop_null_labels,
     "session_boundaries": q_session_boundaries,
     "session_starts": q_session_starts,
     "asof_forward": q_asof_forward,
@@ -245,6 +346,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stratified_split": q_stratified_split,
     "binary_metrics": q_binary_metrics,
     "log_loss": q_log_loss,
+    "evaluate": q_evaluate,
+    "topk": q_topk,
+    "head_sample": q_head_sample,
+    "write_metrics": q_write_metrics,
+    "write_model": q_write_model,
+    "assemble": q_assemble,
+    "batch_score_facts": q_batch_score_facts,
     "row_counts": q_row_counts,
     "train_gbt": q_train_gbt,
     "topk_importance": q_topk_importance,

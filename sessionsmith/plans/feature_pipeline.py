@@ -1,12 +1,12 @@
 """Raw logs -> file status -> sessions -> account features.
 
-Physical shape (see ``docs/plans/``): the raw files are scanned once into
-one partial/final hash aggregate on (file, account, session, date,
-orphan_time), written once as the grain table; the file status, the
-session starts, the orphan events and the session rows are all computed
-from that small table; the account aggregate is keyed by a subset of the
-grain key. Driver actions: the grain write, the short list of files with
-a bad time (to re-read only them), and the final write.
+Physical shape (see ``docs/plans/``): the footers are read once, the raw
+files are scanned once into one partial/final hash aggregate on (file,
+account, session, date, orphan_time), written once as the grain table; the
+file status, the session starts, the orphan events and the session rows are
+all computed from that small table; the account aggregate is keyed by a
+subset of the grain key. Driver actions: the intermediate writes, the few
+distinct type signatures of the files, and the final writes.
 """
 
 from __future__ import annotations
@@ -14,14 +14,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..context import Workspace, materialize
 from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
-from ..context import materialize, materialized_mark, release_materialized
-from ..sources.logs import footer_listing, read_log_files, scan_logs
+from ..sources.logs import footer_listing, has_files, scan_logs
 
 
 @dataclass
@@ -36,41 +35,64 @@ def preprocess(
     logs: DataFrame,
     footers: DataFrame | None = None,
     materialize_grain: bool = True,
-    read_files=None,
+    work: Workspace | None = None,
 ) -> Preprocessed:
     """Compose validation, quarantine, orphan handling and aggregation.
 
     The grain is read by three consumers (file status, session starts,
     session rows). ``materialize_grain`` writes it once to the checkpoint
-    folder so the raw scan and its aggregate run once; without it each
-    consumer rescans the raw logs.
+    folder (in ``work``, whose owner releases it) so the raw scan and its
+    aggregate run once; without it each consumer rescans the raw logs.
     """
     grain = sess.session_grain(logs)
     if materialize_grain:
-        grain = materialize(grain)
-    status = q.validate_logs(grain, footers, logs, read_files)
+        grain = materialize(grain, work)
+    status = q.validate_logs(grain, footers, logs)
     ok = q.validate_logs(grain, footers, with_reasons=False)
     sessions = q.quarantine(sess.sessions_from_grain(grain), ok)
     players = feat.player_features(sessions)
     return Preprocessed(grain, status, sessions, players)
 
 
+def preprocess_files(spark: SparkSession, raw_dir: str, work: Workspace | None = None) -> Preprocessed | None:
+    """``preprocess`` of all files below ``raw_dir``: listing, footers (kept, so that no file is opened for them again), scan by stored types. ``None`` without files."""
+    if not has_files(spark, raw_dir):
+        return None
+    footers = materialize(q.footer_facts(footer_listing(spark, raw_dir)), work)
+    return preprocess(scan_logs(spark, raw_dir, footers=footers), footers, work=work)
+
+
 def run_feature_pipeline(
-    spark: SparkSession, raw_dir: str, output_path: str, write_sessions: str | None = None
+    spark: SparkSession,
+    raw_dir: str,
+    output_path: str,
+    write_sessions: str | None = None,
+    write_status: str | None = None,
 ) -> DataFrame | None:
     """Read every ``*.parquet`` under ``raw_dir``; write the account features
-    (snappy Parquet, overwrite). Returns the written table, or ``None``
-    when there is no input."""
-    logs = scan_logs(spark, raw_dir)
-    if logs is None:
-        return None
-    mark = materialized_mark(spark)
-    footers = q.footer_facts(footer_listing(spark, raw_dir))
-    out = preprocess(logs, footers, read_files=lambda paths: read_log_files(spark, paths))
-    if write_sessions:
-        write_parquet(out.sessions.orderBy("last_timestamp"), write_sessions)
-    write_parquet(out.players.orderBy(F.col(S.EVENT_TIME).desc()), output_path)
-    release_materialized(spark, mark)
+    (snappy Parquet, overwrite), and the session and file status tables where
+    paths are given. Returns the written features.
+
+    Without input, or if no file passes, nothing but the status is written,
+    an earlier output stays as it is, and the result is ``None``. A result
+    that breaks the feature contract raises before anything is overwritten.
+    Intermediate tables are gone afterwards, also after a failure.
+    """
+    with Workspace(spark) as work:
+        out = preprocess_files(spark, raw_dir, work)
+        if out is None:
+            return None
+        if write_status:
+            write_parquet(out.status, write_status)
+        problems = check_feature_contract(out.players)
+        if problems:
+            raise ValueError("features break their contract: " + "; ".join(problems))
+        sessions = materialize(out.sessions, work)
+        if sessions.isEmpty():
+            return None
+        if write_sessions:
+            write_parquet(sessions, write_sessions)
+        write_parquet(feat.player_features(sessions), output_path)
     return spark.read.parquet(output_path)
 
 

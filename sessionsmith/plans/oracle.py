@@ -133,7 +133,7 @@ stats AS (
   SELECT source_file, actor_account_id, session, session_date,
     min(timestamp) AS f_first, max(timestamp) AS f_last,
     {COUNTS_FILTER},
-    max(epoch_us(timestamp) * 128 + actor_level) FILTER (WHERE actor_level IS NOT NULL) AS lk
+    arg_max(actor_level, (timestamp, actor_level)) FILTER (WHERE actor_level IS NOT NULL AND timestamp IS NOT NULL) AS lvl
   FROM stat_rows GROUP BY source_file, actor_account_id, session, session_date
 ),
 bounds AS (
@@ -149,7 +149,7 @@ sessions_all AS (
     s.actor_account_id,
     CAST(round_even({_d(_us('coalesce(b.first_ts, s.f_first)', 'coalesce(b.last_ts, s.f_last)'))}
          / {_d('1000000')} / {_d('60')}, 0) AS BIGINT) AS session_duration_minutes,
-    CAST(s.lk % 128 AS INTEGER) AS actor_level,
+    CAST(s.lvl AS INTEGER) AS actor_level,
     {", ".join(f"s.{label}" for label in S.EVENT_LABELS)}
   FROM stats s LEFT JOIN bounds b
     ON s.source_file = b.source_file AND s.actor_account_id = b.actor_account_id
@@ -250,6 +250,10 @@ doc_pred AS (SELECT churn_yn, p, CAST(p > 0.5 AS INTEGER) AS prediction FROM doc
 
 WITH = "WITH " + BASE + FEATURE_TABLES
 
+_CSV_LABELS = (
+    "CAST(user_id AS VARCHAR) AS actor_account_id, ts AS event_timestamp,"
+    " CASE WHEN event_id % 13 <> 0 THEN CAST(value < 20 AS INTEGER) END AS churn_yn"
+)
 _LOG_COLS = "time, logid, session, log_detail_code, actor_account_id, actor_level, source_file"
 
 
@@ -309,11 +313,35 @@ def oracle_sql() -> dict[str, str]:
         " n_tracked_pos > 0 AS passes FROM file_rules",
         "file_status": f"{w} SELECT status, count(*) AS files FROM status GROUP BY status",
         "quarantine": f"{w} SELECT {_LOG_COLS} FROM logs WHERE source_file IN (SELECT source_file FROM ok)",
+        "feature_pipeline": f"{w} SELECT * FROM players",
+        "materialize": f"{w} SELECT * FROM online",
+        "scan_labels": f"SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase'",
+        "drop_null_labels": f"SELECT * FROM (SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase') l"
+        " WHERE churn_yn IS NOT NULL",
+        "topk": "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10",
+        "head_sample": f"{w} SELECT * FROM players ORDER BY actor_account_id LIMIT 5",
+        "write_metrics": f"""{w}
+          , s AS (SELECT count(*) AS total, count(*) FILTER (WHERE churn_yn IS NULL) AS null_labels,
+                         avg({_d('churn_yn')}) AS churn_rate, sum(churn_yn) AS num_churned,
+                         sum(1 - churn_yn) AS num_retained FROM labels_v),
+          m AS (SELECT 'total' AS metric, {_d('total')} AS value FROM s
+                UNION ALL SELECT 'null_labels', {_d('null_labels')} FROM s
+                UNION ALL SELECT 'churn_rate', churn_rate FROM s
+                UNION ALL SELECT 'num_churned', {_d('num_churned')} FROM s
+                UNION ALL SELECT 'num_retained', {_d('num_retained')} FROM s)
+          SELECT run_id, metric, value FROM m, (VALUES ('a'), ('b')) r(run_id)""",
+        "write_model": f"{w} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM labels_v",
+        "assemble": f"{w} SELECT count(*) AS n_rows, CAST({len(S.FEATURES) + 1} AS BIGINT) AS shortest,"
+        f" CAST({len(S.FEATURES) + 1} AS BIGINT) AS longest, CAST(0 AS BIGINT) AS n_undefined,"
+        " count(*) FILTER (WHERE total_sessions IS NULL) AS n_without_features FROM pit WHERE churn_yn IS NOT NULL",
+        "batch_score_facts": f"{w} SELECT count(DISTINCT actor_account_id) AS n_scores,"
+        " count(DISTINCT actor_account_id) AS n_ids, count(DISTINCT actor_account_id) AS n_probabilities,"
+        " count(DISTINCT actor_account_id) AS n_decided FROM labels_v",
         "session_boundaries": f"{w} SELECT source_file, actor_account_id, session, session_date,"
         " first_ts, last_ts, actor_account_id AS actor_id FROM bounds",
         "session_starts": f"{w} SELECT source_file, actor_account_id, session, start_ts FROM starts",
         "asof_forward": f"{w} SELECT source_file, actor_account_id, timestamp, session_date,"
-        " count(*) AS n_events, CAST(max(epoch_us(timestamp) * 128 + actor_level) % 128 AS INTEGER) AS actor_level,"
+        " count(*) AS n_events, CAST(max(actor_level) AS INTEGER) AS actor_level,"
         " session"
         " FROM attached GROUP BY source_file, actor_account_id, timestamp, session_date, session",
         "session_event_counts": f"{w} SELECT source_file, actor_account_id, session, session_date, "
@@ -351,6 +379,20 @@ def oracle_sql() -> dict[str, str]:
                  CASE WHEN tp + fn = 0 THEN 0.0 ELSE {_d('tp')} / {_d('tp + fn')} END AS recall,
                  CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE {_d('2 * tp')} / {_d('2 * tp + fp + fn')} END AS f1
           FROM c""",
+        "evaluate": f"""{w}
+          , c AS (SELECT count(*) FILTER (WHERE churn_yn = 1 AND prediction = 1) AS tp,
+                         count(*) FILTER (WHERE churn_yn = 0 AND prediction = 1) AS fp,
+                         count(*) FILTER (WHERE churn_yn = 1 AND prediction = 0) AS fn,
+                         count(*) FILTER (WHERE churn_yn = 0 AND prediction = 0) AS tn,
+                         avg(-({_d('churn_yn')} * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
+                             + (1.0 - {_d('churn_yn')}) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15)))) AS log_loss
+                  FROM doc_pred)
+          SELECT {_d('tp + tn')} / {_d('tp + fp + fn + tn')} AS accuracy,
+                 CASE WHEN tp + fp = 0 THEN 0.0 ELSE {_d('tp')} / {_d('tp + fp')} END AS precision,
+                 CASE WHEN tp + fn = 0 THEN 0.0 ELSE {_d('tp')} / {_d('tp + fn')} END AS recall,
+                 CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE {_d('2 * tp')} / {_d('2 * tp + fp + fn')} END AS f1,
+                 log_loss
+          FROM c""",
         "log_loss": f"""{w}
           , pc AS (SELECT churn_yn, least(greatest(p, 1e-15), 1.0 - 1e-15) AS p FROM doc_pred)
           SELECT avg(-({_d('churn_yn')} * ln(p) + (1.0 - {_d('churn_yn')}) * ln(1.0 - p))) AS log_loss,

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..context import materialize
+from ..context import Workspace, materialize
 from ..operators import ml
 from ..operators.asof import asof_join
 from ..operators.features import lookup_features
+from ..sources.labels import write_metrics
 
 
 def pit_join(
@@ -79,35 +80,52 @@ def train_model_pipeline(
     val_size: float = S.VAL_SIZE,
     seed: int = S.SEED,
     run_id: str | None = None,
+    metrics_path: str | None = None,
+    work: Workspace | None = None,
+    paths: dict[str, str] | None = None,
 ) -> TrainResult:
     """Training set -> stratified split -> boosted trees -> test metrics.
 
-    The metrics table is long: ``(run_id, metric, value)``, with label
-    statistics, split sizes, test accuracy / precision / recall / F1, test
-    log loss, trees kept and train / valid log loss at the best round. The
-    split is materialized, so training iterations and the evaluation reread
-    one fixed split instead of its lineage.
+    The metrics table is long: ``(run_id, metric, value, text)``, with the
+    run's parameters and paths, sizes, label statistics, split sizes, test
+    accuracy / precision / recall / F1, test log loss, trees kept, train /
+    valid log loss at the best round and the ten largest importances. It is
+    appended to ``metrics_path`` where one is given. The split is
+    materialized (in ``work``, whose owner releases it), so training
+    iterations and the evaluation reread one fixed split instead of its
+    lineage.
     """
     run_id = run_id or uuid.uuid4().hex
     data = training_set(labels, snapshots)
-    split = materialize(ml.stratified_split(data, seed=seed, test_size=test_size, val_size=val_size))
+    split = materialize(ml.stratified_split(data, seed=seed, test_size=test_size, val_size=val_size), work)
     fit_rows = split.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
     model = ml.train_gbt(fit_rows, params=params, seed=seed)
     test = ml.predict(model, split.where(F.col("split") == "test"))
     metrics_wide = ml.evaluate(test)
     stats = ml.label_stats(split)  # same rows as the training set, already materialized
     sizes = split.groupBy().pivot("split", ["train", "val", "test"]).count()
-    rounds = _round_metrics(spark, model, fit_rows)
+    importances = ml.topk_importance(model)
+    ran = {**S.GBT_DEFAULTS, **(params or {})}
+    record = [(f"param_{k}", float(v) if isinstance(v, (int, float)) else None, None if isinstance(v, (int, float)) else str(v)) for k, v in sorted(ran.items())]
+    record += [("seed", float(seed), None), ("test_size", test_size, None), ("val_size", val_size, None), ("patience", float(S.PATIENCE), None), ("num_features", float(len(S.FEATURES)), None)]
+    record += [(f"path_{k}", None, v) for k, v in {**(paths or {}), **({"model": model_path} if model_path else {})}.items()]
+    text = F.lit(None).cast("string").alias("text")
     long = (
-        _to_long(metrics_wide, "test_")
-        .unionByName(_to_long(stats, ""))
-        .unionByName(_to_long(sizes, "samples_"))
-        .unionByName(rounds)
+        to_long(metrics_wide, "test_")
+        .unionByName(to_long(stats, ""))
+        .unionByName(to_long(stats.select(F.col("total").alias("total_samples")), ""))
+        .unionByName(to_long(sizes, "samples_"))
+        .unionByName(_round_metrics(spark, model, fit_rows))
+        .unionByName(importances.select(F.concat(F.lit("importance_"), "feature").alias("metric"), F.col("importance").alias("value")))
+        .select("metric", "value", text)
+        .unionByName(spark.createDataFrame(record, "metric string, value double, text string"))
     )
-    metrics = long.select(F.lit(run_id).alias("run_id"), "metric", "value")
+    metrics = long.select(F.lit(run_id).alias("run_id"), "metric", "value", "text")
     if model_path:
         ml.save_model(model, model_path)
-    return TrainResult(model, metrics, ml.topk_importance(model), split)
+    if metrics_path:
+        write_metrics(metrics, metrics_path)
+    return TrainResult(model, metrics, importances, split)
 
 
 def _round_metrics(spark: SparkSession, model: PipelineModel, fit_rows: DataFrame) -> DataFrame:
@@ -126,7 +144,8 @@ def _round_metrics(spark: SparkSession, model: PipelineModel, fit_rows: DataFram
     return spark.createDataFrame(rows, "metric string, value double")
 
 
-def _to_long(one_row: DataFrame, prefix: str) -> DataFrame:
+def to_long(one_row: DataFrame, prefix: str) -> DataFrame:
+    """A one-row table as ``(metric, value)`` rows."""
     cols = one_row.columns
     pairs = ", ".join(f"'{prefix}{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     return one_row.selectExpr(f"stack({len(cols)}, {pairs}) AS (metric, value)")

@@ -64,8 +64,34 @@ MSG_NEG_SESSION = "Column 'session' contains negative values"
 MSG_NEG_LEVEL = "Column 'actor_level' contains negative values"
 MSG_HIGH_LEVEL = "Column 'actor_level' contains values higher than the maximum in the game (>55)"
 MSG_NO_SESSIONS = "No tracked events with a positive session"
+# Own messages, for what the file reader itself finds.
+MSG_UNREAD = "No rows could be read"
+MSG_PARTLY = "Read only {rows} rows"
+
+# Training step.
+TEST_SIZE = 0.2
+VAL_SIZE = 0.1
+SEED = 42
+THRESHOLD = 0.5
+# Rounds without a lower validation loss after which training stops.
+PATIENCE = 10
+
+# Names of the account features that are not event counts.
+ENGAGEMENT_FEATURES = [
+    "total_sessions",
+    "account_lifespan_days",
+    "average_sessions_per_day",
+    "total_playtime_minutes",
+    "avg_session_duration_minutes",
+    "std_session_duration_minutes",
+    "min_session_duration_minutes",
+    "max_session_duration_minutes",
+]
+
+# --------------------------------------------------------------------------
+# Own defaults (not fixed values): Spark ML's boosted trees
+# --------------------------------------------------------------------------
 
-# Model defaults of the training step.
 GBT_DEFAULTS = {
     "maxIter": 100,
     "stepSize": 0.05,
@@ -73,13 +99,7 @@ GBT_DEFAULTS = {
     "subsamplingRate": 0.8,
     "featureSubsetStrategy": "0.9",
     "minInstancesPerNode": 20,
-    # stop at the first round that does not lower the validation loss
-    "validationTol": 0.0,
 }
-TEST_SIZE = 0.2
-VAL_SIZE = 0.1
-SEED = 42
-THRESHOLD = 0.5
 
 # --------------------------------------------------------------------------
 # Derived names
@@ -99,16 +119,6 @@ LABEL = "churn_yn"
 LABEL_TIME = "event_timestamp"
 FILE = "source_file"
 
-ENGAGEMENT_FEATURES = [
-    "total_sessions",
-    "account_lifespan_days",
-    "average_sessions_per_day",
-    "total_playtime_minutes",
-    "avg_session_duration_minutes",
-    "std_session_duration_minutes",
-    "min_session_duration_minutes",
-    "max_session_duration_minutes",
-]
 # The one feature list (29 names) used by training, lookup and scoring.
 FEATURES = ENGAGEMENT_FEATURES + ACCOUNT_EVENT_LABELS
 DOUBLE_FEATURES = {

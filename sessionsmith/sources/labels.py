@@ -1,4 +1,4 @@
-"""Label source (T6) and the run-metrics / model sinks."""
+"""Label source (T6) and the run-metrics sink."""
 
 from __future__ import annotations
 
@@ -6,35 +6,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .logs import has_files
 
+CSV_GLOB = "*.csv*"
 
-def scan_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Read labels ``(actor_account_id, event_timestamp, churn_yn)``.
 
-    The reader follows the extension: ``.csv`` with a header, anything else
-    as Parquet. The key becomes a string; the time is parsed leniently
-    (ISO-like text, with or without fraction) to TIMESTAMP_NTZ without the
-    session time zone; text that does not parse becomes null instead of
-    failing the job.
+def read_raw_labels(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """The three label columns as stored, found by name.
+
+    ``kind`` is ``csv`` or ``parquet``; by default a file or folder with
+    names like ``*.csv`` or ``*.csv.gz`` is CSV with a header, anything else
+    Parquet. Columns may come in any order, with others between them; a
+    missing one raises. Files of one folder must have one header.
     """
-    if path.lower().rstrip("/").endswith(".csv"):
-        raw = (
-            spark.read.option("header", "true")
-            .schema(f"{S.KEY} string, {S.LABEL_TIME} string, {S.LABEL} string")
-            .csv(path)
-        )
+    if kind is None:
+        kind = "csv" if has_files(spark, path, CSV_GLOB) else "parquet"
+    if kind == "csv":
+        raw = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
     else:
         raw = spark.read.parquet(path)
-    t = raw.schema[S.LABEL_TIME].dataType.simpleString()
+    wanted = [S.KEY, S.LABEL_TIME, S.LABEL]
+    missing = [c for c in wanted if c not in raw.columns]
+    if missing:
+        raise ValueError(f"labels in {path} lack the columns {missing}")
+    return raw.select(*wanted)
+
+
+def typed_labels(raw: DataFrame) -> DataFrame:
+    """The key as text, the time as TIMESTAMP_NTZ (ISO-like text, with or
+    without fraction, without the session time zone), the label as a whole
+    number, also from ``1.0``. What does not parse becomes null;
+    ``label_issues`` counts it."""
+    text = raw.schema[S.LABEL_TIME].dataType.simpleString() == "string"
     ts = F.col(S.LABEL_TIME)
-    ts = ts.try_cast("timestamp_ntz") if t == "string" else ts.cast("timestamp_ntz")
+    label = F.col(S.LABEL).try_cast("double")
     return raw.select(
         F.col(S.KEY).cast("string").alias(S.KEY),
-        ts.alias(S.LABEL_TIME),
-        F.col(S.LABEL).cast("int").alias(S.LABEL),
+        (ts.try_cast("timestamp_ntz") if text else ts.cast("timestamp_ntz")).alias(S.LABEL_TIME),
+        F.when(label == F.floor(label), label.cast("int")).alias(S.LABEL),
+    )
+
+
+def scan_labels(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """Read labels ``(actor_account_id, event_timestamp, churn_yn)``; see ``read_raw_labels`` and ``typed_labels``."""
+    return typed_labels(read_raw_labels(spark, path, kind))
+
+
+def label_issues(raw: DataFrame) -> DataFrame:
+    """One row: rows, and how many have a time or a label that is there but does not parse, and no label at all."""
+    text = raw.schema[S.LABEL_TIME].dataType.simpleString() == "string"
+    stored, label = F.col(S.LABEL_TIME), F.col(S.LABEL).try_cast("double")
+    time = stored.try_cast("timestamp_ntz") if text else stored.cast("timestamp_ntz")
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(stored.isNotNull() & time.isNull()).alias("bad_times"),
+        F.count_if(F.col(S.LABEL).isNotNull() & ~F.coalesce(label == F.floor(label), F.lit(False))).alias("bad_labels"),
+        F.count_if(F.col(S.LABEL).isNull()).alias("null_labels"),
     )
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Append a run's ``(run_id, metric, value)`` rows to the metrics table."""
+    """Append a run's ``(run_id, metric, value, text)`` rows to the metrics table."""
     metrics.write.mode("append").partitionBy("run_id").parquet(path)

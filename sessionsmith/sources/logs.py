@@ -9,8 +9,12 @@ and checked against SQL on the given data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schema as S
@@ -18,56 +22,100 @@ from ..functions.expressions import format_time
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """Distributed listing ``(path, length)`` of the input files; no content is read."""
+    """Distributed listing ``(source_file, path, length)`` of the input files, in subfolders too; no content is read.
+
+    ``source_file`` is spelled as in ``scan_logs`` (a URI, with special
+    characters encoded) and joins with it; ``path`` has the plain
+    characters and opens the file.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length")
+        .select(F.col("_metadata.file_path").alias(S.FILE), "path", "length")
     )
 
 
-def scan_logs(
-    spark: SparkSession,
-    path: str,
-    schema=S.RAW_LOG,
-    lineage: bool = True,
-    glob: str = "*.parquet",
-) -> DataFrame | None:
-    """Read all ``*.parquet`` files under ``path`` with the declared schema.
-
-    Only the declared columns are read (``ReadSchema``). Files whose column
-    types disagree with the schema, or that cannot be read, are skipped by
-    the scan (``ignoreCorruptFiles``) and reported by ``file_status``.
-    Returns ``None`` when the folder is missing or holds no matching file.
-    """
+def has_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> bool:
     try:
-        if list_files(spark, path, glob).isEmpty():
-            return None
+        return not list_files(spark, path, glob).isEmpty()
     except AnalysisException:
-        return None
-    df = (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", "true")
-        .parquet(path)
-    )
-    if lineage:
-        df = df.withColumn(S.FILE, F.col("_metadata.file_path"))
-    return df
+        return False
 
 
-def read_log_files(spark: SparkSession, paths: list[str], schema=S.RAW_LOG) -> DataFrame:
-    """The given raw log files only, with the same schema and lineage column
-    as ``scan_logs``."""
+def _read(spark: SparkSession, paths: list[str], schema, glob: str) -> DataFrame:
     return (
         spark.read.schema(schema)
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", "true")
         .parquet(*paths)
         .withColumn(S.FILE, F.col("_metadata.file_path"))
     )
 
 
+def scan_logs(
+    spark: SparkSession,
+    path: str,
+    schema=S.RAW_LOG,
+    lineage: bool = True,
+    glob: str = "*.parquet",
+    footers: DataFrame | None = None,
+) -> DataFrame | None:
+    """Read all ``*.parquet`` files under ``path`` as T1 rows.
+
+    Files store numbers in different types: 64-bit integers, floats where
+    a value is missing, account ids as numbers. With ``footers``
+    (``quality.footer_facts``) the folder is read once for each distinct
+    combination of stored types, with a schema that fits it, keeping the
+    rows of the files that have it; values are then cast to T1. There are
+    few combinations however many files. Without ``footers`` files must
+    have T1's own types.
+
+    Only the declared columns are read (``ReadSchema``). Rows that can't
+    be read are missing here; validation compares each file's rows with its
+    footer and reports the file as failed. Returns ``None`` when the folder
+    is missing or holds no matching file.
+    """
+    if not has_files(spark, path, glob):
+        return None
+    df = _read(spark, [path], schema, glob) if footers is None else _scan(spark, [path], schema, glob, footers)
+    return df if lineage else df.drop(S.FILE)
+
+
+def scan_files(spark: SparkSession, paths: list[str], footers: DataFrame, schema=S.RAW_LOG) -> DataFrame:
+    """``scan_logs`` of the given files (plain paths), with their ``footers``."""
+    special = re.compile(r"([\\{}\[\]*?^])")  # characters of a glob
+    return _scan(spark, [special.sub(r"\\\1", p) for p in paths], schema, "*", footers)
+
+
+def _scan(spark: SparkSession, paths: list[str], schema, glob: str, footers: DataFrame) -> DataFrame:
+    kinds = sorted(r[0] for r in footers.where("signature IS NOT NULL").select("signature").distinct().collect())
+    parts = []
+    for kind in kinds:
+        stored = ", ".join(f"`{f.name}` {t}" for f, t in zip(schema.fields, kind.split(";"), strict=True))
+        df = _read(spark, paths, stored, glob)
+        if len(kinds) > 1:
+            files = footers.where(F.col("signature") == kind).select(S.FILE)
+            df = df.join(files, S.FILE, "left_semi")
+        parts.append(df.select(*[_as(f.name, t, f.dataType) for f, t in zip(schema.fields, kind.split(";"), strict=True)], S.FILE))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(S.FILE, T.StringType())]))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _as(name: str, stored: str, wanted) -> Column:
+    """A stored column as its T1 type. Values out of range become null; whole numbers in floats keep their text without a fraction."""
+    value = F.col(name)
+    if stored == wanted.simpleString():
+        return value
+    if wanted.simpleString() == "string" and stored in ("float", "double"):
+        whole = value.cast("decimal(38,0)")
+        return F.when(value == whole.cast("double"), whole.cast("string")).otherwise(value.cast("string")).alias(name)
+    return value.try_cast(wanted).alias(name)
+
+
 # --------------------------------------------------------------------------
 # A game-log view over the driver's ``events`` table
 # --------------------------------------------------------------------------
@@ -146,5 +194,10 @@ def read_label_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def footer_listing(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """File paths to inspect by footer (same path text as ``_metadata.file_path``)."""
-    return list_files(spark, path, glob).select("path")
+    """Files to inspect by footer: the joining name and the path that opens them."""
+    return list_files(spark, path, glob).select(S.FILE, "path")
+
+
+def write_log_files(logs: DataFrame, path: str) -> None:
+    """Write T1 rows as one Parquet file per ``source_file`` value, each in a folder of its own, as log shippers do."""
+    logs.withColumn("file", F.col(S.FILE)).drop(S.FILE).repartition("file").write.partitionBy("file").parquet(path)

@@ -4,7 +4,8 @@ The batch pipeline handles every file on its own (all keys carry the
 file), so the session rows of a set of new files do not depend on any
 other file. A file-source stream therefore runs the same batch plan per
 micro-batch (``foreachBatch``) and appends the session rows and file
-status to Parquet tables. Account features are a plain aggregate over the
+status to Parquet tables. The stream carries file names; each batch reads
+its own files, whatever types they store. Account features are a plain aggregate over the
 session table, so a full recompute after ingest equals the batch run.
 
 Writes are idempotent per micro-batch: each batch overwrites its own
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
-from ..context import ensure_checkpoint_dir, materialized_mark, release_materialized
+from ..context import Workspace, ensure_checkpoint_dir
 from ..operators import features as feat
 from ..operators import quality as q
 from ..plans.feature_pipeline import preprocess
+from ..sources.logs import scan_files
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -40,18 +42,23 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    """One micro-batch: validate, build sessions, write both tables.
+    """One micro-batch of file names (``source_file``, ``path``): read the
+    footers, scan, validate, build sessions, write both tables.
 
-    Replaying a batch id (after a failure) overwrites that batch's
-    partitions, so the tables never hold a batch twice.
+    The batch is the list of files, not their rows, so files that are empty
+    or can't be read get their status too. Replaying a batch id (after a
+    failure) overwrites that batch's partitions, so the tables never hold a
+    batch twice.
     """
     spark = batch.sparkSession
-    mark = materialized_mark(spark)
-    files = batch.select(F.col(S.FILE).alias("path")).distinct()
-    pre = preprocess(batch, q.footer_facts(files))
-    _write_batch(pre.status, os.path.join(out_dir, "file_status"), batch_id)
-    _write_batch(pre.sessions, os.path.join(out_dir, "sessions"), batch_id)
-    release_materialized(spark, mark)
+    with Workspace(spark) as work:
+        footers = work.materialize(q.footer_facts(batch.select(S.FILE, "path")))
+        # a micro-batch is bounded by maxFilesPerTrigger, and so is this list
+        paths = [r[0] for r in batch.select("path").collect()]
+        logs = scan_files(spark, paths, footers)
+        pre = preprocess(logs, footers, work=work)
+        _write_batch(pre.status, os.path.join(out_dir, "file_status"), batch_id)
+        _write_batch(pre.sessions, os.path.join(out_dir, "sessions"), batch_id)
 
 
 def start_ingest(
@@ -60,7 +67,7 @@ def start_ingest(
     out_dir: str,
     checkpoint_location: str | None = None,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 10_000,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
     """Start the stream; returns the running query.
@@ -71,13 +78,12 @@ def start_ingest(
     if checkpoint_location is None:
         checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), "ingest-" + os.path.basename(out_dir.rstrip("/")))
     reader = (
-        spark.readStream.schema(S.RAW_LOG)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", "true")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(raw_dir).withColumn(S.FILE, F.col("_metadata.file_path"))
+    stream = reader.load(raw_dir).select(F.col("_metadata.file_path").alias(S.FILE), "path")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, out_dir)

@@ -150,3 +150,79 @@ def test_iteration_log_loss_is_binary_log_loss(frame):
     per_round = ml.iteration_log_loss(model, frame)
     direct = ml.log_loss(ml.predict(model, frame)).collect()[0]["log_loss"]
     assert per_round[-1] == pytest.approx(direct, rel=1e-6)
+
+
+def test_quotas_of_billions(spark):
+    counts = spark.createDataFrame([(0, 4_000_000_000), (1, 2_000_000_000)], f"{S.LABEL} int, n long")
+    q = {r[S.LABEL]: (r["__qt"], r["__qv"]) for r in ml.split_quotas(counts).collect()}
+    assert q == {0: (800_000_000, 320_000_000), 1: (400_000_000, 160_000_000)}
+
+
+def test_rows_without_a_label_have_no_split(frame):
+    rows = frame.withColumn(S.LABEL, F.when(F.col(S.KEY) != "p7", F.col(S.LABEL)))
+    sp = ml.stratified_split(rows)
+    assert [r[S.KEY] for r in sp.where("split IS NULL").collect()] == ["p7"] and sp.count() == 100
+    with pytest.raises(ValueError, match="multiple of 4"):
+        ml.stratified_split(frame, buckets_bits=10)
+
+
+def test_stopping_round():
+    assert ml.stopping_round([3, 2, 2.5, 1, 4, 4, 4], 3) == (4, True)
+    assert ml.stopping_round([3, 2, 2.5, 1, 4, 4], 3) == (4, False)
+    assert ml.stopping_round([3, 4, 5], 2) == (1, True)
+    assert ml.stopping_round([1], 10) == (1, False)
+
+
+def test_training_goes_on_after_a_worse_round(spark):
+    """The best round is kept, and it may lie after rounds that got worse."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(240):
+        x = [rnd.random() for _ in S.FEATURES]
+        rows.append((*x, int(x[0] + 0.5 * x[1] + 0.3 * rnd.random() > 0.9), i % 4 == 0))
+    df = spark.createDataFrame(rows, ", ".join([f"{f} double" for f in S.FEATURES] + [f"{S.LABEL} int", "is_val boolean"]))
+    params = {"maxIter": 30, "stepSize": 0.1, "maxDepth": 3, "minInstancesPerNode": 2, "subsamplingRate": 0.3}
+    model = ml.train_gbt(df, params=params, patience=6)
+    full = ml.train_gbt(df.where("not is_val"), params=params, val_col=None)
+    losses = ml.iteration_log_loss(full, df.where("is_val"))
+    best, _ = ml.stopping_round(losses, 6)
+    assert model.stages[-1].getNumTrees == best
+    first_worse = next(i for i in range(1, len(losses)) if losses[i] >= losses[i - 1])
+    assert best > first_worse, losses
+    kept = ml.iteration_log_loss(model, df.where("is_val"))
+    assert kept == pytest.approx(losses[:best])
+
+
+def test_run_record(spark, frame, tmp_path):
+    snaps = frame.select(S.KEY, F.col(S.LABEL_TIME).alias(S.EVENT_TIME), *S.FEATURES)
+    labels = frame.select(S.KEY, (F.col(S.LABEL_TIME) + F.expr("INTERVAL 1 HOUR")).alias(S.LABEL_TIME), S.LABEL)
+    path = str(tmp_path / "metrics")
+    for run in ("r1", "r2"):
+        train_model_pipeline(spark, labels, snaps, params={"maxIter": 2}, run_id=run, metrics_path=path, paths={"labels": "x.csv"})
+    got = {(r.run_id, r.metric): (r.value, r.text) for r in spark.read.parquet(path).collect()}
+    assert got["r1", "total_samples"][0] == 100 and got["r2", "num_features"][0] == 29
+    assert got["r1", "param_maxIter"][0] == 2 and got["r1", "param_featureSubsetStrategy"][1] == "0.9"
+    assert got["r1", "path_labels"][1] == "x.csv" and got["r1", "seed"][0] == S.SEED
+    assert sum(m.startswith("importance_") for r, m in got if r == "r1") == 10
+
+
+def test_labels_by_name(spark, tmp_path):
+    """Columns in any order, floats, bad values counted, compressed files and folders."""
+    import gzip
+
+    from sessionsmith.sources.labels import label_issues, read_raw_labels, scan_labels
+
+    text = "churn_yn,note,actor_account_id,event_timestamp\n1.0,a,17,2024-01-05 10:00:00\n,b,18,never\nx,c,19,2024-01-06T11:30:00.5\n0,d,20,\n"
+    folder = tmp_path / "labels"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text(text)
+    zipped = tmp_path / "labels.csv.gz"
+    zipped.write_bytes(gzip.compress(text.encode()))
+    for path in (str(folder), str(zipped)):
+        got = {r[S.KEY]: (r[S.LABEL_TIME], r[S.LABEL]) for r in scan_labels(spark, path).collect()}
+        assert got == {"17": (dt.datetime(2024, 1, 5, 10), 1), "18": (None, None), "19": (dt.datetime(2024, 1, 6, 11, 30, 0, 500000), None), "20": (None, 0)}
+        issues = label_issues(read_raw_labels(spark, path)).first().asDict()
+        assert issues == {"rows": 4, "bad_times": 1, "bad_labels": 1, "null_labels": 1}
+    (tmp_path / "lacking.csv").write_text("actor_account_id,churn_yn\n1,1\n")
+    with pytest.raises(ValueError, match="event_timestamp"):
+        scan_labels(spark, str(tmp_path / "lacking.csv"))

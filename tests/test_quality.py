@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sessionsmith import schema as S
 from sessionsmith.operators import quality as q
 from sessionsmith.operators import sessions as sess
-from sessionsmith.plans.feature_pipeline import check_feature_contract, preprocess, run_feature_pipeline
+from sessionsmith.plans.feature_pipeline import preprocess_files, check_feature_contract, preprocess, run_feature_pipeline
 from sessionsmith.sources.logs import footer_listing, scan_logs
 
 OK = "2024-01-15 10:30:45.123"
@@ -212,20 +212,136 @@ def test_bad_time_example_from_bad_files_only(spark, tmp_path):
     _write(str(raw / "ok.parquet"), _good_table(account="a"))
     bad = _good_table(account="b").set_column(0, "time", pa.array(["2024-01-15 10:30:45", "2024-01-15 10:31:45.1", "x"]))
     _write(str(raw / "bad.parquet"), bad)
-    from sessionsmith.sources.logs import read_log_files
-
-    logs = scan_logs(spark, str(raw))
-    footers = q.footer_facts(footer_listing(spark, str(raw)))
-    pre = preprocess(logs, footers, read_files=lambda paths: read_log_files(spark, paths))
-    st = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in pre.status.collect()}
-    assert st["ok.parquet"] == ""
-    assert st["bad.parquet"] == "Invalid timestamp format: 2024-01-15 10:30:45"
-    # same answer through the semi-join path
-    st2 = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in preprocess(logs, footers).status.collect()}
-    assert st2 == st
+    st = {r[S.FILE].rsplit("/", 1)[-1]: r["reason"] for r in preprocess_files(spark, str(raw)).status.collect()}
+    assert st == {"ok.parquet": "", "bad.parquet": "Invalid timestamp format: 2024-01-15 10:30:45"}
 
 
 def test_footer_reader_degrades_on_unknown_store(spark):
-    listing = spark.createDataFrame([("nosuchscheme://bucket/x.parquet",)], "path string")
+    listing = spark.createDataFrame([("nosuchscheme://bucket/x.parquet", "nosuchscheme://bucket/x.parquet")], f"{S.FILE} string, path string")
     row = q.footer_facts(listing).collect()[0]
     assert row["read_error"] is None and row["footer_rows"] is None
+    # a file of which nothing is known is not taken for an empty one
+    grain = sess.session_grain(raw_logs(spark, []))
+    assert q.validate_logs(grain, q.footer_facts(listing)).first()["status"] == "failed"
+
+
+def _with(table, column, values):
+    return table.set_column(table.schema.get_field_index(column), column, values)
+
+
+def _status(pre):
+    from urllib.parse import unquote
+
+    return {unquote(r[S.FILE]).rsplit("/", 1)[-1]: (r["status"], r["reason"]) for r in pre.status.collect()}
+
+
+def test_stored_types(spark, tmp_path):
+    """Integers of any width, floats, unsigned and numeric account ids are read and cast."""
+    raw = tmp_path / "types"
+    raw.mkdir()
+    files = {
+        "logid": _with(_good_table(account="a1"), "logid", pa.array([1013] * 3, pa.int64())),
+        "detail": _with(_good_table(account="a2"), "log_detail_code", pa.array([0] * 3, pa.int64())),
+        "level": _with(_good_table(account="a3"), "actor_level", pa.array([10.0, None, 11.0])),
+        "int_account": _with(_good_table(), "actor_account_id", pa.array([7] * 3, pa.int64())),
+        "float_account": _with(_good_table(), "actor_account_id", pa.array([8.0] * 3)),
+        "small": _with(_good_table(account="a4"), "session", pa.array([1] * 3, pa.int16())),
+        "unsigned": _with(_good_table(account="a5"), "session", pa.array([1] * 3, pa.uint64())),
+    }
+    for name, table in files.items():
+        _write(str(raw / f"{name}.parquet"), table)
+    _write(str(raw / "stamped.parquet"), _with(_good_table(), "time", pa.array([0] * 3, pa.timestamp("us"))))
+    pre = preprocess_files(spark, str(raw))
+    status = _status(pre)
+    assert status.pop("stamped.parquet")[0] == "failed"
+    assert set(status.values()) == {("success", "")}
+    assert sorted(r[S.KEY] for r in pre.players.collect()) == ["7", "8", "a1", "a2", "a3", "a4", "a5"]
+    level = {r[S.KEY]: r.actor_level for r in pre.sessions.collect()}
+    assert level["a3"] == 11
+
+
+def test_names_with_special_characters(spark, tmp_path):
+    raw = tmp_path / "names"
+    (raw / "sub").mkdir(parents=True)
+    names = ["with space", "a#b", "p%20q", "x[1]", "q?", "é", "{c}", "sub/deep"]
+    for n in names:
+        _write(str(raw / f"{n}.parquet"), _good_table(account=n))
+    _write(str(raw / "bad[2].parquet"), _with(_good_table(account="no"), "time", pa.array(["2024-01-15 10:30:45"] * 3)))
+    pre = preprocess_files(spark, str(raw))
+    assert sorted(r[S.KEY] for r in pre.players.collect()) == sorted(names)
+    assert _status(pre)["bad[2].parquet"] == ("skipped", "Invalid timestamp format: 2024-01-15 10:30:45")
+
+
+def test_partly_read_file_fails_whole(spark, tmp_path):
+    raw = tmp_path / "half"
+    raw.mkdir()
+    rows = _good_table().to_pandas().sample(4000, replace=True, random_state=1)
+    path = str(raw / "half.parquet")
+    pq.write_table(pa.Table.from_pandas(rows, schema=_good_table().schema, preserve_index=False), path, row_group_size=2000, compression="none", use_dictionary=False)
+    at = pq.ParquetFile(path).metadata.row_group(1).column(0).data_page_offset
+    with open(path, "r+b") as f:
+        f.seek(at)
+        f.write(b"\xff" * 400)
+    _write(str(raw / "good.parquet"), _good_table(account="g"))
+    pre = preprocess_files(spark, str(raw))
+    assert _status(pre)["half.parquet"] == ("failed", "Read only 2000 of 4000 rows")
+    assert [r[S.KEY] for r in pre.players.collect()] == ["g"]
+
+
+def test_pipeline_outputs(spark, tmp_path):
+    """Status and sessions are written; without a good file an earlier output stays."""
+    raw, bad = tmp_path / "in", tmp_path / "bad"
+    raw.mkdir()
+    bad.mkdir()
+    _write(str(raw / "g.parquet"), _good_table(account="g"))
+    (raw / "x.parquet").write_bytes(b"no")
+    (bad / "x.parquet").write_bytes(b"no")
+    out = str(tmp_path / "out")
+    got = run_feature_pipeline(spark, str(raw), out, write_sessions=str(tmp_path / "s"), write_status=str(tmp_path / "st"))
+    assert [r[S.KEY] for r in got.collect()] == ["g"]
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 1
+    assert {r["status"]: r["files"] for r in q.file_status_counts(spark.read.parquet(str(tmp_path / "st"))).collect()} == {"success": 1, "failed": 1}
+    assert run_feature_pipeline(spark, str(bad), out, write_status=str(tmp_path / "st2")) is None
+    assert spark.read.parquet(out).count() == 1
+    assert spark.read.parquet(str(tmp_path / "st2")).first()["status"] == "failed"
+
+
+def test_workspaces_are_apart(spark, tmp_path):
+    """A run that ends, well or not, takes only its own tables with it."""
+    from sessionsmith.context import Workspace
+
+    mine = Workspace(spark)
+    kept = mine.materialize(spark.range(5))
+    with pytest.raises(ZeroDivisionError), Workspace(spark) as other:
+        other.materialize(spark.range(3))
+        paths = list(other.paths)
+        1 / 0  # noqa: B018
+    import os
+
+    assert kept.count() == 5 and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+    mine.release()
+
+
+def test_local_checkpoint_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    from sessionsmith import context
+
+    class Context:
+        master = "yarn"
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+        def __init__(self, conf):
+            self.conf = {"spark.checkpoint.dir": "file:///tmp/x", **conf}
+
+        def getCheckpointDir(self):  # noqa: N802
+            return self.conf["spark.checkpoint.dir"]
+
+        def getConf(self):  # noqa: N802
+            return self.conf
+
+    class Session:
+        def __init__(self, conf):
+            self.sparkContext = Context(conf)
+
+    with pytest.raises(RuntimeError, match="local folder"):
+        context.ensure_checkpoint_dir(Session({}))
+    assert context.ensure_checkpoint_dir(Session({context.SHARED_FILES: "true"})) == "file:///tmp/x"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionsmith import schema as S
 from sessionsmith.plans.feature_pipeline import preprocess
-from sessionsmith.sources.logs import log_view, scan_logs
+from sessionsmith.sources.logs import footer_listing, log_view, scan_logs
 from sessionsmith.streaming.file_ingest import features_from_ingest, start_ingest
 
 SF = "/root/testdata/sf0.001"
@@ -51,9 +51,23 @@ def test_replayed_batch_is_not_duplicated(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     _split_into_files(spark, raw, range(0, 4))
-    batch = scan_logs(spark, str(raw))
+    batch = footer_listing(spark, str(raw))
     out = str(tmp_path / "out")
     ingest_batch(batch, 7, out)
     first = spark.read.parquet(f"{out}/sessions").count()
     ingest_batch(batch, 7, out)  # the same batch again, as after a failure
     assert spark.read.parquet(f"{out}/sessions").count() == first > 0
+
+
+def test_files_without_rows_get_a_status(spark, tmp_path):
+    """Empty and unreadable files are not lost: the stream carries names, not rows."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    _split_into_files(spark, raw, range(0, 1))
+    one = pq.read_table(f"{raw}/account-0.parquet")
+    pq.write_table(one.slice(0, 0), f"{raw}/empty one.parquet")
+    (raw / "broken.parquet").write_bytes(b"no parquet")
+    out = str(tmp_path / "out")
+    start_ingest(spark, str(raw), out, checkpoint_location=str(tmp_path / "ck")).awaitTermination(300)
+    status = {r[S.FILE].rsplit("/", 1)[-1]: r["status"] for r in spark.read.parquet(f"{out}/file_status").collect()}
+    assert status == {"account-0.parquet": "success", "empty%20one.parquet": "skipped", "broken.parquet": "failed"}
