@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,16 +27,20 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Bytes of one Arrow batch of texts. Spark's default is 64 MB; a task holds a batch several times over, in the JVM and in Python.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def same(a, b):
-    """Null-safe equality, usable as an equi-join key."""
-    return F.col(a).eqNullSafe(F.col(b)) if isinstance(a, str) else a.eqNullSafe(b)
+def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with small batches, however long texts are: the session's limit is lowered to ``BATCH_BYTES`` if it is higher. A row that is longer is a batch of its own."""
+    conf = df.sparkSession.conf
+    limit = re.fullmatch(r"(-?\d+)([kmgtb]?)b?", str(conf.get(_BATCH)).lower())
+    size = int(limit[1]) * 1024 ** " kmgt".find(limit[2]) if limit and limit[2] in " kmgt" and limit[2] else int(limit[1]) if limit else -1
+    if not 0 < size <= BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
 
 
-def spread(df: DataFrame, *keys: str, rows_each: int, least: int = 1) -> DataFrame:
-    """Shuffle ``df`` by ``keys`` into as many partitions as keep ``rows_each`` rows in one (a stored table is counted from its footers)."""
-    parts = max(least, -(-df.count() // rows_each))
-    return df.repartition(int(parts), *[F.col(k) for k in keys])
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_batches, stored
 
 WINDOW = 50
 GRAM = 26
@@ -154,7 +154,7 @@ def indexed(rows: DataFrame) -> DataFrame:
                     columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(p.counts), pa.array([digest(w) for w in p.words])]
                     yield pa.record_batch([*columns, lists(signed(hashes), bounds, pa.int64()), lists(places - p.first[of], bounds, pa.int32())], names=["id", "tid", "n_words", "sha", "anchors", "places"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, n_words bigint, sha string, anchors array<bigint>, places array<int>")
+    return in_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, n_words bigint, sha string, anchors array<bigint>, places array<int>")
 
 
 def factors(matches: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def factors(matches: DataFrame) -> DataFrame:
             columns = [lists(start[long], cut, pa.int32()), lists(end[long], cut, pa.int32()), lists(anchor, bounds, pa.int64()), lists(place, bounds, pa.int32()), lists(query, bounds, pa.bool_()), lists(query & ~inside, bounds, pa.bool_())]
             yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["id", "tid", "starts", "ends", "anchors", "places", "query", "open"])
 
-    return matches.mapInArrow(run, f"id {matches.schema['id'].dataType.simpleString()}, tid bigint, starts array<int>, ends array<int>, anchors array<bigint>, places array<int>, query array<boolean>, open array<boolean>")
+    return in_batches(matches, run, f"id {matches.schema['id'].dataType.simpleString()}, tid bigint, starts array<int>, ends array<int>, anchors array<bigint>, places array<int>, query array<boolean>, open array<boolean>")
 
 
 def boundary_windows(rows: DataFrame) -> DataFrame:
@@ -225,7 +225,7 @@ def boundary_windows(rows: DataFrame) -> DataFrame:
                     columns = [lists(signed(high), bounds, pa.int64()), lists(signed(low), bounds, pa.int64()), lists(at - p.first[of], bounds, pa.int32()), lists(query, bounds, pa.bool_())]
                     yield pa.record_batch([*(batch.column(i).slice(a, b - a) for i in (0, 1)), pa.array(left, pa.string()), *(batch.column(i).slice(a, b - a) for i in (3, 4)), *columns, pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.string())], names=["id", "tid", "text", "starts", "ends", "high", "low", "at", "query", "n_removed", "sha"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, text string, starts array<int>, ends array<int>, high array<bigint>, low array<bigint>, at array<int>, query array<boolean>, n_removed bigint, sha string")
+    return in_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, text string, starts array<int>, ends array<int>, high array<bigint>, low array<bigint>, at array<int>, query array<boolean>, n_removed bigint, sha string")
 
 
 def finished(rows: DataFrame) -> DataFrame:
@@ -239,7 +239,7 @@ def finished(rows: DataFrame) -> DataFrame:
                 done.append(without(raw.split(), [*starts, *at], [*ends, *(x + WINDOW for x in at)]))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.string())], names=["id", "tid", "n_removed", "sha"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, n_removed bigint, sha string")
+    return in_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, tid bigint, n_removed bigint, sha string")
 
 
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,12 +252,13 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("tid"), F.col(f"`{text}`").alias("text"))
     index = stored(indexed(rows))
     entries = index.select("id", "tid", "n_words", F.explode(F.arrays_zip("anchors", "places")).alias("e")).select("id", "tid", "n_words", F.col("e.anchors").alias("anchor"), F.col("e.places").alias("place"))
-    shared = entries.groupBy("anchor").agg(F.min("id").alias("ref"), F.min_by("place", "id").alias("ref_place"), F.max("id").alias("last")).where(F.col("ref") < F.col("last")).drop("last")
+    # stored, so that the join deals out both sides anew and an anchor that very many documents have can be split
+    shared = stored(entries.groupBy("anchor").agg(F.min("id").alias("ref"), F.min_by("place", "id").alias("ref_place"), F.max("id").alias("last")).where(F.col("ref") < F.col("last")).drop("last"))
     found = F.collect_set(F.struct("place", "anchor", F.col("ref").cast("bigint").alias("ref"), "ref_place")).alias("found")
     parsed = stored(factors(entries.join(shared, "anchor").groupBy("id", "tid").agg(F.max("n_words").alias("n_words"), found).select("id", "tid", "n_words", "found")))
 
     places = parsed.select("id", "tid", F.explode(F.arrays_zip("anchors", "places", "query", "open")).alias("p")).select("id", "tid", F.col("p.anchors").alias("anchor"), F.struct(F.col("p.places").alias("place"), F.col("p.query").alias("query")).alias("at"), F.col("p.open").alias("open"))
-    unsettled = places.where("open").select("anchor").distinct()
+    unsettled = stored(places.where("open").select("anchor").distinct())
     checked = places.join(unsettled, "anchor", "left_semi").groupBy("id", "tid").agg(F.collect_list("at").alias("checked"))
     known = parsed.where((F.size("starts") > 0)).select("id", "tid", "starts", "ends").join(checked, ["id", "tid"], "full")
     none = F.array().cast("array<int>")
@@ -265,7 +266,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     windows = stored(boundary_windows(rows.join(known, ["id", "tid"]).select("id", "tid", "text", "starts", "ends", "checked")))
 
     single = windows.select("id", "tid", F.explode(F.arrays_zip("high", "low", "at", "query")).alias("w")).select("id", "tid", "w.*")
-    first = single.groupBy("high", "low").agg(F.min("id").alias("first"), F.max(F.when(F.col("query"), F.col("id"))).alias("last")).where(F.col("first") < F.col("last")).drop("last")
+    first = stored(single.groupBy("high", "low").agg(F.min("id").alias("first"), F.max(F.when(F.col("query"), F.col("id"))).alias("last")).where(F.col("first") < F.col("last")).drop("last"))
     repeated = single.where("query").join(first, ["high", "low"]).where(F.col("id") > F.col("first")).groupBy("id", "tid").agg(F.collect_set("at").alias("at"))
     waiting = windows.where(F.col("sha").isNull()).select("id", "tid", "text", "starts", "ends")
     late = finished(waiting.join(repeated, ["id", "tid"], "left").select("id", "tid", "text", "starts", "ends", "at"))
