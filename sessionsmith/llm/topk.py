@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import in_batches, stored
 
 #: Entries of a leaf page, and children of an inner one.
-PAGE = 128
+PAGE = 512
 FANOUT = 16
 #: Vectors of one block, about: one task builds its tree and holds it while it searches.
 BLOCK_ROWS = 8_192
@@ -71,27 +71,35 @@ def spread_out(x: np.ndarray, n: int) -> np.ndarray:
     return x[chosen]
 
 
+def nearest(x: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Which of the rows ``to`` is nearest to each row of ``x``."""
+    return np.argmin((to * to).sum(axis=1) - 2 * (x @ to.T), axis=1)
+
+
+def parted(x: np.ndarray, n: int) -> list[np.ndarray]:
+    """Rows of ``x`` in up to ``n`` groups around centers: some rows at equal steps, moved twice to the mean of their group. Equal shares if all rows are alike."""
+    centers = x[np.linspace(0, len(x) - 1, n).astype(np.int64)]
+    for _ in range(2):
+        side = nearest(x, centers)
+        centers = np.stack([x[side == k].mean(axis=0) if (side == k).any() else centers[k] for k in range(n)])
+    side = nearest(x, centers)
+    groups = [np.flatnonzero(side == k) for k in range(n)]
+    groups = [g for g in groups if len(g)]
+    return groups if len(groups) > 1 else np.array_split(np.arange(len(x)), n)
+
+
 def bulk_loaded(x: np.ndarray) -> Iterator[dict]:
-    """Pages of an M-tree over the lifted vectors ``x``: the root is page 0, parents come before children. ``rows`` of a leaf number its entries."""
-    center = x.mean(axis=0)
-    todo = [(np.arange(len(x)), -1, center, None)]
+    """Pages of an M-tree over the lifted vectors ``x``: the root is page 0, parents come before children. ``rows`` of a leaf number its entries. A routing object is the mean of what it covers."""
+    todo = [(np.arange(len(x)), -1, None)]
     page = 0
     while todo:
-        rows, parent, routing, above = todo.pop()
+        rows, parent, above = todo.pop()
+        routing = x[rows].mean(axis=0)
         own = distances(x[rows], routing)
         leaf = len(rows) <= PAGE
         yield {"page": page, "parent": parent, "leaf": leaf, "routing": routing, "radius": float(own.max(initial=0.0)), "to_parent": 0.0 if above is None else float(np.sqrt(((routing - above) ** 2).sum())), "rows": rows if leaf else rows[:0], "entry": own if leaf else own[:0]}
         if not leaf:
-            want = min(FANOUT, -(-len(rows) // PAGE))
-            seeds = spread_out(x[rows], want)
-            if len(seeds) < 2:  # all alike: any split will do
-                for part in np.array_split(rows, want):
-                    todo.append((part, page, seeds[0], routing))
-            else:
-                side = np.argmin(np.stack([distances(x[rows], s) for s in seeds]), axis=0)
-                for k, s in enumerate(seeds):
-                    if (side == k).any():
-                        todo.append((rows[side == k], page, s, routing))
+            todo += [(rows[g], page, routing) for g in parted(x[rows], min(FANOUT, -(-len(rows) * 5 // (4 * PAGE)) + 1))]
         page += 1
 
 
@@ -181,7 +189,7 @@ def blocks_of(rows: DataFrame, sample: dict[int, np.ndarray], block_rows: int) -
                     cell[rows] = np.argmin(np.stack([distances(x, p) for p in pivots[dim]]), axis=0)
             yield pa.record_batch([*batch.columns, pa.array(cell)], names=["id", "x", "dim", "cell"])
 
-    placed = stored(rows.mapInArrow(cells, "id bigint, x array<double>, dim int, cell bigint"))
+    placed = stored(in_batches(rows, cells, "id bigint, x array<double>, dim int, cell bigint"))
     # a row for each pivot of each dimension
     sizes = placed.groupBy("dim", "cell").count().withColumn("shares", F.ceil(F.col("count") / block_rows))
     share = F.pmod(F.xxhash64("id", "x"), F.col("shares"))  # a hot vector has one share for each of its keys
