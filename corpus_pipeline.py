@@ -17,12 +17,14 @@ from sessionsmith.llm.common import stored, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def without(docs: DataFrame, gone: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """Rows of ``docs`` whose id, text and further ``keys`` (column of docs: column of gone) are not in ``gone`` (doc_id, text_id, ...)."""
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not in ``gone`` (_doc_id, _text_id).
+
+    Both sides are dealt out by document: the list of documents grows with the corpus, so the plan doesn't depend on
+    whether it still fits a broadcast, and no key is hot.
+    """
     match = docs["doc_id"].eqNullSafe(gone["_doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_text_id"])
-    for own, other in keys.items():
-        match = match & docs[own].eqNullSafe(gone[other])
-    return docs.join(gone, match, "left_anti").select(*COLUMNS)
+    return docs.join(gone.hint("merge"), match, "left_anti").select(*COLUMNS)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -31,10 +33,8 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality_rules.quality_rules(identified(docs), ["doc_id", "_text_id", "lang", "source"])
-    rejected = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_doc_id"), "_text_id", F.col("lang").alias("_lang"), F.col("source").alias("_source"))
-    return without(docs, stored(rejected), {"lang": "_lang", "source": "_source"})
+    """Documents that the quality rules keep. Texts stay with their counts, so that verdicts need no join back."""
+    return quality_rules.quality_rules(docs, COLUMNS).where("kept").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: the one with the smallest id (a null one last), of several texts for it the one with the least hash."""
     found = stored(simhash.near_duplicates(identified(docs), keep=("_text_id",)))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text_id")
-    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    first = stored(found.groupBy("root").agg(F.min(order).alias("first")))
     others = found.join(first, "root").where(~order.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_doc_id"), "_text_id").distinct()
-    kept = without(docs, stored(others), {})
+    kept = without(docs, stored(others))
     if found.groupBy("doc_id", "_text_id").count().where("count > 1").isEmpty():
         return kept
     return kept.dropDuplicates(["doc_id", "text"])  # rows that repeat a document
@@ -59,7 +59,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at the rates, up to 1, that bring the labelled domains nearest to their weights."""
     rated = mixing.mixed(identified(docs), queries.domains(table(spark, sf_dir, "labels")), queries.DOMAIN_WEIGHTS, ["doc_id", "_text_id"], steady=0, most=1.0)
     undrawn = rated.where(~mixing.drawn(F.col("rate"), "doc_id", "_text_id")).select(F.col("doc_id").alias("_doc_id"), "_text_id").distinct()
-    return without(docs, stored(undrawn), {})
+    return without(docs, stored(undrawn))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import in_batches, stored
 
+#: Up to this many languages and sources their thresholds (some 200 bytes each) are broadcast.
+BROADCAST_GROUPS = 100_000
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
@@ -98,10 +100,12 @@ def measured(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 def base_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns of each row, and the counts of its whole text (null: none)."""
+    passed = keep if text in keep else [*keep, text]
+    place = passed.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(len(keep)).cast(pa.large_binary()).to_pylist()]
+            texts = [t or b"" for t in batch.column(place).cast(pa.large_binary()).to_pylist()]
             ends, size = [], 0
             for k, t in enumerate(texts):  # in parts of some MB
                 size += len(t)
@@ -113,7 +117,7 @@ def base_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
                 yield pa.record_batch([*(batch.column(i).slice(a, b - a) for i in range(len(keep))), *(pa.array(got[c]) for c in COUNTS)], names=[*keep, *COUNTS])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{c} bigint" for c in COUNTS)])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+    return in_batches(docs.select(*[F.col(f"`{c}`") for c in passed]), run, schema)
 
 
 def base_failed() -> Column:
@@ -187,6 +191,8 @@ def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach:
     overall = table.where(F.col("level") == 2).first()  # one row
     chosen = lambda c: F.when(F.col("docs_0") >= least_docs, F.col(f"{c}_0")).when(F.col("docs_1") >= least_docs, F.col(f"{c}_1")).otherwise(F.lit(overall and overall[c])).alias(c)
     of = of.select("lang_0", "source_0", *[chosen(c) for c in limits])
+    if table.count() <= BROADCAST_GROUPS:  # else the join deals out by language and source, and Spark splits hot ones
+        of = F.broadcast(of)
     joined = rows.join(of, rows[lang].eqNullSafe(of["lang_0"]) & rows[source].eqNullSafe(of["source_0"]), "left")
     out = lambda m, both: (F.col(m) > F.col(f"high_{m}")) | (F.col(m) < F.col(f"low_{m}") if both else F.lit(False))
     outside = F.array_compact(F.array(*[F.when(out(m, both), F.lit(m)) for m, (_, both) in MEASURES.items()]))
@@ -201,3 +207,54 @@ def quality_rules(docs: DataFrame, keep: list[str], text: str = "text", lang: st
     """
     keep = list(dict.fromkeys([*keep, lang, source]))
     return judged(stored(base_counts(docs, keep, text)), lang, source, **options)
+
+
+def oracle() -> str:
+    """The same in DuckDB SQL, over ``documents``."""
+    ratios = {"symbol_ratio": ("n_symbols", "n_words"), "mark_ratio": ("n_marks", "n_words"), "upper_ratio": ("n_upper", "n_letters"), "dup_line_ratio": ("n_dup_lines", "n_lines"), "repeat_ratio": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
+    measure = " UNION ALL ".join(f"SELECT doc_id, lang, source, base_failed, '{m}' AS measure, CAST({a} AS DOUBLE) / greatest({b}, 1) AS v FROM base" for m, (a, b) in ratios.items())
+    width = " ".join(f"WHEN '{m}' THEN {least}" for m, (least, _) in MEASURES.items())
+    both = ", ".join(f"'{m}'" for m, (_, low) in MEASURES.items() if low)
+    value = f"CASE WHEN {{0}} = -2000 THEN 0.0 ELSE 2 * pow({GROWTH!r}, {{0}}) / ({GROWTH!r} + 1) END"
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS k FROM d, unnest(range(1, len(w) - 3)) AS t(i)),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 5)) AS u(p) WHERE n > 1 GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, lang, source, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+    len(lines) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^!?]', '', 'g')) AS n_marks
+  FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
+),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+measured AS ({measure}),
+bucketed AS (SELECT *, CAST(CASE WHEN v <= {ZERO} THEN -2000 ELSE ceil(ln(v) / {math.log(GROWTH)!r}) END AS INTEGER) AS bucket FROM measured WHERE NOT base_failed),
+levels AS (
+  SELECT 0 AS level, lang, source, measure, bucket, count(*) AS n FROM bucketed GROUP BY ALL
+  UNION ALL SELECT 1, lang, NULL, measure, bucket, count(*) FROM bucketed GROUP BY ALL
+  UNION ALL SELECT 2, NULL, NULL, measure, bucket, count(*) FROM bucketed GROUP BY ALL
+),
+summed AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure) AS total, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS upto FROM levels),
+quartiles AS (
+  SELECT level, lang, source, measure, max(total) AS docs, min(bucket) FILTER (WHERE upto >= 0.25 * total) AS b1, min(bucket) FILTER (WHERE upto >= 0.75 * total) AS b3
+  FROM summed GROUP BY level, lang, source, measure
+),
+valued AS (SELECT level, lang, source, measure, docs, {value.format('b1')} AS q1, {value.format('b3')} AS q3 FROM quartiles),
+fences AS (SELECT level, lang, source, measure, docs, q1, q3, {REACH} * greatest(q3 - q1, CASE measure {width} END) AS width FROM valued),
+chosen AS (
+  SELECT s.lang, s.source, s.measure,
+    CASE WHEN s.docs >= {LEAST_DOCS} THEN s.q1 - s.width WHEN l.docs >= {LEAST_DOCS} THEN l.q1 - l.width ELSE a.q1 - a.width END AS low,
+    CASE WHEN s.docs >= {LEAST_DOCS} THEN s.q3 + s.width WHEN l.docs >= {LEAST_DOCS} THEN l.q3 + l.width ELSE a.q3 + a.width END AS high
+  FROM fences s JOIN fences l ON l.level = 1 AND s.lang IS NOT DISTINCT FROM l.lang AND s.measure = l.measure JOIN fences a ON a.level = 2 AND s.measure = a.measure WHERE s.level = 0
+),
+outside AS (
+  SELECT DISTINCT m.doc_id FROM measured m JOIN chosen c ON m.lang IS NOT DISTINCT FROM c.lang AND m.source IS NOT DISTINCT FROM c.source AND m.measure = c.measure
+  WHERE m.v > c.high OR (m.measure IN ({both}) AND m.v < c.low)
+)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.doc_id IS NULL AS kept FROM base b LEFT JOIN outside o ON b.doc_id = o.doc_id
+"""
