@@ -1,4 +1,8 @@
-"""What the operators of this subpackage share: shared-folder tables and text conventions."""
+"""What the operators of this subpackage share: tables in the shared folder, and bounded Arrow batches.
+
+Words are runs of characters other than space, tab, LF, VT, FF and CR everywhere. On UTF-8 these are exactly the runs that
+``bytes.split()`` returns.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,9 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sessionsmith.context import ensure_checkpoint_dir
 
-#: Words are runs of characters other than space, tab, LF, VT, FF and CR. On UTF-8 these are exactly the runs that
-#: ``bytes.split()`` returns.
-WORD = r"[^\x20\x09-\x0D]+"
-
 
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A new path below the shared folder that ``spark.checkpoint.dir`` names."""

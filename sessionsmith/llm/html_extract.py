@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
 from .dom import Page, blocks, parsed
 
 #: Pages of the table that may be used for training, at most, and laid-out ones.
@@ -342,4 +343,4 @@ def main_text(pages: DataFrame, keep: list[str], html: str = "html", key: str =
                     a, size = b, 0
 
     schema = ", ".join([*(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep), "text string, n_chars bigint"])
-    return pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html}`")).mapInArrow(run, schema)
+    return in_batches(pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html}`")), run, schema)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_batches, stored
 
 #: Distinct sites from which on a line is boilerplate.
 LEAST_SITES = 10
@@ -76,7 +76,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", site: str = "source", text:
             yield pa.record_batch([*columns, pa.array(removed, pa.int64())], names=[*names, "n_lines_removed"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_lines_removed bigint"])
-    return marked.mapInArrow(run, schema)
+    return in_batches(marked, run, schema)
 
 
 #: The same by exact counts.

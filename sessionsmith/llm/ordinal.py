@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_batches, stored
 
 LOG_FEATURES = 21
 #: The fit uses at most about this many labelled documents, drawn by a hash of their key.
@@ -120,7 +120,7 @@ def features(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(rows, pa.list_(pa.int32()))], names=[*keep, "index"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "index array<int>"])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+    return in_batches(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")), run, schema)
 
 
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int, key: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
@@ -152,7 +152,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, key: str = "doc_id
         used = np.flatnonzero(model.weights)
         yield pa.record_batch([pa.array([used.tolist()], pa.list_(pa.int32())), pa.array([model.weights[used].tolist()], pa.list_(pa.float64())), pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))], names=["used", "weights", "thresholds"])
 
-    got = rows.repartition(1).mapInArrow(run, "used array<int>, weights array<double>, thresholds array<double>").first()
+    got = in_batches(rows.repartition(1), run, "used array<int>, weights array<double>, thresholds array<double>").first()
     if got is None:
         return Model(np.zeros(0, np.float32), np.zeros(n_grades - 1))
     weights = np.zeros(1 << LOG_FEATURES, np.float32)
@@ -190,7 +190,7 @@ def grade(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(scores), pa.array(tails.sum(axis=1)), pa.array(list(tails), pa.list_(pa.float64()))], names=[*keep, "score", "expected_grade", "tails"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "score double, expected_grade double, tails array<double>"])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+    return in_batches(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")), run, schema)
 
 
 def selected(tail: Column, least: float = LEAST_TAIL) -> Column:

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import in_batches
+
 MARK = "▁"
 MARK_UTF8 = MARK.encode()
 
@@ -174,7 +176,7 @@ def encode_documents(docs: DataFrame, model: bytes, key: str = "doc_id", text: s
                 yield pa.record_batch([*one, pa.array([coder.full.decode(ids.tolist())])], names=[key, "ids", "starts", "stops", "decoded"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>, starts array<bigint>, stops array<bigint>, decoded string")
+    return in_batches(docs.select(key, text), run, f"`{key}` {kind}, ids array<int>, starts array<bigint>, stops array<bigint>, decoded string")
 
 
 def encoding_digests(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,4 +199,4 @@ def encoding_digests(docs: DataFrame, model: bytes, key: str = "doc_id", text: s
             yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "span_bytes", "span_pieces"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, span_bytes bigint, span_pieces bigint")
+    return in_batches(docs.select(key, text), run, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, span_bytes bigint, span_pieces bigint")
