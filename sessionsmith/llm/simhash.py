@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_batches, stored
 
 BITS = 64
 SHINGLE = 4
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", width: in
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(fps)], names=[*keep, "fp"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "fp bigint"])
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")).mapInArrow(run, schema)
+    return in_batches(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`")), run, schema)
 
 
 def flips(positions: list[int], most: int) -> np.ndarray:
@@ -139,7 +139,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, key_bits: int = KEY_BITS, ro
             return
         yield pa.record_batch([pa.array(x.view(np.int64)) for x in forest(a, b)], names=["a", "b"])
 
-    return sent.repartition(int(parts), "key").mapInArrow(run, "a bigint, b bigint").distinct()
+    return in_batches(sent.repartition(int(parts), "key"), run, "a bigint, b bigint").distinct()
 
 
 def collisions(fp: np.ndarray, key: np.ndarray, left_over: np.ndarray, rest: list[np.ndarray], mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -182,16 +182,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node of its component.
 
     Alternates two steps until nothing changes: each node's larger neighbours are linked to its smallest neighbour, then its
-    smaller ones. Each step is one minimum per node and one join, with the result stored in the shared folder.
+    smaller ones. Each step is one minimum per node and one join, with the results stored in the shared folder: lineage
+    stays short, and as the join deals out both its sides anew, Spark can split the links of a node that has very many.
     """
     edges = stored(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")))
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
         large = stored(large)
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("low")))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
         edges = stored(small)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -214,7 +215,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
     nodes = stored(fps.groupBy("fp").agg(F.min(key).alias("first")))
     linked = stored(components(links(nodes.select("fp"), distance, key_bits)))
     named = stored(nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
-    names = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "root", "component")
+    names = named.join(stored(named.groupBy("root").agg(F.min("first").alias("component"))), "root").select("fp", "root", "component")
     return fps.join(names, "fp").select(key, *keep, "fp", "root", "component")
 
 

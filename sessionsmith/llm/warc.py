@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, stored
+from .common import in_batches, shared_path, stored
 
 #: Payloads shorter than this are always written in full.
 LEAST_REVISIT = 100
@@ -42,7 +42,7 @@ def revisits(pages: DataFrame, key: str, payload: str) -> DataFrame:
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     digests = stored(pages.select(F.col(key).alias("key"), F.sha2(body, 256).alias("digest")).where(F.octet_length(body) >= LEAST_REVISIT))
-    groups = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n")
+    groups = stored(digests.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n"))
     return digests.join(groups, "digest").where("key is null or key > first").select("key", "digest", F.col("first").alias("refers_to")).distinct()
 
 
@@ -146,7 +146,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
                     with gzip.GzipFile(fileobj=pa.BufferReader(content)) as zipped:
                         yield rows_of(captures(io.BufferedReader(zipped, 1 << 20), name.rpartition("/")[2]))
 
-    return files.mapInArrow(run, CAPTURE)
+    return in_batches(files, run, CAPTURE)
 
 
 class LoserTree:
@@ -212,7 +212,7 @@ def merged(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
         if out:
             yield rows_of(out)
 
-    return runs.repartitionByRange(int(ranges), "url_key", "captured_at", F.col("page_id").asc_nulls_last(), "payload_digest", "run", "offset").mapInArrow(run, CAPTURE)
+    return in_batches(runs.repartitionByRange(int(ranges), "url_key", "captured_at", F.col("page_id").asc_nulls_last(), "payload_digest", "run", "offset"), run, CAPTURE)
 
 
 def archived(pages: DataFrame, path: str | None = None, key: str = "page_id", url: str = "url", payload: str = "html", captured_at: Column | None = None) -> DataFrame:
