@@ -25,7 +25,8 @@ def op1_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,5 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_warc_merge": warc.ORACLE,
+    "op2_quality_rules": quality_rules.oracle(),
     "op3_line_dedup": line_dedup.ORACLE,
+    "op5_substring_dedup": substring_dedup.ORACLE,
+    "op10_mtree_topk": topk.oracle(5, 50),
 }

@@ -273,3 +273,15 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     done = windows.where(F.col("sha").isNotNull()).select("id", "tid", "n_removed", "sha").unionByName(late).dropDuplicates(["id", "tid"]).withColumnRenamed("sha", "kept")
     out = index.select("id", "tid", "n_words", "sha").join(done, ["id", "tid"], "left")
     return out.select(F.col("id").alias(key), "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept", "sha").alias("kept_sha256"))
+
+
+#: Over all windows, in DuckDB.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + {WINDOW - 1}), ' ')) AS k FROM d, unnest(range(1, len(w) - {WINDOW - 2})) AS t(i)),
+first AS (SELECT *, min(doc_id) OVER (PARTITION BY k) AS owner FROM windows),
+gone AS (SELECT DISTINCT doc_id, p FROM first, unnest(range(i, i + {WINDOW})) AS u(p) WHERE owner < doc_id),
+words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+left_over AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n FROM words x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.p = g.p WHERE g.p IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN left_over l ON d.doc_id = l.doc_id
+"""

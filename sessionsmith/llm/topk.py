@@ -263,3 +263,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", v
     hits = each.groupBy("block", "chunk").cogroup(sides.groupBy("home", "chunk")).applyInArrow(search, "q bigint, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def oracle(k: int, every: int, scale: int = 256) -> str:
+    """Every product, in DuckDB, for vectors of one length over ``embeddings``."""
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % {every} = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {k}
+"""
