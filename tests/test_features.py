@@ -97,7 +97,14 @@ class TestOnlineView:
         out = {r[S.KEY]: r["total_sessions"] for r in feat.lookup_features(ids, online).collect()}
         assert out == {"a": 2, "zzz": None}
         # the large-list path (no broadcast) gives the same rows
-        out2 = {r[S.KEY]: r["total_sessions"] for r in feat.lookup_features(ids, online, broadcast_max_rows=1).collect()}
+        limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+        for limit in limits:
+            spark.conf.set(limit, "-1")
+        try:
+            out2 = {r[S.KEY]: r["total_sessions"] for r in feat.lookup_features(ids, online).collect()}
+        finally:
+            for limit in limits:
+                spark.conf.unset(limit)
         assert out2 == out
 
     def test_time_range(self, spark):
