@@ -6,7 +6,8 @@ values that differ from it in at most r bits. Values of two balls that collide l
 A ball has thousands of values, so it travels folded: the shuffle key is what a value holds in ``key_bits`` fixed bit
 positions, a fingerprint is sent once to each key that its ball touches, and the task that holds a key unfolds the rest of
 the ball there (the flips that are left over, in the other positions). All values with one key are in one task, so every
-collision is seen, at a small part of the rows.
+collision is seen, at a small part of the rows. A key with more values than a task holds at a time is folded once more on
+further fixed positions, and again until all are fixed: whether it is depends on the key alone, so each value still has one.
 
 Balls that collide in one value are all within 2r of each other, so each colliding value links its members in a star, not
 pairwise. Links are reduced to a spanning forest in each task before they leave it.
@@ -15,6 +16,7 @@ pairwise. Links are reduced to a spanning forest in each task before they leave
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -101,15 +103,51 @@ def links(fps: DataFrame, distance: int = DISTANCE, key_bits: int = KEY_BITS, ro
     if distance < 2 or distance % 2:
         raise ValueError("the distance must be even and at least 2")
     radius = distance // 2
+    found = [linked(rows, mask, rest, radius, rows_each) for rows, mask, rest in folded(fps, radius, key_bits)]
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def folded(fps: DataFrame, radius: int, key_bits: int) -> Iterator[tuple[DataFrame, int, list[np.ndarray]]]:
+    """Per level, the rows (fp, key) whose key isn't folded further, the mask of the positions fixed so far, and the flips of at most 0, 1, … ``radius`` of the others.
+
+    Values are counted per key from the fingerprints' own bits, before any row is sent. Folded keys are broadcast: they are
+    fewer than all values (a ball for each fingerprint) divided by ``VALUES_AT_ONCE``.
+    """
     step = BITS // key_bits
     inner = [p * step for p in range(key_bits)]
     outer = [p for p in range(BITS) if p not in inner]
-    mask = sum(1 << p for p in inner)
-    signed = lambda x: int(np.uint64(x).astype(np.int64))
-    near = [signed(m) for m in flips(inner, radius)]
-    parts = max(1, -(-fps.count() * len(near) // rows_each))
-    sent = fps.select("fp", F.explode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(mask))).bitwiseXOR(F.lit(m)) for m in near])).alias("key"))
-    rest = [flips(outer, k) for k in range(radius + 1)]
+    n = -(-len(outer) // key_bits)
+    fixed = 0
+    rows = fps.select("fp", F.lit(0).cast("long").alias("key"), F.lit(radius).alias("left_over"))
+    for positions in [inner, *(outer[i::n] for i in range(n))]:
+        here = sum(1 << p for p in positions)
+        fixed |= here
+        free = [p for p in range(BITS) if not fixed >> p & 1]
+        rest = [flips(free, k) for k in range(radius + 1)]
+        masks = F.array(*[F.array(*[F.lit(signed(m)) for m in flips(positions, k)]) for k in range(radius + 1)])[F.col("left_over")]
+        own = F.col("fp").bitwiseAND(F.lit(signed(here))).bitwiseOR(F.col("key"))
+        to = [F.col("own").bitwiseXOR(F.col("m")).alias("key"), (F.col("left_over") - F.bit_count("m")).alias("left_over")]
+        sent = rows.select("fp", own.alias("own"), "left_over", F.explode(masks).alias("m")).select("fp", *to)
+        hot = None
+        if free and fps.count() * len(rest[radius]) > VALUES_AT_ONCE:
+            alike = rows.groupBy(own.alias("own"), "left_over").agg(F.count(F.lit(1)).alias("n"))
+            values = F.col("n") * F.array(*[F.lit(len(r)) for r in rest])[F.col("left_over")]
+            keys = alike.select("own", "left_over", "n", F.explode(masks).alias("m")).select(*to, "n").groupBy("key").agg(F.sum(values).alias("n_values"))
+            hot = stored(keys.where(F.col("n_values") > VALUES_AT_ONCE).select("key"))
+        if hot is None or hot.isEmpty():
+            yield sent.select("fp", "key"), fixed, rest
+            return
+        yield sent.join(F.broadcast(hot), "key", "left_anti").select("fp", "key"), fixed, rest
+        rows = stored(sent.join(F.broadcast(hot), "key", "left_semi"))
+
+
+def signed(x: int) -> int:
+    return int(np.uint64(x).astype(np.int64))
+
+
+def linked(rows: DataFrame, mask: int, rest: list[np.ndarray], radius: int, rows_each: int) -> DataFrame:
+    """Links of the fingerprints that ``rows`` (fp, key) send to each key."""
+    parts = max(1, -(-rows.count() // rows_each))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint64)) for b in batches]
@@ -139,7 +177,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, key_bits: int = KEY_BITS, ro
             return
         yield pa.record_batch([pa.array(x.view(np.int64)) for x in forest(a, b)], names=["a", "b"])
 
-    return in_batches(sent.repartition(int(parts), "key"), run, "a bigint, b bigint").distinct()
+    return in_batches(rows.repartition(int(parts), "key"), run, "a bigint, b bigint")
 
 
 def collisions(fp: np.ndarray, key: np.ndarray, left_over: np.ndarray, rest: list[np.ndarray], mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:

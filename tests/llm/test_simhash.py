@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -66,6 +67,31 @@ def test_hot_key_in_slices(monkeypatch):
     assert set(zip(*whole, strict=True)) == set(zip(*sliced, strict=True))
 
 
+@pytest.mark.parametrize("bound", [20_000, 1_500])
+def test_hot_key_is_dealt_out(spark, monkeypatch, bound):
+    """Many distinct fingerprints with the same bits in all key positions: no key brings a task more values than the bound, and no link is lost."""
+    rng = np.random.default_rng(11)
+    others = [p for p in range(64) if p % 4]
+    fps = [0]
+    for center in rng.integers(0, 2**63, 30, dtype=np.uint64):
+        base = sum(1 << p for p in others if int(center) >> p & 1)
+        fps += [base ^ sum(1 << int(p) for p in rng.choice(others, rng.integers(0, 5), replace=False)) for _ in range(8)]
+    fps = np.unique(np.array(fps, np.uint64))
+    sent, batches = [], S.in_batches
+    monkeypatch.setattr(S, "VALUES_AT_ONCE", bound)
+    monkeypatch.setattr(S, "in_batches", lambda df, run, schema: sent.append(df) or batches(df, run, schema))
+    df = spark.createDataFrame(pd.DataFrame({"fp": fps.view(np.int64)}))
+    root = {r.node: r.root for r in S.components(S.links(df)).collect()}
+    got, want = [root.get(x, x) for x in fps.view(np.int64).tolist()], brute_components(fps).tolist()
+    assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+    for level, rows in enumerate(sent):
+        fp, key = (np.array(x, np.int64).view(np.uint64) for x in zip(*rows.collect(), strict=True))
+        fixed = np.uint64(sum(1 << p for p in range(64) if p % 4 <= level))
+        ball = np.cumsum([math.comb(48 - 16 * level, k) for k in range(3)])
+        values = pd.Series(ball[2 - np.bitwise_count((fp ^ key) & fixed).astype(int)]).groupby(key).sum()
+        assert values.max() <= bound
+
+
 def test_near_duplicates_edges(docs_of, spark, rng):
     base = [f"w{rng.randrange(999)}" for _ in range(400)]
     near = base.copy()
