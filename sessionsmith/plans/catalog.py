@@ -270,15 +270,10 @@ def q_batch_score(spark, sf):
     return tp.score_accounts(res.model, ids, online)
 
 
-def _small_model(spark, sf):
-    """A model of few rounds over the training set, and that set."""
-    data = materialize(tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf)))
-    return ml.train_gbt(data, params={"maxIter": 3}), data
-
-
 def q_write_model(spark, sf):
-    """A model written and read back scores every row alike."""
-    model, data = _small_model(spark, sf)
+    """The trained model written and read back scores every row of all splits alike."""
+    res = _trained(spark, sf)
+    model, data = res.model, res.split
     path = ml.save_model(model, f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}")
     both = ml.predict(ml.load_model(path), ml.predict(model, data).withColumnsRenamed({"p": "p_before", "prediction": "prediction_before"}))
     alike = (F.col("p") == F.col("p_before")) & (F.col("prediction") == F.col("prediction_before"))
@@ -300,10 +295,11 @@ def q_assemble(spark, sf):
 
 
 def q_batch_score_facts(spark, sf):
-    """What must hold for scores of any model: one per id, probabilities, and the threshold's decision."""
-    model, _ = _small_model(spark, sf)
+    """What must hold for scores of the trained model, as of any: one per id, probabilities, and the threshold's decision."""
+    snapshots = _snapshots(spark, sf)
+    model = _trained(spark, sf, snapshots).model
     ids = read_label_view(spark, sf).select(S.KEY).distinct()
-    scores = tp.score_accounts(model, ids, feat.latest_per_key(_snapshots(spark, sf)))
+    scores = tp.score_accounts(model, ids, feat.latest_per_key(snapshots))
     p = F.col("churn_probability")
     return scores.agg(
         F.count(F.lit(1)).alias("n_scores"),

@@ -226,3 +226,19 @@ def test_labels_by_name(spark, tmp_path):
     (tmp_path / "lacking.csv").write_text("actor_account_id,churn_yn\n1,1\n")
     with pytest.raises(ValueError, match="event_timestamp"):
         scan_labels(spark, str(tmp_path / "lacking.csv"))
+
+
+@pytest.mark.parametrize("name", ["write_model", "batch_score_facts"])
+def test_model_queries_run_the_full_training(spark, monkeypatch, name):
+    """Default rounds, with a validation set, so that patience and the best round are run."""
+    from sessionsmith.plans.catalog import QUERIES
+
+    train, calls = ml.train_gbt, []
+
+    def recorded(data, **options):
+        calls.append((options.get("params"), data.columns))
+        return train(data, **options)
+
+    monkeypatch.setattr(ml, "train_gbt", recorded)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() == 1
+    assert calls and all(not params and "is_val" in columns for params, columns in calls)
