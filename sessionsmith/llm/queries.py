@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, line_dedup, mixing, ordinal, pieces, quality_rules, simhash, substring_dedup, topk, warc
+from . import html_extract, line_dedup, mixing, ordinal, periodic_runs, pieces, quality_rules, secret_scan, simhash, spelling, substring_dedup, topk, warc
 from .common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -78,6 +78,21 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests only, so that texts without a tile aren't stored."""
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, texts=False))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.span_digests(secret_scan.secrets(docs, secret_scan.train(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_merge": op1_warc_merge,
     "op2_quality_rules": op2_quality_rules,
@@ -89,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_mtree_topk": op10_mtree_topk,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from sessionsmith.llm import periodic_runs as P
+
+
+def brute(words):
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            a = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            size = i - a + q
+            if size >= max(6, 4 * q) and not any(q % d == 0 and all(words[j] == words[j + d] for j in range(a, a + size - d)) for d in range(1, q)):
+                out.append((a, size, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def repetitive(rng, most):
+    words: list[str] = []
+    letters = rng.choice([1, 2, 3, 6])
+    while len(words) < most:
+        part = [f"w{rng.randrange(letters)}" for _ in range(rng.randrange(1, 14))]
+        words += part * rng.randrange(1, 8)
+        words = words[: len(words) - rng.randrange(3)] or words
+    return words[:most]
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(key, text):
+    words = [w.decode() for w in (text or "").encode().split()]  # not at white space beyond ASCII
+    h = zlib.crc32(str(key).encode())
+    if key is not None and h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute(words)
+    gone = {i for a, size, q in runs for i in range(a + q, a + size)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    tail = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (key, len(runs), *tail, digest("".join(f"{a},{size},{q}\n" for a, size, q in runs)), digest(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def test_tiles_against_brute_force():
+    """All tiles of all octaves, solved one by one and stitched, find the runs of every sequence and no more."""
+    rng = random.Random(5)
+    for _ in range(400):
+        words = [w.encode() for w in repetitive(rng, rng.choice([1, 6, 30, 200]))]
+        codes = P.word_codes(words)
+        spans: dict[int, list] = {}
+        for s, c in P.tile_places(codes):
+            for q, a, b in P.fragments(s, min(s, c), codes[max(0, c - s) : c + 5 * s].tolist()):
+                assert s <= q < 2 * s
+                spans.setdefault(q, []).append([c - a, c + b])
+        found = []
+        for q, each in spans.items():
+            whole = []
+            for a, b in sorted(each):
+                if whole and a <= whole[-1][1]:
+                    whole[-1][1] = max(b, whole[-1][1])
+                else:
+                    whole.append([a, b])
+            found += [(a, b - a + q, q) for a, b in whole if b - a + q >= max(6, 4 * q)]
+        assert sorted(found, key=lambda r: (r[0], r[2])) == brute(words)
+
+
+def test_query_against_brute_force(spark, docs_of):
+    rng = random.Random(6)
+    rows = [(k, " ".join(repetitive(rng, rng.choice([0, 3, 8, 40, 150]))), "en", "s") for k in range(150)]
+    rows += [(200, None, "en", "s"), (201, "", "en", "s"), (202, " \t\n", "en", "s"), (None, "a " * 9, "en", "s"), (203, "a\x0bb c " * 5, "en", "s")]
+    rows += [rows[0], rows[0], (1, "x y " * 6, "en", "s")]  # repeated rows, and another text with the same key
+    docs = docs_of(rows)
+    got = P.run_digests(P.periodic_runs(P.planted(docs), texts=False)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted((expected(k, t) for k, t, _, _ in rows), key=str)
+
+
+def test_texts_and_long_document(spark, docs_of, monkeypatch):
+    """A long text of one word, one of a long period, and its tiles in many small batches."""
+    monkeypatch.setattr(P, "TILE_WORDS", 500)
+    long = " ".join(f"v{i}" for i in range(3000))
+    docs = docs_of([(1, "same " * 20000, "en", "s"), (2, f"{long} {long} {long} {long} {long} end", "en", "s"), (3, "no runs here", "en", "s")])
+    got = {r["doc_id"]: r for r in P.periodic_runs(docs).collect()}
+    assert [tuple(r) for r in got[1]["runs"]] == [(0, 20000, 1)] and got[1]["text"] == "same"
+    assert [tuple(r) for r in got[2]["runs"]] == [(0, 15000, 3000)] and got[2]["text"] == f"{long} end"
+    assert got[3]["runs"] == [] and got[3]["text"] == "no runs here" and got[3]["n_words"] == 3
+
+
+@pytest.mark.parametrize("texts", [True, False])
+def test_empty_table(docs_of, texts):
+    assert P.run_digests(P.periodic_runs(P.planted(docs_of([])), texts=texts)).collect() == []
