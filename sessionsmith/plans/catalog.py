@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..context import ensure_checkpoint_dir, materialize
 from ..functions.expressions import level_from_key
+from ..operators import boosting
 from ..operators import features as feat
 from ..operators import ml
 from ..operators import quality as q
@@ -280,6 +281,21 @@ def q_write_model(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~alike).alias("n_different"))
 
 
+#: Cut points of the query ``grow_tree``, so that SQL can bin alike.
+TREE_CUTS = {"n_chars": [250.0 * k for k in range(1, 24)], "n_lines": [0.0, 1.0, 2.0, 4.0, 8.0, 16.0], "n_spaces": [40.0 * k for k in range(1, 24)]}
+
+
+def q_grow_tree(spark, sf):
+    """The best split of a leaf-wise tree over the labelled documents, as the table of its nodes. Every seventh document lacks its length."""
+    docs = read_table(spark, sf, "documents").select(
+        "doc_id", F.when(F.pmod("doc_id", F.lit(7)) != 0, F.col("n_chars")).alias("n_chars"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).alias("n_lines"), (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).alias("n_spaces"))
+    data = read_table(spark, sf, "labels").select("doc_id", F.col("quality").alias(S.LABEL)).join(docs, "doc_id")
+    params = {"num_boost_round": 1, "num_leaves": 2, "bagging_fraction": 1.0, "feature_fraction": 1.0}
+    model = boosting.train(data, list(TREE_CUTS), S.LABEL, params=params, edges=list(TREE_CUTS.values()))
+    return model.node_table(spark).select("node", "feature", "threshold", "missing_left", "left", "right", F.round("gain", 6).alias("gain"), F.round("value", 9).alias("value"), "n_rows")
+
+
 def q_assemble(spark, sf):
     """Facts of the model's input vectors: one per row, of one length, without nulls; rows without features are marked."""
     data = tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf))
@@ -348,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_metrics": q_write_metrics,
     "write_model": q_write_model,
     "assemble": q_assemble,
+    "grow_tree": q_grow_tree,
     "batch_score_facts": q_batch_score_facts,
     "row_counts": q_row_counts,
     "train_gbt": q_train_gbt,

@@ -248,6 +248,37 @@ doc_scores AS (
 doc_pred AS (SELECT churn_yn, p, CAST(p > 0.5 AS INTEGER) AS prediction FROM doc_scores)
 """
 
+# The cut points of the query, and the largest double: all known values against the missing ones.
+GROW_TREE = """
+WITH rows AS (
+  SELECT l.quality AS y, CASE WHEN d.doc_id % 7 <> 0 THEN d.n_chars END AS n_chars,
+         length(d.text) - length(replace(d.text, chr(10), '')) AS n_lines, length(d.text) - length(replace(d.text, ' ', '')) AS n_spaces
+  FROM labels l JOIN documents d USING (doc_id) WHERE l.quality IS NOT NULL
+),
+graded AS (SELECT r.*, round((p - y) * 1073741824) AS g, round(p * (1 - p) * 1073741824) AS h FROM rows r, (SELECT avg(y) AS p FROM rows)),
+vals AS (
+  SELECT g, h, 0 AS f, CAST(n_chars AS DOUBLE) AS v FROM graded UNION ALL
+  SELECT g, h, 1, CAST(n_lines AS DOUBLE) FROM graded UNION ALL SELECT g, h, 2, CAST(n_spaces AS DOUBLE) FROM graded
+),
+cuts AS (
+  SELECT 0 AS f, 250.0 * k AS e FROM range(1, 24) t(k) UNION ALL SELECT 1, unnest([0, 1, 2, 4, 8, 16]) UNION ALL
+  SELECT 2, 40.0 * k FROM range(1, 24) t(k) UNION ALL SELECT k, 1.7976931348623157e308::DOUBLE FROM range(3) t(k)
+),
+sides AS (
+  SELECT f, CAST(e AS DOUBLE) AS e, m, coalesce(v <= e, m) AS goes_left, sum(g) AS g, sum(h) AS h, count(*) AS n
+  FROM vals JOIN cuts USING (f), (VALUES (false), (true)) t(m) GROUP BY ALL
+),
+splits AS (
+  SELECT l.f, l.e, l.m, l.g AS gl, l.h AS hl, l.n AS nl, r.g AS gr, r.h AS hr, r.n AS nr,
+         (l.g * l.g / l.h + r.g * r.g / r.h - (l.g + r.g) * (l.g + r.g) / (l.h + r.h)) / 1073741824 AS gain
+  FROM sides l JOIN sides r ON l.f = r.f AND l.e = r.e AND l.m = r.m AND l.goes_left AND NOT r.goes_left
+  WHERE l.n >= 20 AND r.n >= 20 ORDER BY gain DESC, l.f, l.e, l.m LIMIT 1
+)
+SELECT 0 AS node, ['n_chars', 'n_lines', 'n_spaces'][f + 1] AS feature, e AS threshold, m AS missing_left, 1 AS "left", 2 AS "right",
+       round(gain, 6) AS gain, 0.0::DOUBLE AS value, nl + nr AS n_rows FROM splits
+UNION ALL SELECT 1, NULL, NULL, NULL, NULL, NULL, 0.0, round(-gl / hl * 0.05, 9), nl FROM splits
+UNION ALL SELECT 2, NULL, NULL, NULL, NULL, NULL, 0.0, round(-gr / hr * 0.05, 9), nr FROM splits
+"""
 WITH = "WITH " + BASE + FEATURE_TABLES
 
 _CSV_LABELS = (
@@ -331,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'num_retained', {_d('num_retained')} FROM s)
           SELECT run_id, metric, value FROM m, (VALUES ('a'), ('b')) r(run_id)""",
         "write_model": f"{w} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM labels_v",
+        "grow_tree": GROW_TREE,
         "assemble": f"{w} SELECT count(*) AS n_rows, CAST({len(S.FEATURES) + 1} AS BIGINT) AS shortest,"
         f" CAST({len(S.FEATURES) + 1} AS BIGINT) AS longest, CAST(0 AS BIGINT) AS n_undefined,"
         " count(*) FILTER (WHERE total_sessions IS NULL) AS n_without_features FROM pit WHERE churn_yn IS NOT NULL",
