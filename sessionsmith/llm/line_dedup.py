@@ -36,6 +36,18 @@ def occurrences(docs: DataFrame, key: str, site: str, text: str) -> DataFrame:
     return of.where(F.col("line").rlike(_WORD)).withColumn("id", line_id(F.col("line")))
 
 
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that none of ``names`` equals, in either case."""
+    taken = {n.lower() for n in names}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def spread(lines: DataFrame, least_sites: int = LEAST_SITES, near: float = NEAR) -> DataFrame:
     """(id, owner) of every line on at least ``least_sites`` distinct sites; owner: the smallest key that has it."""
     sketched = stored(lines.groupBy("id").agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("key").alias("owner")).select("id", "owner", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= least_sites * (1 - near)))
@@ -52,15 +64,18 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", site: str = "source", text:
     smallest key that has a line keeps it, so that text which is copied whole to many sites stays in the corpus once.
     Lines without a word always stay. A null text stays null; an empty text or table stays empty. Rows that repeat key
     and text are treated alike. A null key is never the smallest unless all keys of a line are null: then they all keep it.
+    Other columns may have any names, dotted ones too; one named ``n_lines_removed`` is replaced.
     """
     lines = occurrences(docs, key, site, text)
     common = stored(spread(lines, least_sites))
     gone = lines.join(common, "id")
     if keep_first:
         gone = gone.where(~F.col("key").eqNullSafe(F.col("owner")))
-    gone = gone.groupBy("key", "text_id").agg(F.collect_list("line").alias("_gone")).withColumnsRenamed({"key": "_key", "text_id": "_text_id"})
-    marked = docs.join(gone, docs[key].eqNullSafe(F.col("_key")) & F.xxhash64(docs[text]).eqNullSafe(F.col("_text_id")), "left").select(*[docs[c] for c in docs.columns], "_gone")
-    names = docs.columns
+    names = [c for c in docs.columns if c.lower() != "n_lines_removed"]
+    of_key, of_text, of_lines = unused(docs.columns, "key", "text_id", "lines")
+    gone = gone.groupBy("key", "text_id").agg(F.collect_list("line").alias(of_lines)).withColumnsRenamed({"key": of_key, "text_id": of_text})
+    match = F.col(f"`{key}`").eqNullSafe(F.col(of_key)) & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col(of_text))
+    marked = docs.join(gone, match, "left").select(*[F.col(f"`{c}`") for c in names], of_lines)
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,10 +88,12 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", site: str = "source", text:
                     left = [x for x in had if x not in out]
                     texts[k], removed[k] = "\n".join(left), len(had) - len(left)
             columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.record_batch([*columns, pa.array(removed, pa.int64())], names=[*names, "n_lines_removed"])
+            yield pa.record_batch([*columns, pa.array(removed, pa.int64())], names=[f"c{i}" for i in range(len(names) + 1)])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "n_lines_removed bigint"])
-    return in_batches(marked, run, schema)
+    # By position: mapInArrow takes no dotted names.
+    kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
+    told = in_batches(marked.toDF(*[f"c{i}" for i in range(len(names) + 1)]), run, ", ".join([*kinds, f"c{len(names)} bigint"]))
+    return told.toDF(*names, "n_lines_removed")
 
 
 #: The same by exact counts.

@@ -1,8 +1,13 @@
 """Ordinal quality grades by cumulative-link regression on hashed text.
 
 A text is a set of hashed features: its distinct words, their first and last characters, and how often words repeat. Each
-has one weight; their sum is a score s that all grades share, cut by ordered thresholds t_1 < t_2 < ...:
+has one weight of either sign. A weight below zero counts whole: one telling word is enough, however long the text. Weights
+above zero count by their mean over the text's features, so that much ordinary text doesn't outweigh a few telling words, and
+words that were never seen dilute them. The score s is shared by all grades and cut by ordered thresholds t_1 < t_2 < ...:
 P(grade >= j) = 1 / (1 + exp(t_j - s)). The expected grade and a tail probability follow and select documents.
+
+A text of fewer than ``LEAST_WORDS`` words is no evidence for a grade: its tail probabilities are lowered in proportion, to
+zero for one without words.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ ROUNDS = 200
 #: A document is selected if its tail probability is at least this.
 LEAST_TAIL = 0.8
 REMEMBERED = 300_000
+#: The mean of weights above zero counts so many times.
+SPREAD = 10.0
+LEAST_WORDS = 10
 
 
 #: A feature has a weight if its occurrence depends on the grade: least chi-squared statistic, over all cuts of the grades.
@@ -45,10 +53,12 @@ def level(words: list[bytes], distinct: int) -> int:
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray
+    least_words: int = 0  # of a model that has seen ratings: LEAST_WORDS
 
-    def tails(self, score: np.ndarray) -> np.ndarray:
+    def tails(self, score: np.ndarray, n_words: np.ndarray | None = None) -> np.ndarray:
         """P(grade >= j), j from 1, as columns."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
+        tails = 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
+        return tails if n_words is None or not self.least_words else tails * np.minimum(1, n_words / self.least_words)[:, None]
 
 
 def dependence(at: np.ndarray, row: np.ndarray, often: np.ndarray, grades: np.ndarray, n_grades: int) -> np.ndarray:
@@ -65,8 +75,12 @@ def dependence(at: np.ndarray, row: np.ndarray, often: np.ndarray, grades: np.nd
 
 
 def fit(grades: np.ndarray, indptr: np.ndarray, index: np.ndarray, n_grades: int, rounds: int = ROUNDS, ridge: float = 3e-5) -> Model:
-    """Greatest likelihood with a ridge penalty and no weight above zero (much ordinary text must not outweigh a few telling words), by gradient steps with a rate per coordinate. Row i has the distinct features index[indptr[i]:indptr[i + 1]]."""
+    """Greatest likelihood with a ridge penalty, by gradient steps with a rate per coordinate. Row i has the distinct features index[indptr[i]:indptr[i + 1]].
+
+    A weight that leaves zero goes down if that raises the likelihood, else up; one that would change its sign stops at zero first.
+    """
     n = len(grades)
+    share_of = SPREAD / np.maximum(np.diff(indptr), 1)  # what a weight above zero counts in each row
     row = np.repeat(np.arange(n), np.diff(indptr))
     used, at, often = np.unique(index, return_inverse=True, return_counts=True)
     known = dependence(at, row, often, grades, n_grades) >= LEAST_CHI2
@@ -80,7 +94,8 @@ def fit(grades: np.ndarray, indptr: np.ndarray, index: np.ndarray, n_grades: int
     moment, square = np.zeros(len(weights) + n_grades - 1), np.zeros(len(weights) + n_grades - 1)
     for k in range(1, rounds + 1):
         cuts = base + np.concatenate([[0], np.cumsum(np.exp(steps))])
-        score = np.bincount(row, weights[index], minlength=n)
+        of = weights[index]
+        score = np.bincount(row, np.where(of < 0, of, of * share_of[row]), minlength=n)
         # with F the logistic function, P(grade = j) = F(t_{j+1} - s) - F(t_j - s)
         upper = np.append(cuts, 1e9)[grades] - score
         lower = np.insert(cuts, 0, -1e9)[grades] - score
@@ -93,18 +108,21 @@ def fit(grades: np.ndarray, indptr: np.ndarray, index: np.ndarray, n_grades: int
         np.add.at(by_cut, grades + 1, -du / n)
         np.add.at(by_cut, grades, dl / n)
         by_cut = by_cut[1:n_grades]
-        gradient = np.bincount(index, by_score[row], minlength=len(weights)) + ridge * weights
+        down = np.bincount(index, by_score[row], minlength=len(weights))
+        up = np.bincount(index, (by_score * share_of)[row], minlength=len(weights))
+        gradient = np.where((weights < 0) | ((weights == 0) & (down > 0)), down, np.where((weights == 0) & (up > 0), 0, up)) + ridge * weights
         by_step = np.cumsum(by_cut[::-1])[::-1][1:] * np.exp(steps)
         full = np.concatenate([gradient, [by_cut.sum()], by_step])
         moment = 0.9 * moment + 0.1 * full
         square = 0.99 * square + 0.01 * full**2
         move = 0.1 * (moment / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-7)
-        weights = np.minimum(weights - move[: len(weights)], 0)
+        moved = weights - move[: len(weights)]
+        weights = np.where(moved * weights < 0, 0, moved)
         base -= move[len(weights)]
         steps -= move[len(weights) + 1 :]
     full = np.zeros(1 << LOG_FEATURES, np.float32)
     full[used] = weights
-    return Model(full, base + np.concatenate([[0], np.cumsum(np.exp(steps))]))
+    return Model(full, base + np.concatenate([[0], np.cumsum(np.exp(steps))]), LEAST_WORDS)
 
 
 def features(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
@@ -157,36 +175,39 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, key: str = "doc_id
         return Model(np.zeros(0, np.float32), np.zeros(n_grades - 1))
     weights = np.zeros(1 << LOG_FEATURES, np.float32)
     weights[got.used] = got.weights
-    return Model(weights, np.array(got.thresholds))
+    return Model(weights, np.array(got.thresholds), LEAST_WORDS)
 
 
 def grade(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, ``score``, ``expected_grade`` and ``tails`` (P(grade >= 1), P(grade >= 2), ...) of every row.
 
-    A null text counts as one without words. Repeated rows are graded alike; other columns are not read; an empty table
+    A null text counts as one without words, and a text with few words has low tails once a model has seen ratings. Repeated rows are graded alike; other columns are not read; an empty table
     gives an empty one.
     """
     weight = {int(i): float(model.weights[i]) for i in np.flatnonzero(model.weights)}
-    thresholds = np.array(model.thresholds)
+    cut = Model(None, np.array(model.thresholds), model.least_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[int, ...]] = {}
+        known: dict[bytes, tuple[int, int, int]] = {}
 
-        def telling(word: bytes) -> tuple[int, ...]:
-            got = known[word] = tuple(f for f in features_of(word) if f in weight)
+        def hashed(word: bytes) -> tuple[int, int, int]:
+            got = known[word] = features_of(word)
             return got
 
         for batch in batches:
-            scores = []
+            scores, n_words = [], []
             for raw in batch.column(len(keep)).cast(pa.large_binary()).to_pylist():
                 words = (raw or b"").split()
                 distinct = set(words)
                 if len(known) > REMEMBERED:
                     known.clear()
-                found = {f for w in distinct for f in (known[w] if w in known else telling(w))} | ({level(words, len(distinct))} & weight.keys())
-                scores.append(sum(weight[f] for f in sorted(found)))
+                found = {f for w in distinct for f in (known.get(w) or hashed(w))}
+                found.add(level(words, len(distinct)))
+                each = [weight[f] for f in sorted(f for f in found if f in weight)]
+                scores.append(sum(x for x in each if x < 0) + SPREAD / len(found) * sum(x for x in each if x > 0))
+                n_words.append(len(words))
             scores = np.array(scores, np.float64)
-            tails = Model(None, thresholds).tails(scores)
+            tails = cut.tails(scores, np.array(n_words, np.int64))
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(scores), pa.array(tails.sum(axis=1)), pa.array(list(tails), pa.list_(pa.float64()))], names=[*keep, "score", "expected_grade", "tails"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "score double, expected_grade double, tails array<double>"])

@@ -51,3 +51,19 @@ def test_near_the_limit_is_exact(docs_of):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id bigint, text string, source string")).collect() == []
+
+
+def test_clashing_names(spark, rng):
+    """Extra columns with the names that the operator uses itself, in either case, dotted ones, and one with the name of its result."""
+    rows = [(k, f"shared line\nown {k}", "en", f"site{k % 12}") for k in range(24)]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    names = ["_gone", "_key", "_text_id", "key", "text_id", "Line", "id", "owner", "sites", "sketch", "lines", "_lines", "a.b", "n_lines_removed", "x y"]
+    from pyspark.sql import functions as F
+
+    clashing = plain.select("*", *[F.lit(f"other {c}").alias(c) for c in names])
+    got = line_dedup(clashing)
+    assert got.columns == [c for c in clashing.columns if c != "n_lines_removed"] + ["n_lines_removed"]
+    assert {r["a.b"] for r in got.collect()} == {"other a.b"} and {r["_gone"] for r in got.collect()} == {"other _gone"}
+    pick = ["doc_id", "text", "n_lines_removed"]
+    assert sorted(got.select(*pick).collect()) == sorted(line_dedup(plain).select(*pick).collect())
+    assert sum(r["n_lines_removed"] for r in got.select("n_lines_removed").collect()) == 23
