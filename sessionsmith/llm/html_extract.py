@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model.
 
-Each DOM node is content or not. A node's own features give it a potential, and a potential on every parent-child edge
-says how states go together, by the child's kind. Sum-product messages, first from the leaves up, then from the root down,
+Each DOM node is content or not. A node's own features, and the kinds of section that it lies in (by names, elements and
+headings of what is around it), give it a potential, and a potential on every parent-child edge says how states go together, by the child's kind. Sum-product messages, first from the leaves up, then from the root down,
 give each node's exact marginal; text of nodes that are probably content is the main text.
 
 The weights maximise the likelihood of labelled pages; its gradient needs the same marginals. Labelled pages are drawn from
@@ -12,6 +12,7 @@ own sectioning elements say where the article is.
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from .dom import Page, blocks, parsed
 SAMPLE_PAGES = 200
 MADE_PAGES = 500
 ROUNDS = 120
+#: Longer pages of the table aren't used for training.
+SAMPLE_CHARS = 100_000
 #: Text that a task has parsed at a time.
 PART_CHARS = 2_000_000
 
@@ -46,6 +49,41 @@ MAIN = "content article post entry story main body text article-body post-conten
 OUTSIDE = frozenset("nav footer header aside form menu dialog".split())
 
 
+GROUP_OF = {word: group for group, words in AROUND.items() for word in words}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Short texts that name what stands below them, or what they are themselves.
+CUES = {
+    "comments": re.compile(r"\b(\d+|no|leave a|post a|add a|reader) (comments?|repl(y|ies)|responses?)\b|^\s*(comments|discussion|responses)\b", re.I),
+    "related": re.compile(r"^\s*(more|related|recommended|popular|trending|latest|most read|you may|see also)\b", re.I),
+    "legal": re.compile(r"©|\(c\) \d{4}|\bcopyright\b|\ball rights reserved\b|\bprivacy policy\b|\bterms of (use|service)\b", re.I),
+}
+CUE_CHARS = 160
+
+
+def settings(page: Page) -> list[tuple]:
+    """Per node: kinds of section that it lies in, whether it is inside an article, and what its own short text says it is."""
+    own: list[str] = [""] * len(page.tag)
+    for node, _, text in page.texts:
+        if len(own[node]) <= CUE_CHARS:
+            own[node] += text
+    cues = [next((name for name, cue in CUES.items() if cue.search(t)), "") if 0 < len(t) <= CUE_CHARS else "" for t in own]
+    named: dict[int, str] = {}  # by a heading right below
+    for i, tag in enumerate(page.tag):
+        above = page.parent[i]
+        if tag in HEADINGS and cues[i] in ("comments", "related") and above > 0 and page.tag[above] not in ("body", "html", "article", "main", "td"):
+            named.setdefault(above, cues[i])
+    out: list[tuple] = []
+    for i, tag in enumerate(page.tag):
+        inside, groups = out[page.parent[i]][:2] if i else (False, ())
+        more = {GROUP_OF[w] for w in page.names[i] if w in GROUP_OF} | ({named[i]} if i in named else set())
+        if tag in OUTSIDE:
+            more.add(f"{tag} of article" if inside and tag in ("header", "footer") else tag)
+        if more - set(groups):
+            groups = tuple(sorted({*groups, *more}))
+        out.append((inside or tag in ("article", "main"), groups, cues[i]))
+    return out
+
+
 def bucket(n: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(n + 1)).astype(np.int64), most)
 
@@ -59,7 +97,7 @@ class Forest:
 
     parent: np.ndarray
     depth: np.ndarray
-    static: list[tuple]  # (tag, parent's tag, names) of each node
+    static: list[tuple]  # (tag, parent's tag, names, inside an article, sections around, cue) of each node
     numeric: dict[str, np.ndarray]
 
     @staticmethod
@@ -74,13 +112,14 @@ class Forest:
             np.add.at(under_links, parent[own], under_links[own])
         share = lambda a, b: np.where(b > 0, 1 + np.ceil(np.divide(a, b, out=np.zeros(len(b)), where=b > 0) * 4), 0).astype(np.int64)
         numeric = {"own": bucket(chars, 11), "subtree": bucket(under, 15), "own_links": share(links, chars), "subtree_links": share(under_links, under), "stops": np.minimum(stops, 3)}
-        static = [(p.tag[i], p.tag[p.parent[i]] if p.parent[i] >= 0 else "", p.names[i]) for p in pages for i in range(len(p.tag))]
+        static = [(p.tag[i], p.tag[p.parent[i]] if p.parent[i] >= 0 else "", p.names[i], *around) for p in pages for i, around in enumerate(settings(p))]
         return Forest(parent, depth, static, numeric)
 
 
 def static_features(key: tuple) -> list[str]:
-    tag, above, names = key
-    return [f"tag {tag}", f"above {above}", f"pair {above} {tag}", *(f"name {n}" for n in names)]
+    tag, above, names, inside, groups, cue = key
+    around = [f"under {g}" for g in groups] + ["under none"] * (not groups)
+    return [f"tag {tag}", f"above {above}", f"pair {above} {tag}", f"tag {tag} inside {inside}", f"cue {cue}", f"cue {cue} {tag in HEADINGS}", *around, *(f"name {n}" for n in names)]
 
 
 #: Kinds of edges, by the child.
@@ -198,7 +237,7 @@ def labelled_by_sections(page: Page) -> list[bool] | None:
     inside: list[bool] = []
     for i, tag in enumerate(page.tag):
         above = inside[page.parent[i]] if i else False
-        inside.append((above or tag in ("article", "main")) and tag not in OUTSIDE and not any(w in words for words in AROUND.values() for w in page.names[i]))
+        inside.append((above or tag in ("article", "main")) and (tag not in OUTSIDE or tag == "header" and above) and not any(w in words for words in AROUND.values() for w in page.names[i]))
     for i in range(len(page.tag) - 1, 0, -1):
         if inside[i] and not page.chars[page.parent[i]]:
             inside[page.parent[i]] = True
@@ -224,7 +263,38 @@ def made_page(rng: random.Random) -> str:
     def item(inner: str) -> str:
         return rng.choice([f"<p>{inner}</p>", f"<li>{inner}</li>", f"<div>{inner}</div>", f"{inner}<br>", f"<h3>{words(3)}</h3><p>{inner}</p>"])
 
+    def legal() -> str:
+        line = rng.choice(["Copyright {y} {w}. All rights reserved.", "&copy; {y} {w}", "&copy; {y} {w}. All rights reserved. <a href='/p'>Privacy policy</a> <a href='/t'>Terms of use</a>", "{w}. All rights reserved.", "(c) {y} {w}"])
+        tag = rng.choice(["div", "p", "footer", "div"])
+        return f'<{tag} data-content="0">{line.format(y=rng.randint(1999, 2030), w=words(2).title())}</{tag}>'
+
+    def links(n: int) -> str:
+        each = rng.choice(["{} ", "<li>{}</li>", "{} | ", "<div>{}</div>", "<span>{}</span> "])
+        body = "".join(each.format(f'<a href="/x">{words(rng.randint(1, 4)).title()}</a>') for _ in range(n))
+        return f"<ul>{body}</ul>" if "<li>" in body else body
+
+    def remarks() -> str:
+        """Reader comments, with names or without."""
+        n = rng.randint(1, 6)
+        head = rng.choice([f"{n} comments", f"{n} Comments", "Comments", f"{n} replies", "Leave a comment", f"{n} responses"])
+        kind = rng.randrange(3)
+        each = rng.choice(["<li><p>{}</p></li>", "<li><b>" + words(1) + "</b> {}</li>", "<li><div>" + words(2) + "</div><p>{}</p></li>"]) if kind < 2 else "<div><p>{}</p></div>"
+        body = "".join(each.format(prose(rng.randint(1, 4))) for _ in range(n))
+        body = f"<ol>{body}</ol>" if kind == 0 else f"<ul>{body}</ul>" if kind == 1 else body
+        name = rng.choice(["", f' id="{rng.choice(AROUND["comments"])}"', f' class="{rng.choice(AROUND["comments"])}"'])
+        tag = rng.choice(["section", "div"])
+        return f'<{tag}{name} data-content="0"><h{rng.choice("234")}>{head}</h2>{body}</{tag}>'
+
     def around(what: str) -> str:
+        if what == "comments" and rng.random() < 0.6:
+            return remarks()
+        if what == "footer" and rng.random() < 0.4:
+            return legal()
+        if what == "aside" and rng.random() < 0.3:
+            head = rng.choice(["More stories", "Related", "Related articles", "Most read", "Recommended", "You may also like"])
+            return f'<div data-content="0"><h3>{head}</h3>{links(rng.randint(2, 6))}</div>'
+        if what == "nav" and rng.random() < 0.3:
+            return f'<div data-content="0">{links(rng.randint(2, 8))}</div>'
         if what == "form":
             body = f"<label>{words(2)}</label> <input name=q> {words(rng.randint(0, 4))} <button>{words(1)}</button>" + (f"<p>{prose(1)}</p>" if rng.random() < 0.3 else "")
         elif what in ("nav", "share") or rng.random() < 0.3:
@@ -269,7 +339,19 @@ def made_page(rng: random.Random) -> str:
 
     inner = body_of_article()
     shape = rng.random()
-    if shape < 0.3:
+    if shape < 0.55 and inner.startswith("<h1>") and rng.random() < 0.4:  # the article's own header
+        head, rest = inner.split("</h1>", 1)
+        inner = f"<header>{head}</h1>{rng.choice(['', f'<p>By {words(2).title()}</p>', f'<p>{words(3)}</p><p>{words(2)}</p>', f'<div>By {words(1)}, {rng.randint(1990, 2030)}</div>'])}</header>{rest}"
+    if shape > 0.93 and rng.random() < 0.6:
+        cells = [f'<td data-content="1">{inner}</td>']
+        if rng.random() < 0.8:
+            cells.insert(0, f'<td data-content="0">{links(rng.randint(2, 8))}</td>')
+        if rng.random() < 0.4:
+            cells.append(f'<td data-content="0">{links(rng.randint(2, 8))}</td>')
+        top = f'<tr><td colspan=2 data-content="0">{rng.choice([words(2), links(4)])}</td></tr>' if rng.random() < 0.4 else ""
+        bottom = f"<tr><td colspan=2>{legal()}</td></tr>" if rng.random() < 0.4 else ""
+        article = f"<table>{top}<tr>{''.join(cells)}</tr>{bottom}</table>"
+    elif shape < 0.3:
         article = f'<article data-content="1">{inner}</article>'
     elif shape < 0.45:
         article = f'<main data-content="1">{inner}</main>'
@@ -319,13 +401,13 @@ def main_text(pages: DataFrame, keep: list[str], html: str = "html", key: str =
     """``keep`` columns, ``text`` and ``n_chars`` (its code points) of every row; the text is empty if nothing is content.
 
     A null page is an empty one. Rows that repeat are treated alike; other columns are not read; an empty table gives an
-    empty one and trains on laid-out pages alone. At most ``sample_pages`` pages, those with the least hash of key and
-    page, are read for training.
+    empty one and trains on laid-out pages alone. At most ``sample_pages`` pages of fewer than ``SAMPLE_CHARS`` characters, those with the
+    least hash of key and page, are read for training.
     """
     order = F.xxhash64(F.lit("html"), F.col(key), F.col(html))
     n = max(1, pages.count())
     few = pages.where(F.pmod(order, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample_pages / n)))
-    samples = [r[0] for r in few.where(F.col(html).isNotNull() & (F.length(html) < 100_000)).select(html).orderBy(order).limit(sample_pages).collect()]
+    samples = [r[0] for r in few.where(F.col(html).isNotNull() & (F.length(html) < SAMPLE_CHARS)).select(html).orderBy(order).limit(sample_pages).collect()]
     model = trained(samples)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
