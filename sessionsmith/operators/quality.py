@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.expressions import parse_time, sql_text
+from ..sources.stores import store_opener
 
 COUNTERS = [
     "n_rows",
@@ -148,7 +149,7 @@ def file_status_counts(status: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 _NUMERIC_ORDER = ["session", "logid", "actor_level"]
-_FOOTER_SCHEMA = f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string, signature string"
+_FOOTER_SCHEMA = f"{S.FILE} string, footer_rows long, missing string, not_numeric string, read_error string, signature string, path string"
 
 
 def _footer_reader(required: list[str], numeric: list[str], file_col: str):
@@ -156,30 +157,14 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
     so it is shipped to the Python workers by value and needs no import of
     this package there."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import urlsplit
+    opened = store_opener()
 
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pandas as pd
         import pyarrow.parquet as pq
         import pyarrow.types as pat
-        from pyarrow import fs as pafs
-
-        cols = [file_col, "footer_rows", "missing", "not_numeric", "read_error", "signature"]
-        stores: dict[tuple[str, str], object] = {}
-
-        def opened(path: str):
-            """The store of a plain path and the path in it. Local paths are not parsed as URIs: they may hold any character."""
-            if path.startswith("file:"):
-                path = "/" + path[len("file:") :].lstrip("/")
-            if path.startswith("/"):
-                return stores.setdefault(("file", ""), pafs.LocalFileSystem()), path
-            scheme, _, rest = path.partition("://")
-            bucket, _, inner = rest.partition("/")
-            arrow = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-            if (scheme, bucket) not in stores:
-                stores[scheme, bucket] = pafs.FileSystem.from_uri(f"{arrow}://{urlsplit(f'x://{bucket}').netloc}/")[0]
-            return stores[scheme, bucket], inner if arrow in ("hdfs", "viewfs") and inner.startswith("/") else f"/{inner}" if arrow == "hdfs" else f"{bucket}/{inner}"
 
+        cols = [file_col, "footer_rows", "missing", "not_numeric", "read_error", "signature", "path"]
         def stored_type(t) -> str | None:
             """The Spark type that reads a stored number or text; None for other types."""
             if pat.is_dictionary(t):
@@ -200,7 +185,7 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
             out = []
             for name, path in zip(pdf[file_col], pdf["path"], strict=True):
                 row = dict.fromkeys(cols)
-                row[file_col] = name
+                row[file_col], row["path"] = name, path
                 try:
                     filesystem, inner = opened(path)
                 except Exception:
@@ -237,7 +222,8 @@ def _footer_reader(required: list[str], numeric: list[str], file_col: str):
 def footer_facts(listing: DataFrame) -> DataFrame:
     """Per listed file (``source_file``, ``path``): row count, missing columns,
     first non-numeric column, read error, and the stored type of each T1
-    column (``signature``), from the Parquet footer only (no data pages).
+    column (``signature``), from the Parquet footer only (no data pages);
+    and the path, so that the rows can be read by the same list.
     Each task reads the footers of its share of the listing."""
     reader = _footer_reader(list(S.RAW_COLUMNS), list(_NUMERIC_ORDER), S.FILE)
     return listing.select(S.FILE, "path").mapInPandas(reader, schema=_FOOTER_SCHEMA)

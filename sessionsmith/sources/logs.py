@@ -9,16 +9,13 @@ and checked against SQL on the given data.
 
 from __future__ import annotations
 
-import functools
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schema as S
 from ..functions.expressions import format_time
+from .stores import store_opener
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -44,13 +41,13 @@ def has_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> bool:
         return False
 
 
-def _read(spark: SparkSession, paths: list[str], schema, glob: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema, glob: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", "true")
-        .parquet(*paths)
+        .parquet(path)
         .withColumn(S.FILE, F.col("_metadata.file_path"))
     )
 
@@ -67,42 +64,119 @@ def scan_logs(
 
     Files store numbers in different types: 64-bit integers, floats where
     a value is missing, account ids as numbers. With ``footers``
-    (``quality.footer_facts``) the folder is read once for each distinct
-    combination of stored types, with a schema that fits it, keeping the
-    rows of the files that have it; values are then cast to T1. There are
-    few combinations however many files. Without ``footers`` files must
-    have T1's own types.
-
-    Only the declared columns are read (``ReadSchema``). Rows that can't
-    be read are missing here; validation compares each file's rows with its
-    footer and reports the file as failed. Returns ``None`` when the folder
-    is missing or holds no matching file.
+    (``quality.footer_facts`` of the folder) each file is opened once, with
+    its own types, and cast to T1 (``scan_files``). Without ``footers``
+    files must have T1's own types, and filters are pushed to them.
+
+    Only the declared columns are read. Rows that can't be read are missing
+    here; validation compares each file's rows with its footer and reports
+    the file as failed. Returns ``None`` when the folder is missing or holds
+    no matching file.
     """
     if not has_files(spark, path, glob):
         return None
-    df = _read(spark, [path], schema, glob) if footers is None else _scan(spark, [path], schema, glob, footers)
+    df = _read(spark, path, schema, glob) if footers is None else scan_files(footers, schema)
     return df if lineage else df.drop(S.FILE)
 
 
-def scan_files(spark: SparkSession, paths: list[str], footers: DataFrame, schema=S.RAW_LOG) -> DataFrame:
-    """``scan_logs`` of the given files (plain paths), with their ``footers``."""
-    special = re.compile(r"([\\{}\[\]*?^])")  # characters of a glob
-    return _scan(spark, [special.sub(r"\\\1", p) for p in paths], schema, "*", footers)
-
-
-def _scan(spark: SparkSession, paths: list[str], schema, glob: str, footers: DataFrame) -> DataFrame:
-    kinds = sorted(r[0] for r in footers.where("signature IS NOT NULL").select("signature").distinct().collect())
-    parts = []
-    for kind in kinds:
-        stored = ", ".join(f"`{f.name}` {t}" for f, t in zip(schema.fields, kind.split(";"), strict=True))
-        df = _read(spark, paths, stored, glob)
-        if len(kinds) > 1:
-            files = footers.where(F.col("signature") == kind).select(S.FILE)
-            df = df.join(files, S.FILE, "left_semi")
-        parts.append(df.select(*[_as(f.name, t, f.dataType) for f, t in zip(schema.fields, kind.split(";"), strict=True)], S.FILE))
-    if not parts:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(S.FILE, T.StringType())]))
-    return functools.reduce(DataFrame.unionByName, parts)
+#: Rows for one task of ``scan_files``, by the footers.
+ROWS_EACH = 4_000_000
+#: Kinds of stored values that rows carry until they are cast: each column travels as the one that its file stores.
+_KINDS = {"i": "bigint", "f": "float", "d": "double", "m": "decimal(38,10)", "s": "string"}
+
+
+def scan_files(footers: DataFrame, schema=S.RAW_LOG) -> DataFrame:
+    """T1 rows of the files that ``footers`` describe, with ``source_file``; files without a ``signature`` (unreadable, columns missing) have none.
+
+    The list of files is dealt out to tasks by file and never reaches the
+    driver. A task opens each of its files once and reads the declared
+    columns batch by batch as they are stored, so any number of combinations
+    of types is one pass. After an error a file is read on once more. Where
+    data can't be decoded although the store gives all bytes, the file is
+    broken: its rows end there. Where the store fails, the error is raised,
+    so that Spark runs the task again.
+    """
+    known = footers.where("signature IS NOT NULL").select(S.FILE, "path")
+    files, rows = known.count(), footers.agg(F.sum("footer_rows")).first()[0] or 0
+    tasks = max(1, min(files, footers.sparkSession.sparkContext.defaultParallelism), -(-rows // ROWS_EACH))
+    names = [f.name for f in schema.fields]
+    stored = ", ".join([f"{S.FILE} string", *(f"`{n}_{k}` {t}" for n in names for k, t in _KINDS.items())])
+    read = known.repartition(int(tasks), S.FILE).mapInArrow(_file_reader(names, S.FILE), stored)
+    # One of a column's kinds has the values of a file; the others are null.
+    cast = [F.coalesce(*[_as(f"{f.name}_{k}", t, f.dataType) for k, t in _KINDS.items()]).alias(f.name) for f in schema.fields]
+    return read.select(*cast, S.FILE)
+
+
+def _file_reader(names: list[str], file_col: str):
+    """Build the reader of a partition's files as a closure over plain values, as the footer reader is."""
+    opened = store_opener()
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        import pyarrow.types as pat
+
+        kinds = {"i": pa.int64(), "f": pa.float32(), "d": pa.float64(), "m": pa.decimal128(38, 10), "s": pa.string()}
+
+        def spread(column: pa.Array) -> list[pa.Array]:
+            """The column as the one kind that holds it, and nulls for the others."""
+            t = column.type.value_type if pat.is_dictionary(column.type) else column.type
+            if pat.is_null(t) or pat.is_integer(t) and not pat.is_uint64(t):
+                own = "i"
+            elif pat.is_float64(t):
+                own = "d"
+            elif pat.is_floating(t):
+                own = "f"
+            elif pat.is_decimal(t) and t.scale > 0:
+                own = "m"
+            else:  # text, and whole numbers that a long may not hold: their text is cast
+                own = "s"
+            if pat.is_dictionary(column.type):
+                column = column.dictionary_decode()
+            if own == "s" and pat.is_decimal(column.type):
+                column = pa.array([None if v is None else str(int(v)) for v in column.to_pylist()], pa.string())
+            return [column.cast(kind, safe=False) if k == own else pa.nulls(len(column), kind) for k, kind in kinds.items()]
+
+        def whole(filesystem, inner: str) -> bool:
+            """Whether the store gives all bytes of the file; an error of the store is raised."""
+            with filesystem.open_input_file(inner) as fh:
+                while fh.read(1 << 24):
+                    pass
+            return True
+
+        def rows_of(filesystem, inner: str):
+            """Batches of a file, row group by row group. After an error the file is opened once more and read on from there; if that fails too and the store gives all bytes, the file is broken and ends."""
+            fh = filesystem.open_input_file(inner)
+            try:
+                groups, done, tried = None, (0, 0), False
+                while True:
+                    try:
+                        if groups is None:
+                            file = pq.ParquetFile(fh)
+                            groups = range(file.num_row_groups)
+                        for g in groups[done[0] :]:
+                            for k, part in enumerate(file.iter_batches(batch_size=1 << 16, row_groups=[g], columns=names, use_threads=False)):
+                                if k >= done[1]:
+                                    done = (g, k + 1)
+                                    yield part
+                            done, tried = (g + 1, 0), False
+                        return
+                    except (OSError, pa.ArrowException):
+                        fh.close()
+                        if tried and whole(filesystem, inner):
+                            return
+                        groups, tried = None, True
+                        fh = filesystem.open_input_file(inner)
+            finally:
+                fh.close()
+
+        for batch in batches:
+            for name, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for part in rows_of(*opened(path)):
+                    columns = [c for n in names for c in spread(part.column(part.schema.get_field_index(n)))]
+                    yield pa.record_batch([pa.array([name] * part.num_rows, pa.string()), *columns], names=[file_col, *(f"{n}_{k}" for n in names for k in kinds)])
+
+    return read
 
 
 def _as(name: str, stored: str, wanted) -> Column:

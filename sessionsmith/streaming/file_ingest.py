@@ -53,10 +53,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
     spark = batch.sparkSession
     with Workspace(spark) as work:
         footers = work.materialize(q.footer_facts(batch.select(S.FILE, "path")))
-        # a micro-batch is bounded by maxFilesPerTrigger, and so is this list
-        paths = [r[0] for r in batch.select("path").collect()]
-        logs = scan_files(spark, paths, footers)
-        pre = preprocess(logs, footers, work=work)
+        pre = preprocess(scan_files(footers), footers, work=work)
         _write_batch(pre.status, os.path.join(out_dir, "file_status"), batch_id)
         _write_batch(pre.sessions, os.path.join(out_dir, "sessions"), batch_id)
 
