@@ -76,11 +76,18 @@ def q_validate_filtered(spark, sf):
     )
 
 
+#: Log files written in this process, by application and table folder: they are the input of queries over files, not a part of them.
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def _log_files(spark, sf) -> str:
-    """The log view written as one Parquet file per account, in the shared folder."""
-    path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
-    write_log_files(read_log_view(spark, sf), path)
-    return path
+    """The log view written as one Parquet file per account, in the shared folder; once for each application and table folder."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _WRITTEN:
+        path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
+        write_log_files(read_log_view(spark, sf), path)
+        _WRITTEN[place] = path
+    return _WRITTEN[place]
 
 
 def q_file_status(spark, sf):
@@ -238,14 +245,14 @@ def q_write_metrics(spark, sf):
 
 
 def q_row_counts(spark, sf):
-    """Rows of each stage. Raw and tracked rows are sums of the grain."""
+    """Rows of each stage. Raw and tracked rows are sums of the grain; sessions are counted by account, so that one pass counts both and nothing is written for it."""
     pre = _pre(spark, sf)
-    work = materialize(pre.sessions)
     rows = pre.grain.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("raw_rows"), F.coalesce(F.sum("n_tracked"), F.lit(0)).alias("tracked_rows"))
     out = rows.selectExpr("stack(2, 'raw_rows', raw_rows, 'tracked_rows', tracked_rows) AS (table_name, n_rows)")
-    for name, df in (("sessions", work), ("accounts", feat.player_features(work)), ("labels", read_label_view(spark, sf))):
-        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
-    return out
+    by_account = pre.sessions.groupBy(S.KEY).agg(F.count(F.lit(1)).alias("n"))
+    both = by_account.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("sessions"), F.count(F.lit(1)).alias("accounts"))
+    labels = read_label_view(spark, sf).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("labels").alias("table_name"), "n_rows")
+    return out.unionByName(both.selectExpr("stack(2, 'sessions', sessions, 'accounts', accounts) AS (table_name, n_rows)")).unionByName(labels)
 
 
 def _trained(spark, sf, snapshots=None):

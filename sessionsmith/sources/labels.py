@@ -66,5 +66,5 @@ def label_issues(raw: DataFrame) -> DataFrame:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Append a run's ``(run_id, metric, value, text)`` rows to the metrics table."""
-    metrics.write.mode("append").partitionBy("run_id").parquet(path)
+    """Write the ``(run_id, metric, value, text)`` rows of runs to the metrics table. A run that is there already is replaced, others stay, so a replayed run is there once."""
+    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)

@@ -206,6 +206,17 @@ def test_run_record(spark, frame, tmp_path):
     assert sum(m.startswith("importance_") for r, m in got if r == "r1") == 10
 
 
+def test_replayed_run_is_there_once(spark, tmp_path):
+    from sessionsmith.sources.labels import write_metrics
+
+    path = str(tmp_path / "metrics")
+    for run, values in (("a", [1.0, 2.0]), ("b", [3.0]), ("a", [4.0])):
+        rows = [(run, f"m{i}", v, None) for i, v in enumerate(values)]
+        write_metrics(spark.createDataFrame(rows, "run_id string, metric string, value double, text string"), path)
+    got = spark.read.parquet(path).select("run_id", "metric", "value").collect()
+    assert sorted(map(tuple, got)) == [("a", "m0", 4.0), ("b", "m0", 3.0)]
+
+
 def test_labels_by_name(spark, tmp_path):
     """Columns in any order, floats, bad values counted, compressed files and folders."""
     import gzip
