@@ -32,7 +32,7 @@ LEAST_TAIL = 0.8
 REMEMBERED = 300_000
 #: The mean of weights above zero counts so many times.
 SPREAD = 10.0
-LEAST_WORDS = 10
+LEAST_WORDS = 5
 
 
 #: A feature has a weight if its occurrence depends on the grade: least chi-squared statistic, over all cuts of the grades.
