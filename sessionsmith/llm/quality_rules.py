@@ -3,8 +3,13 @@
 Each document is measured once. A quantile sketch per (language, source, measure) counts documents in buckets whose bounds
 grow by a fixed factor, so a quantile read from it is within ``ACCURACY`` of the exact one, relatively. Sketches merge by
 adding counts: partial sketches of tasks, the sketch of a language from those of its sources, the sketch of everything
-from those of the languages. The result does not depend on how rows were dealt out. Thresholds are upper and lower fences
-around the quartiles and are joined back to the documents.
+from those of the languages. The result does not depend on how rows were dealt out.
+
+Thresholds are fences beyond the quartiles, on the logarithmic scale of the buckets, and are joined back to the documents.
+Rates of rare things are smoothed by half a count, (k + 1/2) / (n + 1), so that "none in n words" is a small value that depends
+on n: a group in which most texts have none still has a range, and its own sketch decides how far a fence lies. Fences of a
+group are blended with those of its language, and these with those of the table, by their numbers of documents against
+``PRIOR``; they move smoothly as a group grows.
 """
 
 from __future__ import annotations
@@ -27,22 +32,24 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks")
 #: Relative accuracy of a sketch's quantiles.
-ACCURACY = 0.01
+ACCURACY = 0.0025
 GROWTH = (1 + ACCURACY) / (1 - ACCURACY)
-#: Values up to this count as zero.
-ZERO = 1e-6
-#: A source with fewer documents of a language than this takes the thresholds of the language, a language with fewer those of the table.
-LEAST_DOCS = 100
-#: Fences lie this many interquartile ranges beyond the quartiles.
-REACH = 4.0
-#: measure -> (least interquartile range, whether low values are rejected too). A range of zero would make any value an outlier.
+#: Values up to this count as zero, which has a bucket of its own.
+ZERO = 1e-12
+ZERO_BUCKET = -6000
+#: The thresholds of a language weigh as much as this many documents in those of its sources; the table's likewise in a language's.
+PRIOR = 100
+#: A guard for groups whose texts are all alike: interquartile ranges count at least this many buckets (2 %).
+LEAST_RANGE = 4
+#: measure -> (fences lie this many interquartile ranges beyond the quartiles, whether low values are rejected too).
+#: Shares of rare things have the nearer fences; shares and means over all words vary more in short texts.
 MEASURES: dict[str, tuple[float, bool]] = {
-    "symbol_ratio": (0.03, False),
-    "mark_ratio": (0.03, False),
-    "upper_ratio": (0.05, False),
-    "dup_line_ratio": (0.2, False),
-    "repeat_ratio": (0.06, False),
-    "word_length": (0.5, True),
+    "symbol_ratio": (3.0, False),
+    "mark_ratio": (3.0, False),
+    "upper_ratio": (4.0, False),
+    "dup_line_ratio": (3.0, False),
+    "repeat_ratio": (3.0, False),
+    "word_length": (4.0, True),
 }
 
 
@@ -125,25 +132,20 @@ def base_failed() -> Column:
 
 
 def measures() -> dict[str, Column]:
-    ratio = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
+    ratio = lambda a, b: (F.col(a) + 0.5) / (F.col(b) + 1)
     return {
         "symbol_ratio": ratio("n_symbols", "n_words"),
         "mark_ratio": ratio("n_marks", "n_words"),
         "upper_ratio": ratio("n_upper", "n_letters"),
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "repeat_ratio": ratio("n_repeat_words", "n_words"),
-        "word_length": ratio("word_chars", "n_words"),
+        "word_length": F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)),
     }
 
 
 def bucket(value: Column) -> Column:
-    """Bucket of a non-negative value; -2000 for zero."""
-    return F.when(value <= ZERO, -2000).otherwise(F.ceil(F.log(value) / math.log(GROWTH))).cast("int")
-
-
-def value_of(bucket: Column) -> Column:
-    """The middle of a bucket, relatively."""
-    return F.when(bucket == -2000, 0.0).otherwise(2 * F.pow(F.lit(GROWTH), bucket) / (GROWTH + 1))
+    """Bucket of a non-negative value."""
+    return F.when(value <= ZERO, ZERO_BUCKET).otherwise(F.ceil(F.log(value) / math.log(GROWTH))).cast("int")
 
 
 def sketches(rows: DataFrame, lang: str, source: str) -> DataFrame:
@@ -159,8 +161,8 @@ def merged(sketch: DataFrame) -> DataFrame:
     return sketch.select(levels.alias("g"), "measure", "bucket", "n").groupBy("g.level", "g.lang", "g.source", "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, reach: float) -> DataFrame:
-    """Per level, language and source one row: ``docs``, and ``low_{measure}`` and ``high_{measure}``.
+def fences(sketch: DataFrame, reach: float | None = None) -> DataFrame:
+    """Per level, language and source one row: ``docs``, and ``low_{measure}`` and ``high_{measure}`` as buckets. ``reach`` replaces that of all measures.
 
     A window holds the buckets of one sketch: their number is bounded by the accuracy, whatever the number of documents.
     """
@@ -169,15 +171,27 @@ def fences(sketch: DataFrame, reach: float) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy(*of).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     ranked = sketch.withColumns({"upto": upto, "total": total})
     quartile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bucket")))
-    per = ranked.groupBy(*of).agg(F.max("total").alias("total"), value_of(quartile(0.25)).alias("q1"), value_of(quartile(0.75)).alias("q3"))
-    floor = F.create_map(*[x for m, (least, _) in MEASURES.items() for x in (F.lit(m), F.lit(least))])[F.col("measure")]
-    per = per.withColumn("width", reach * F.greatest(F.col("q3") - F.col("q1"), floor))
+    per = ranked.groupBy(*of).agg(F.max("total").alias("total"), quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    reaches = F.create_map(*[x for m, (r, _) in MEASURES.items() for x in (F.lit(m), F.lit(float(r if reach is None else reach)))])[F.col("measure")]
+    per = per.withColumn("width", reaches * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_RANGE)))
     one = lambda m, fence, name: F.max(F.when(F.col("measure") == m, fence)).alias(f"{name}_{m}")
     both = [one(m, *x) for m in MEASURES for x in ((F.col("q1") - F.col("width"), "low"), (F.col("q3") + F.col("width"), "high"))]
     return per.groupBy("level", "lang", "source").agg(F.max("total").alias("docs"), *both)
 
 
-def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach: float = REACH, least_docs: int = LEAST_DOCS) -> DataFrame:
+def blended(table: DataFrame, limits: list[str], prior: float) -> DataFrame:
+    """``lang_0``, ``source_0`` and ``limits`` of every group: its own fences, and by weight those of its language and of the table.
+
+    ``table``: a stored result of ``fences``. The table's own fences are one row, read by the driver.
+    """
+    level = lambda k, on: table.where(F.col("level") == k).select(*[F.col(c).alias(f"{c}_{k}") for c in on], F.col("docs").alias(f"docs_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in limits])
+    of = level(0, ["lang", "source"]).join(level(1, ["lang"]), F.col("lang_0").eqNullSafe(F.col("lang_1")))
+    overall = table.where(F.col("level") == 2).first()  # one row
+    mixed = lambda c, k, parent: (F.col(f"docs_{k}") * F.col(f"{c}_{k}") + F.lit(float(prior)) * parent) / (F.col(f"docs_{k}") + F.lit(float(prior)))
+    return of.select("lang_0", "source_0", *[mixed(c, 0, mixed(c, 1, F.lit(overall and overall[c]).cast("double"))).alias(c) for c in limits])
+
+
+def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach: float | None = None, prior: float = PRIOR) -> DataFrame:
     """``counts`` (a stored table with ``COUNTS``, language and source) with ``base_failed``, the violated measures in ``outside``, and ``kept``.
 
     Thresholds come from documents that pass the base rules, so junk that those already reject doesn't shift them.
@@ -186,15 +200,11 @@ def judged(counts: DataFrame, lang: str = "lang", source: str = "source", reach:
     rows = counts.withColumn("base_failed", base_failed()).withColumns(measures())
     table = stored(fences(merged(sketches(rows.where(~F.col("base_failed")), lang, source)), reach))
     limits = [f"{side}_{m}" for m in MEASURES for side in ("low", "high")]
-    level = lambda k, on: table.where(F.col("level") == k).select(*[F.col(c).alias(f"{c}_{k}") for c in on], F.col("docs").alias(f"docs_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in limits])
-    of = level(0, ["lang", "source"]).join(level(1, ["lang"]), F.col("lang_0").eqNullSafe(F.col("lang_1")))
-    overall = table.where(F.col("level") == 2).first()  # one row
-    chosen = lambda c: F.when(F.col("docs_0") >= least_docs, F.col(f"{c}_0")).when(F.col("docs_1") >= least_docs, F.col(f"{c}_1")).otherwise(F.lit(overall and overall[c])).alias(c)
-    of = of.select("lang_0", "source_0", *[chosen(c) for c in limits])
+    of = blended(table, limits, prior)
     if table.count() <= BROADCAST_GROUPS:  # else the join deals out by language and source, and Spark splits hot ones
         of = F.broadcast(of)
     joined = rows.join(of, rows[lang].eqNullSafe(of["lang_0"]) & rows[source].eqNullSafe(of["source_0"]), "left")
-    out = lambda m, both: (F.col(m) > F.col(f"high_{m}")) | (F.col(m) < F.col(f"low_{m}") if both else F.lit(False))
+    out = lambda m, both: (bucket(F.col(m)) > F.col(f"high_{m}")) | (bucket(F.col(m)) < F.col(f"low_{m}") if both else F.lit(False))
     outside = F.array_compact(F.array(*[F.when(out(m, both), F.lit(m)) for m, (_, both) in MEASURES.items()]))
     return joined.withColumn("outside", outside).withColumn("kept", ~F.col("base_failed") & (F.size("outside") == 0)).select(*counts.columns, "base_failed", "outside", "kept")
 
@@ -211,11 +221,13 @@ def quality_rules(docs: DataFrame, keep: list[str], text: str = "text", lang: st
 
 def oracle() -> str:
     """The same in DuckDB SQL, over ``documents``."""
-    ratios = {"symbol_ratio": ("n_symbols", "n_words"), "mark_ratio": ("n_marks", "n_words"), "upper_ratio": ("n_upper", "n_letters"), "dup_line_ratio": ("n_dup_lines", "n_lines"), "repeat_ratio": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
-    measure = " UNION ALL ".join(f"SELECT doc_id, lang, source, base_failed, '{m}' AS measure, CAST({a} AS DOUBLE) / greatest({b}, 1) AS v FROM base" for m, (a, b) in ratios.items())
-    width = " ".join(f"WHEN '{m}' THEN {least}" for m, (least, _) in MEASURES.items())
+    ratios = {"symbol_ratio": ("n_symbols", "n_words"), "mark_ratio": ("n_marks", "n_words"), "upper_ratio": ("n_upper", "n_letters"), "dup_line_ratio": ("n_dup_lines", "n_lines"), "repeat_ratio": ("n_repeat_words", "n_words")}
+    values = {m: f"(CAST({a} AS DOUBLE) + 0.5::DOUBLE) / ({b} + 1)" for m, (a, b) in ratios.items()} | {"word_length": "CAST(word_chars AS DOUBLE) / greatest(n_words, 1)"}
+    measure = " UNION ALL ".join(f"SELECT doc_id, lang, source, base_failed, '{m}' AS measure, {v} AS v FROM base" for m, v in values.items())
+    reaches = " ".join(f"WHEN '{m}' THEN {reach}::DOUBLE" for m, (reach, _) in MEASURES.items())
+    mixed = lambda own, docs, parent: f"(CAST({docs} AS DOUBLE) * {own} + {PRIOR}::DOUBLE * {parent}) / (CAST({docs} AS DOUBLE) + {PRIOR}::DOUBLE)"
+    fence = lambda side: mixed(f"s.{side}", "s.docs", f"({mixed(f'l.{side}', 'l.docs', f'a.{side}')})")
     both = ", ".join(f"'{m}'" for m, (_, low) in MEASURES.items() if low)
-    value = f"CASE WHEN {{0}} = -2000 THEN 0.0 ELSE 2 * pow({GROWTH!r}, {{0}}) / ({GROWTH!r} + 1) END"
     return f"""
 WITH d AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -232,8 +244,9 @@ counted AS (
   FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
 ),
 base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
-measured AS ({measure}),
-bucketed AS (SELECT *, CAST(CASE WHEN v <= {ZERO} THEN -2000 ELSE ceil(ln(v) / {math.log(GROWTH)!r}) END AS INTEGER) AS bucket FROM measured WHERE NOT base_failed),
+valued AS ({measure}),
+measured AS (SELECT *, CAST(CASE WHEN v <= {ZERO}::DOUBLE THEN {ZERO_BUCKET} ELSE ceil(ln(v) / {math.log(GROWTH)!r}::DOUBLE) END AS INTEGER) AS bucket FROM valued),
+bucketed AS (SELECT * FROM measured WHERE NOT base_failed),
 levels AS (
   SELECT 0 AS level, lang, source, measure, bucket, count(*) AS n FROM bucketed GROUP BY ALL
   UNION ALL SELECT 1, lang, NULL, measure, bucket, count(*) FROM bucketed GROUP BY ALL
@@ -244,17 +257,15 @@ quartiles AS (
   SELECT level, lang, source, measure, max(total) AS docs, min(bucket) FILTER (WHERE upto >= 0.25 * total) AS b1, min(bucket) FILTER (WHERE upto >= 0.75 * total) AS b3
   FROM summed GROUP BY level, lang, source, measure
 ),
-valued AS (SELECT level, lang, source, measure, docs, {value.format('b1')} AS q1, {value.format('b3')} AS q3 FROM quartiles),
-fences AS (SELECT level, lang, source, measure, docs, q1, q3, {REACH} * greatest(q3 - q1, CASE measure {width} END) AS width FROM valued),
+widths AS (SELECT *, (CASE measure {reaches} END) * greatest(b3 - b1, {LEAST_RANGE}) AS width FROM quartiles),
+fences AS (SELECT level, lang, source, measure, docs, b1 - width AS low, b3 + width AS high FROM widths),
 chosen AS (
-  SELECT s.lang, s.source, s.measure,
-    CASE WHEN s.docs >= {LEAST_DOCS} THEN s.q1 - s.width WHEN l.docs >= {LEAST_DOCS} THEN l.q1 - l.width ELSE a.q1 - a.width END AS low,
-    CASE WHEN s.docs >= {LEAST_DOCS} THEN s.q3 + s.width WHEN l.docs >= {LEAST_DOCS} THEN l.q3 + l.width ELSE a.q3 + a.width END AS high
+  SELECT s.lang, s.source, s.measure, {fence('low')} AS low, {fence('high')} AS high
   FROM fences s JOIN fences l ON l.level = 1 AND s.lang IS NOT DISTINCT FROM l.lang AND s.measure = l.measure JOIN fences a ON a.level = 2 AND s.measure = a.measure WHERE s.level = 0
 ),
 outside AS (
   SELECT DISTINCT m.doc_id FROM measured m JOIN chosen c ON m.lang IS NOT DISTINCT FROM c.lang AND m.source IS NOT DISTINCT FROM c.source AND m.measure = c.measure
-  WHERE m.v > c.high OR (m.measure IN ({both}) AND m.v < c.low)
+  WHERE m.bucket > c.high OR (m.measure IN ({both}) AND m.bucket < c.low)
 )
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.doc_id IS NULL AS kept FROM base b LEFT JOIN outside o ON b.doc_id = o.doc_id
 """

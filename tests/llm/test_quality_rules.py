@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -35,9 +36,9 @@ def test_sketch_quantiles_and_merge(spark, rng):
     for (level, lang, source), r in table.items():
         values = [v for a, b, v in rows if (level > 1 or a == lang) and (level > 0 or b == source)]
         assert r.docs == len(values)
-        q1, q3 = np.quantile(values, [0.25, 0.75], method="inverted_cdf")
-        width = max(q3 - q1, Q.MEASURES["symbol_ratio"][0])
-        assert abs(r.high_symbol_ratio - (q3 + width)) <= 0.05 * (q3 + width)
+        of = lambda v: Q.ZERO_BUCKET if v <= Q.ZERO else math.ceil(math.log(v) / math.log(Q.GROWTH))
+        q1, q3 = (of(v) for v in np.quantile(values, [0.25, 0.75], method="inverted_cdf"))
+        assert (r.low_symbol_ratio, r.high_symbol_ratio) == (q1 - (q3 - q1), q3 + (q3 - q1))
     assert len(table) == 6 + 2 + 1
 
 
@@ -57,7 +58,7 @@ def test_adaptive_verdict(docs_of, rng):
     rows.append((1002, good(rng), "en", "small"))
     rows.append((1003, good(rng).upper() + " #" * 300, "en", "small"))
     got = {r.doc_id: r for r in Q.quality_rules(docs_of(rows), ["doc_id"]).collect()}
-    assert got[1000].kept is False and got[1000].outside == ["symbol_ratio"]
+    assert got[1000].kept is False and got[1000].outside == ["symbol_ratio", "repeat_ratio"]  # twelve bars in a row repeat a window too
     assert got[1001].kept is True and got[1002].kept is True and got[1003].kept is False
     assert sum(got[i].kept for i in range(600)) > 590
 
@@ -72,3 +73,37 @@ def test_edges(docs_of, spark, rng):
     assert by[3].kept
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
     assert Q.quality_rules(empty, ["doc_id"]).collect() == []
+
+
+def test_blend_moves_with_size(docs_of, rng):
+    """The more documents a source has, the more its own fences count: a value usual only there is kept once it is large."""
+
+    def kept(n):
+        rows = [(i, good(rng, rng.randint(40, 120)), "en", "prose") for i in range(400)]
+        rows += [(1000 + i, " ".join(w + "|" * (rng.random() < 0.5) for w in good(rng, rng.randint(40, 120)).split()), "en", "tables") for i in range(n)]
+        got = Q.quality_rules(docs_of(rows), ["doc_id"]).collect()
+        assert sum(r.kept for r in got if r.doc_id < 1000) > 390
+        return sum(r.kept for r in got if r.doc_id >= 1000) / n
+
+    assert kept(3) == 0 and kept(300) > 0.95
+
+
+def test_every_measure_fires(docs_of, rng):
+    """Each measure rejects a text that passes the base rules and is unusual in that measure."""
+    lines = lambda t, n: "\n".join(" ".join(t.split()[i::n]) for i in range(n))
+    rows = [(i, lines(good(rng, rng.randint(150, 300)).capitalize(), 40), "en", "s") for i in range(300)]
+    text = good(rng, 200)
+    five = " ".join(text.split()[:6])
+    odd = {
+        "symbol_ratio": lines(" ".join(w + "|" * (i % 3 == 0) for i, w in enumerate(text.split())), 40),
+        "mark_ratio": lines(" ".join(w + "!" * (i % 3 == 0) for i, w in enumerate(text.split())), 40),
+        "upper_ratio": text[:400].upper() + text[400:],
+        "dup_line_ratio": lines(text, 60) + "\n" + "\n".join(["a b"] * 20),
+        "repeat_ratio": text + " " + five + " x y z " + five,
+        "word_length": " ".join(w * 3 for w in text.split()),
+    }
+    rows += [(1000 + k, t, "en", "s") for k, t in enumerate(odd.values())]
+    got = {r.doc_id: r for r in Q.quality_rules(docs_of(rows), ["doc_id"]).collect()}
+    for k, m in enumerate(odd):
+        assert not got[1000 + k].base_failed and m in got[1000 + k].outside, (m, got[1000 + k])
+    assert sum(got[i].kept for i in range(300)) > 295
