@@ -106,6 +106,19 @@ def q_materialize(spark, sf):
     return materialize_online(_snapshots(spark, sf), f"{ensure_checkpoint_dir(spark)}/online-{uuid.uuid4().hex}")
 
 
+def q_materialize_upsert(spark, sf):
+    """The online view after three updates by range: the newer half of the time, the older half, the newer half again."""
+    snapshots = _snapshots(spark, sf)
+    r = feat.feature_time_range(snapshots).first()
+    if r.total_records == 0:
+        return feat.latest_in_range(snapshots)
+    middle = r.min_time + (r.max_time - r.min_time) / 2
+    path = f"{ensure_checkpoint_dir(spark)}/online-{uuid.uuid4().hex}"
+    for start, end in ((middle, None), (None, middle), (middle, None)):
+        view = materialize_online(snapshots, path, start=start, end=end)
+    return view
+
+
 def q_scan_labels(spark, sf):
     """Labels from CSV files with another column order, one more column, labels such as ``1.0`` and some missing."""
     path = f"{ensure_checkpoint_dir(spark)}/labels-{uuid.uuid4().hex}"
@@ -343,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": q_quarantine,
     "feature_pipeline": q_feature_pipeline,
     "materialize": q_materialize,
+    "materialize_upsert": q_materialize_upsert,
     "scan_labels": q_scan_labels,
     "drop_null_labels": q_drop_null_labels,
     "session_boundaries": q_session_boundaries,

@@ -11,16 +11,18 @@ distinct type signatures of the files, and the final writes.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
-from ..context import Workspace, materialize
+from ..context import Workspace, _filesystem, materialize
 from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
 from ..sources.logs import footer_listing, has_files, scan_logs
+from ..sources.versions import VersionedTable
 
 
 @dataclass
@@ -68,10 +70,12 @@ def run_feature_pipeline(
     output_path: str,
     write_sessions: str | None = None,
     write_status: str | None = None,
+    versioned: bool = False,
 ) -> DataFrame | None:
     """Read every ``*.parquet`` under ``raw_dir``; write the account features
-    (snappy Parquet, overwrite), and the session and file status tables where
-    paths are given. Returns the written features.
+    (snappy Parquet, replaced), and the session and file status tables where
+    paths are given. Returns the written features. With ``versioned`` the
+    output is a ``VersionedTable``, in which earlier versions stay readable.
 
     Without input, or if no file passes, nothing but the status is written,
     an earlier output stays as it is, and the result is ``None``. A result
@@ -92,12 +96,36 @@ def run_feature_pipeline(
             return None
         if write_sessions:
             write_parquet(sessions, write_sessions)
-        write_parquet(feat.player_features(sessions), output_path)
+        players = feat.player_features(sessions)
+        if versioned:
+            table = VersionedTable(spark, output_path)
+            return table.read(table.replace(players)["version"])
+        write_parquet(players, output_path)
     return spark.read.parquet(output_path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """Replace the Parquet folder ``path``. It is written beside the earlier one first, so a write that fails leaves that as it was.
+
+    Between the two renames at the end a reader may find no folder; ``VersionedTable`` has no such moment and needs no renames.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    staged, fs = _filesystem(spark, f"{path.rstrip('/')}.staged-{mark}")
+    target, earlier = (_filesystem(spark, f"{path.rstrip('/')}{x}")[0] for x in ("", f".earlier-{mark}"))
+    try:
+        df.write.option("compression", "snappy").parquet(staged.toString())
+        had = fs.exists(target)
+        if had and not fs.rename(target, earlier):
+            raise OSError(f"cannot replace {path}")
+        if not fs.rename(staged, target):
+            if had:
+                fs.rename(earlier, target)
+            raise OSError(f"cannot write {path}")
+    except BaseException:
+        fs.delete(staged, True)
+        raise
+    if had:
+        fs.delete(earlier, True)
 
 
 def check_feature_contract(df: DataFrame, declared=S.ACCOUNT_FEATURES) -> list[str]:
@@ -114,8 +142,16 @@ def check_feature_contract(df: DataFrame, declared=S.ACCOUNT_FEATURES) -> list[s
     return problems
 
 
-def materialize_online(features: DataFrame, output_path: str) -> DataFrame:
-    """Write the online view: the newest feature row per account inside the
-    table's time range widened by one day (``latest_in_range``)."""
-    write_parquet(feat.latest_in_range(features), output_path)
-    return features.sparkSession.read.parquet(output_path)
+def materialize_online(features: DataFrame, output_path: str, start=None, end=None, buckets: int = 64) -> DataFrame:
+    """Bring the online view up to date: the newest feature row per account.
+
+    The rows are those of ``features`` with ``start <= time <= end``; without
+    bounds, of the table's time range widened by one day
+    (``latest_in_range``). They are merged by account into the view at
+    ``output_path`` (a ``VersionedTable``): a row replaces an older one, an
+    older range changes nothing, accounts outside the range stay.
+    """
+    bounded = start is not None or end is not None
+    rows = feat.latest_per_key(features, start=start, end=end) if bounded else feat.latest_in_range(features)
+    view = VersionedTable(features.sparkSession, output_path)
+    return view.read() if view.upsert(rows, S.KEY, S.EVENT_TIME, buckets) else rows

@@ -346,6 +346,7 @@ def oracle_sql() -> dict[str, str]:
         "quarantine": f"{w} SELECT {_LOG_COLS} FROM logs WHERE source_file IN (SELECT source_file FROM ok)",
         "feature_pipeline": f"{w} SELECT * FROM players",
         "materialize": f"{w} SELECT * FROM online",
+        "materialize_upsert": f"{w} SELECT * FROM online",
         "scan_labels": f"SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase'",
         "drop_null_labels": f"SELECT * FROM (SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase') l"
         " WHERE churn_yn IS NOT NULL",

@@ -1,0 +1,157 @@
+"""Versioned tables: whole commits, dying writers, upserts by key."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionsmith.plans.feature_pipeline import write_parquet
+from sessionsmith.sources.versions import VersionConflict, VersionedTable
+
+SCHEMA = "k string, t timestamp_ntz, v int, w string"
+
+
+def day(n):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def dying(spark):
+    """Rows whose write fails in a task, after other rows were written."""
+    return spark.range(0, 1000, 1, 4).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("the task dies"))).cast("bigint").alias("id"))
+
+
+def folders(path):
+    found = os.path.join(path, "data")
+    return {d for d in os.listdir(found) if not d.startswith(".")} if os.path.isdir(found) else set()
+
+
+def test_replace_and_earlier_versions(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.current() is None
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.replace(spark.range(5))["rows"] == 5
+    second = table.replace(spark.range(7))
+    assert (second["version"], second["rows"]) == (2, 7)
+    assert table.read().count() == 7 and table.read(1).count() == 5
+    assert table.replace(spark.range(0))["rows"] == 0 and table.read().count() == 0
+    assert table.read().columns == ["id"]
+
+
+def test_dying_write_leaves_the_earlier_version(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(5))
+    before = folders(table.path)
+    with pytest.raises(Exception, match="the task dies"):
+        table.replace(dying(spark))
+    assert table.versions() == [1] and table.read().count() == 5
+    assert folders(table.path) == before
+
+
+def test_dying_write_leaves_the_earlier_folder(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    write_parquet(spark.range(5), path)
+    with pytest.raises(Exception, match="the task dies"):
+        write_parquet(dying(spark), path)
+    assert spark.read.parquet(path).count() == 5
+    write_parquet(spark.read.parquet(path).where("id > 1"), path)  # from its own earlier rows
+    assert spark.read.parquet(path).count() == 3
+    assert [d for d in os.listdir(tmp_path) if not d.startswith(".")] == ["plain"]
+
+
+def test_half_a_manifest_does_not_count(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(5))
+    with open(os.path.join(table.path, "versions", "0000000002.json"), "w") as f:
+        f.write('{"version": 2, "rows"')
+    assert table.versions() == [1] and table.read().count() == 5
+    assert table.replace(spark.range(6))["version"] == 3 and table.read().count() == 6
+
+
+def test_second_of_two_writers_fails(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(5))
+    base = table.current()
+    table.replace(spark.range(6))
+    with pytest.raises(VersionConflict):
+        table._commit(base, spark.range(1).schema, {})
+    assert table.read().count() == 6
+
+
+def test_upsert_against_brute_force(spark, tmp_path):
+    """Any order of updates, with null keys, null times, equal times: the newest row of each key."""
+    rnd = random.Random(5)
+    table, want = VersionedTable(spark, str(tmp_path / "t")), {}
+    rank = lambda r: tuple((x is not None, x) if x is not None else (False,) for x in r[1:])
+    for _ in range(4):
+        keys = rnd.sample([None, *(f"k{i}" for i in range(60))], 25)
+        rows = [(k, rnd.choice([None, *(day(i) for i in range(6))]), rnd.choice([None, 1, 2]), rnd.choice(["a", "b", None])) for k in keys]
+        table.upsert(frame(spark, rows), "k", "t", buckets=8)
+        for r in rows:
+            if r[0] not in want or rank(r) > rank(want[r[0]]):
+                want[r[0]] = r
+        got = table.read()
+        assert rows_of(got) == sorted(want.values(), key=str)
+        assert got.columns == ["k", "t", "v", "w"] and table.current()["rows"] == len(want)
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.upsert(frame(spark, [(f"k{i}", day(5), i, "x") for i in range(100)]), "k", "t", buckets=16)
+    first = table.current()
+    assert len(first["parts"]) == 16 and first["rows"] == 100
+    # an older range changes nothing, and leaves nothing behind
+    before = folders(table.path)
+    assert table.upsert(frame(spark, [(f"k{i}", day(1), -i, "old") for i in range(100)]), "k", "t")["version"] == 1
+    assert folders(table.path) == before
+    # a newer one changes its keys only
+    newer = table.upsert(frame(spark, [("k3", day(6), 33, "y"), ("k4", day(2), 44, "y")]), "k", "t")
+    assert newer["version"] == 2 and newer["buckets"] == 16
+    assert sum(newer["parts"][b] != first["parts"][b] for b in first["parts"]) == 1
+    got = {r.k: r.v for r in table.read().collect()}
+    assert got == {**{f"k{i}": i for i in range(100)}, "k3": 33}
+    assert {r.k: r.v for r in table.read(1).collect()}["k3"] == 3
+    # an empty update, other columns
+    assert table.upsert(frame(spark, []), "k", "t")["version"] == 2
+    with pytest.raises(ValueError, match="other columns"):
+        table.upsert(frame(spark, []).drop("w"), "k", "t")
+    # forgetting versions keeps the folders that the newest one names
+    assert table.expire(keep=1) == 1 and table.versions() == [2]
+    assert table.read().count() == 100
+
+
+def test_empty_first_upsert(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.upsert(frame(spark, []), "k", "t") is None and table.current() is None
+    assert folders(table.path) == set()
+
+
+def test_odd_column_names(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    df = frame(spark, [("a", day(1), 1, "x")]).withColumnsRenamed({"v": "o", "w": "a.b"})
+    table.upsert(df, "k", "t", buckets=2)
+    table.upsert(df.withColumn("t", F.col("t") + F.expr("INTERVAL 1 DAY")), "k", "t")
+    assert [tuple(r) for r in table.read().collect()] == [("a", day(2), 1, "x")]
+
+
+def test_update_that_dies(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    good = spark.range(10).select("id", F.col("id").alias("t"))
+    table.upsert(good, "id", "t", buckets=4)
+    before = folders(table.path)
+    with pytest.raises(Exception, match="the task dies"):
+        table.upsert(dying(spark).withColumn("t", F.col("id") + 5), "id", "t")
+    assert table.versions() == [1] and folders(table.path) == before
+    assert table.read().agg(F.sum("t")).first()[0] == 45
