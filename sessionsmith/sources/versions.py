@@ -100,8 +100,12 @@ class VersionedTable:
             if fs.exists(file):
                 raise VersionConflict(f"{self.path}: version {number} is another writer's") from e
             raise
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
+        try:
+            out.write(bytearray(json.dumps(manifest).encode()))
+            out.close()
+        except BaseException:
+            fs.delete(file, False)  # the caller deletes the data, so no manifest may name them
+            raise
         return manifest
 
     def _delete(self, folder: str) -> None:
