@@ -8,15 +8,38 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionsmith.context import ensure_checkpoint_dir
+from sessionsmith.context import Workspace, default_workspace, ensure_checkpoint_dir
+
+_WORK: ContextVar[Workspace | None] = ContextVar("work", default=None)
+
+
+def workspace(spark: SparkSession) -> Workspace:
+    """What owns the tables written now: that of the enclosing ``scratch``, else the session's, for results that are read later (``release_materialized`` deletes them)."""
+    return _WORK.get() or default_workspace(spark)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Workspace]:
+    """Tables that operators write inside are deleted at its end, also after an error. A result must be written elsewhere before, as it reads them."""
+    with Workspace(spark) as work:
+        token = _WORK.set(work)
+        try:
+            yield work
+        finally:
+            _WORK.reset(token)
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
-    """A new path below the shared folder that ``spark.checkpoint.dir`` names."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    """A new path below the shared folder that ``spark.checkpoint.dir`` names. It belongs to the ``workspace``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    workspace(spark).paths.append(path)
+    return path
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -110,8 +110,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, key_bits: int = KEY_BITS, ro
 def folded(fps: DataFrame, radius: int, key_bits: int) -> Iterator[tuple[DataFrame, int, list[np.ndarray]]]:
     """Per level, the rows (fp, key) whose key isn't folded further, the mask of the positions fixed so far, and the flips of at most 0, 1, … ``radius`` of the others.
 
-    Values are counted per key from the fingerprints' own bits, before any row is sent. Folded keys are broadcast: they are
-    fewer than all values (a ball for each fingerprint) divided by ``VALUES_AT_ONCE``.
+    Values are counted per key from the fingerprints' own bits, before any row is sent. The list of folded keys
+    grows with the fingerprints (at most all values divided by ``VALUES_AT_ONCE``), so Spark joins it by its measured size, by shuffle beyond that.
     """
     step = BITS // key_bits
     inner = [p * step for p in range(key_bits)]
@@ -137,8 +137,8 @@ def folded(fps: DataFrame, radius: int, key_bits: int) -> Iterator[tuple[DataFra
         if hot is None or hot.isEmpty():
             yield sent.select("fp", "key"), fixed, rest
             return
-        yield sent.join(F.broadcast(hot), "key", "left_anti").select("fp", "key"), fixed, rest
-        rows = stored(sent.join(F.broadcast(hot), "key", "left_semi"))
+        yield sent.join(hot, "key", "left_anti").select("fp", "key"), fixed, rest
+        rows = stored(sent.join(hot, "key", "left_semi"))
 
 
 def signed(x: int) -> int:
