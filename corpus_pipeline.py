@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionsmith.context import Workspace, default_workspace
 from sessionsmith.llm import line_dedup, mixing, pieces, quality_rules, queries, simhash
-from sessionsmith.llm.common import stored, table
+from sessionsmith.llm.common import scratch, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -80,10 +81,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is a table in the shared folder that the next one reads."""
+    """All stages over ``documents``; each one's result is a table in the shared folder that the next one reads.
+
+    What a stage writes for itself is deleted when its result is written, a result when the next one is, all of it also after
+    an error. The rows returned read the last table; ``release_materialized`` deletes that one once they are used.
+    """
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+    with Workspace(spark) as results:
+        for _, stage in STAGES[:-1]:
+            with scratch(spark):
+                docs = results.materialize(stage(spark, docs, sf_dir))
+            newest = results.paths.pop()
+            results.release()
+            results.paths.append(newest)
+        last = STAGES[-1][1](spark, docs, sf_dir)
+        default_workspace(spark).paths.append(results.paths.pop())
+    return last
