@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sessionsmith.context import materialized_mark, release_materialized
 from sessionsmith.llm.common import stored
 from sessionsmith.llm.queries import ORACLES, QUERIES
 
@@ -53,6 +56,36 @@ def test_empty_documents(spark):
         assert docs.count() == 0
 
 
+def left_behind(spark):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    return {p for kind in ("llm", "tables", "warc") if (folder / kind).is_dir() for p in (folder / kind).iterdir()}
+
+
+def test_nothing_is_left_behind(spark, monkeypatch):
+    """A run keeps the one table that its rows read, until they are used; a failing one keeps none."""
+    before, mark = left_behind(spark), materialized_mark(spark)
+    result = corpus_pipeline.run(spark, SF)
+    assert len(left_behind(spark) - before) == 1 and result.count() > 0
+    assert release_materialized(spark, mark) == 1 and left_behind(spark) == before
+
+    def fails(spark, docs, sf_dir):
+        stored(docs)
+        raise RuntimeError("no")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], ("fails", fails), corpus_pipeline.STAGES[-1]])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, SF)
+    assert left_behind(spark) == before
+
+
+def test_archives_are_released(spark):
+    before, mark = left_behind(spark), materialized_mark(spark)
+    assert QUERIES["op1_warc_merge"](spark, SF).count() > 0
+    assert len(left_behind(spark) - before) > 1
+    release_materialized(spark, mark)
+    assert left_behind(spark) == before
+
+
 def test_run_is_repeatable(spark):
     a, b = (sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) for _ in range(2))
     assert a == b and 0 < len(a) <= spark.read.parquet(f"{SF}/documents.parquet").count()
