@@ -22,7 +22,7 @@ from ..operators import features as feat
 from ..operators import ml
 from ..operators import quality as q
 from ..operators import sessions as sess
-from ..sources.labels import scan_labels, write_metrics
+from ..sources.labels import accepted, checked_labels, rejects, scan_labels, write_metrics
 from ..sources.logs import read_label_view, read_log_view, read_table, write_log_files
 from . import train_pipeline as tp
 from .feature_pipeline import materialize_online, preprocess, preprocess_files, run_feature_pipeline
@@ -129,6 +129,32 @@ def q_scan_labels(spark, sf):
     return scan_labels(spark, path)
 
 
+def _ragged_labels(spark, sf) -> str:
+    """Label files in four folders, in which five rows of 17 are broken, each in its own way."""
+    path = f"{ensure_checkpoint_dir(spark)}/labels-{uuid.uuid4().hex}"
+    kind = F.pmod("event_id", F.lit(17))
+    time = F.when(kind == 2, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    label = F.when(kind == 3, "maybe").when(kind == 4, "0.5").when(kind == 5, "").when(F.col("value") < 20, "1").otherwise("0")
+    line = F.concat_ws(",", F.col("user_id").cast("string"), time, label)
+    line = F.when(kind == 0, line).when(kind == 1, F.concat(line, F.lit(",a,b"))).otherwise(F.concat(line, F.lit(",a")))
+    header = f"{S.KEY},{S.LABEL_TIME},{S.LABEL},note"
+    rows = read_table(spark, sf, "events").where("event_type = 'purchase'").select(line.alias(header), F.pmod("event_id", F.lit(4)).alias("batch"))
+    # A whole line is one value: its commas are not the separator of this write.
+    rows.write.partitionBy("batch").option("header", True).option("sep", "\u0001").csv(path)
+    return path
+
+
+def q_label_rejects(spark, sf):
+    """Broken rows of label files, with their folder and the reason."""
+    found = rejects(checked_labels(spark, _ragged_labels(spark, sf)))
+    return found.select(F.regexp_extract(S.FILE, "batch=([0-9]+)", 1).alias("batch"), "reason", "record")
+
+
+def q_labels_accepted(spark, sf):
+    """The labels of the other rows of those files."""
+    return accepted(checked_labels(spark, _ragged_labels(spark, sf)))
+
+
 def q_drop_null_labels(spark, sf):
     return ml.drop_null_labels(q_scan_labels(spark, sf))
 
@@ -190,6 +216,11 @@ def q_pit_join_ttl(spark, sf):
     return tp.pit_join(read_label_view(spark, sf), _snapshots(spark, sf), ttl_seconds=TTL_SECONDS)
 
 
+def q_pit_join_ranges(spark, sf):
+    """The point-in-time join as a prefix scan over ranges that the rows themselves cut."""
+    return tp.pit_join(read_label_view(spark, sf), _snapshots(spark, sf), by_ranges=True)
+
+
 def q_label_join(spark, sf):
     return tp.training_set(read_label_view(spark, sf), _snapshots(spark, sf))
 
@@ -358,6 +389,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialize": q_materialize,
     "materialize_upsert": q_materialize_upsert,
     "scan_labels": q_scan_labels,
+    "label_rejects": q_label_rejects,
+    "labels_accepted": q_labels_accepted,
     "drop_null_labels": q_drop_null_labels,
     "session_boundaries": q_session_boundaries,
     "session_starts": q_session_starts,
@@ -371,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_features": q_lookup_features,
     "pit_join": q_pit_join,
     "pit_join_ttl": q_pit_join_ttl,
+    "pit_join_ranges": q_pit_join_ranges,
     "label_join": q_label_join,
     "project_entity": q_project_entity,
     "label_distribution": q_label_distribution,

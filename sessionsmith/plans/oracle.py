@@ -285,6 +285,12 @@ _CSV_LABELS = (
     "CAST(user_id AS VARCHAR) AS actor_account_id, ts AS event_timestamp,"
     " CASE WHEN event_id % 13 <> 0 THEN CAST(value < 20 AS INTEGER) END AS churn_yn"
 )
+_RAGGED = """WITH parts AS (
+  SELECT event_id % 17 AS kind, CAST(event_id % 4 AS VARCHAR) AS batch, CAST(user_id AS VARCHAR) AS account, ts, value FROM events WHERE event_type = 'purchase'),
+texts AS (
+  SELECT *, CASE kind WHEN 2 THEN 'soon' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS time,
+         CASE kind WHEN 3 THEN 'maybe' WHEN 4 THEN '0.5' WHEN 5 THEN '' ELSE CAST(CAST(value < 20 AS INTEGER) AS VARCHAR) END AS label FROM parts)
+"""
 _LOG_COLS = "time, logid, session, log_detail_code, actor_account_id, actor_level, source_file"
 
 
@@ -348,6 +354,10 @@ def oracle_sql() -> dict[str, str]:
         "materialize": f"{w} SELECT * FROM online",
         "materialize_upsert": f"{w} SELECT * FROM online",
         "scan_labels": f"SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase'",
+        "label_rejects": f"""{_RAGGED} SELECT batch, CASE WHEN kind < 2 THEN 'fields' WHEN kind = 2 THEN 'time' ELSE 'label' END AS reason,
+            account || ',' || time || ',' || label || CASE kind WHEN 0 THEN '' WHEN 1 THEN ',a,b' ELSE ',a' END AS record FROM texts WHERE kind < 5""",
+        "labels_accepted": f"""{_RAGGED} SELECT account AS actor_account_id, ts AS event_timestamp, CASE WHEN kind <> 5 THEN CAST(value < 20 AS INTEGER) END AS churn_yn
+            FROM texts WHERE kind >= 5""",
         "drop_null_labels": f"SELECT * FROM (SELECT {_CSV_LABELS} FROM events WHERE event_type = 'purchase') l"
         " WHERE churn_yn IS NOT NULL",
         "topk": "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10",
@@ -393,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
         " FROM (SELECT DISTINCT actor_account_id FROM labels_v) i"
         " LEFT JOIN online o ON i.actor_account_id = o.actor_account_id",
         "pit_join": f"{w} SELECT * FROM pit",
+        "pit_join_ranges": f"{w} SELECT * FROM pit",
         "pit_join_ttl": f"{w} SELECT * FROM pit_ttl",
         "label_join": f"{w} SELECT * FROM pit WHERE churn_yn IS NOT NULL",
         "project_entity": f"{w} SELECT actor_account_id, event_timestamp FROM labels_v",

@@ -13,6 +13,7 @@ from .. import schema as S
 from ..context import Workspace, materialize
 from ..operators import ml
 from ..operators.asof import asof_join
+from ..operators.asof_ranges import asof_join_ranges
 from ..operators.features import lookup_features
 from ..sources.labels import write_metrics
 
@@ -26,6 +27,7 @@ def pit_join(
     feature_names=S.FEATURES,
     ttl_seconds: float | None = None,
     bucket_seconds: int = 86400,
+    by_ranges: bool = False,
 ) -> DataFrame:
     """Point-in-time features: for each entity row, the latest feature row of
     its key at or before the entity time (left: no match keeps nulls).
@@ -34,9 +36,11 @@ def pit_join(
     (key, time) rows stay one output row each. ``ttl_seconds`` (0 or None:
     no limit) drops matches older than the TTL. ``bucket_seconds`` is the
     width of the time buckets that split a key's window (narrower for keys
-    with many labels per day).
+    with many labels per day); ``by_ranges`` cuts by the rows instead
+    (``asof_join_ranges``), for keys with many labels within a minute.
     """
-    return asof_join(
+    join, cut = (asof_join_ranges, {}) if by_ranges else (asof_join, {"bucket_seconds": bucket_seconds})
+    return join(
         entities,
         features.select(key, feature_time, *feature_names),
         by=[key],
@@ -46,7 +50,7 @@ def pit_join(
         how="left",
         payload=list(feature_names),
         tolerance_seconds=ttl_seconds,
-        bucket_seconds=bucket_seconds,
+        **cut,
     )
 
 

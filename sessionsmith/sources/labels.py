@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from .logs import has_files
@@ -32,11 +33,11 @@ def read_raw_labels(spark: SparkSession, path: str, kind: str | None = None) ->
     return raw.select(*wanted)
 
 
-def typed_labels(raw: DataFrame) -> DataFrame:
+def typed_labels(raw: DataFrame, *others: str) -> DataFrame:
     """The key as text, the time as TIMESTAMP_NTZ (ISO-like text, with or
     without fraction, without the session time zone), the label as a whole
     number, also from ``1.0``. What does not parse becomes null;
-    ``label_issues`` counts it."""
+    ``label_issues`` counts it. The columns ``others`` stay beside them."""
     text = raw.schema[S.LABEL_TIME].dataType.simpleString() == "string"
     ts = F.col(S.LABEL_TIME)
     label = F.col(S.LABEL).try_cast("double")
@@ -44,6 +45,7 @@ def typed_labels(raw: DataFrame) -> DataFrame:
         F.col(S.KEY).cast("string").alias(S.KEY),
         (ts.try_cast("timestamp_ntz") if text else ts.cast("timestamp_ntz")).alias(S.LABEL_TIME),
         F.when(label == F.floor(label), label.cast("int")).alias(S.LABEL),
+        *others,
     )
 
 
@@ -52,6 +54,46 @@ def scan_labels(spark: SparkSession, path: str, kind: str | None = None) -> Data
     return typed_labels(read_raw_labels(spark, path, kind))
 
 
+def checked_labels(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of CSV labels, typed, with ``reason``, ``record`` and ``source_file``; ``accepted`` and ``rejects`` part them.
+
+    ``reason`` is the first that holds of ``fields`` (more or fewer than the
+    header has), ``time`` and ``label`` (there, but not a time, or not a
+    whole number), else null. An empty time or label is a null, not an
+    error. ``record`` is the row as text. One read finds all of it: Spark's
+    parser keeps rows it can't fit in a column of their own.
+    """
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").option("recursiveFileLookup", "true")
+    columns = reader.csv(path).columns
+    missing = [c for c in (S.KEY, S.LABEL_TIME, S.LABEL) if c not in columns]
+    if missing:
+        raise ValueError(f"labels in {path} lack the columns {missing}")
+    bad = "__bad_record"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, bad]])
+    # Without pruning, so that the number of fields is checked whichever columns a query asks for.
+    raw = reader.option("columnNameOfCorruptRecord", bad).option("columnPruning", "false").schema(schema).csv(path)
+    time, label = F.col(S.LABEL_TIME), F.col(S.LABEL)
+    number = label.try_cast("double")
+    reason = (
+        F.when(F.col(bad).isNotNull(), "fields")
+        .when(time.isNotNull() & time.try_cast("timestamp_ntz").isNull(), "time")
+        .when(label.isNotNull() & ~F.coalesce(number == F.floor(number), F.lit(False)), "label")
+    )
+    record = F.coalesce(bad, F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns])))
+    facts = raw.withColumns({"reason": reason, "record": record, S.FILE: F.col("_metadata.file_path")})
+    return typed_labels(facts, "reason", "record", S.FILE)
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The labels of the rows that have no reason against them, as ``scan_labels`` gives them."""
+    return checked.where("reason IS NULL").select(S.KEY, S.LABEL_TIME, S.LABEL)
+
+
+def rejects(checked: DataFrame) -> DataFrame:
+    """The rejects table: file, reason and the row as text."""
+    return checked.where("reason IS NOT NULL").select(S.FILE, "reason", "record")
+
+
 def label_issues(raw: DataFrame) -> DataFrame:
     """One row: rows, and how many have a time or a label that is there but does not parse, and no label at all."""
     text = raw.schema[S.LABEL_TIME].dataType.simpleString() == "string"

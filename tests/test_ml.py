@@ -239,6 +239,34 @@ def test_labels_by_name(spark, tmp_path):
         scan_labels(spark, str(tmp_path / "lacking.csv"))
 
 
+def test_broken_label_rows_go_to_a_rejects_table(spark, tmp_path):
+    """Too few and too many fields, bad times and labels, with file and text; the others are as scan_labels gives them, whichever columns are asked for."""
+    from sessionsmith.sources.labels import accepted, checked_labels, rejects, scan_labels
+
+    folder = tmp_path / "labels"
+    (folder / "day 2").mkdir(parents=True)
+    header = "churn_yn,a.note,actor_account_id,event_timestamp\n"
+    (folder / "one.csv").write_text(header + "1.0,a,17,2024-01-05 10:00:00\n1,b,18\n0,c,19,2024-01-05 10:00:00,d\n1,e,20,never\n,f,21,\n")
+    (folder / "day 2" / "two.csv").write_text(header + 'x,"g,h",22,2024-01-06\n0.5,,23,2024-01-06\nx,i,24,never\n0,j,25,2024-01-06\n')
+    checked = checked_labels(spark, str(folder))
+    got = sorted((r[S.FILE].rsplit("/", 1)[1], r.reason, r.record) for r in rejects(checked).collect())
+    assert got == [
+        ("one.csv", "fields", "0,c,19,2024-01-05 10:00:00,d"), ("one.csv", "fields", "1,b,18"), ("one.csv", "time", "1,e,20,never"),
+        ("two.csv", "label", "0.5,,23,2024-01-06"), ("two.csv", "label", 'x,"g,h",22,2024-01-06'), ("two.csv", "time", "x,i,24,never"),
+    ]
+    good = accepted(checked)
+    assert sorted(r[S.KEY] for r in good.select(S.KEY).collect()) == ["17", "21", "25"]
+    assert {r[S.KEY]: (r[S.LABEL_TIME], r[S.LABEL]) for r in good.collect()} == {
+        "17": (dt.datetime(2024, 1, 5, 10), 1), "21": (None, None), "25": (dt.datetime(2024, 1, 6), 0)}
+    assert good.schema == scan_labels(spark, str(folder / "one.csv")).schema
+    assert rejects(checked).select("reason").where("reason = 'fields'").count() == 2 and checked.count() == 9
+    (tmp_path / "empty.csv").write_text(header)
+    assert checked_labels(spark, str(tmp_path / "empty.csv")).count() == 0
+    (tmp_path / "lacking.csv").write_text("actor_account_id,churn_yn\n1,1\n")
+    with pytest.raises(ValueError, match="event_timestamp"):
+        checked_labels(spark, str(tmp_path / "lacking.csv"))
+
+
 @pytest.mark.parametrize("name", ["write_model", "batch_score_facts"])
 def test_model_queries_run_the_full_training(spark, monkeypatch, name):
     """Default rounds, with a validation set, so that patience and the best round are run."""

@@ -11,7 +11,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-@pytest.mark.parametrize(("mode", "share"), [("account", "0.25"), ("day", "0.15"), ("null", "0.15")])
+@pytest.mark.parametrize(("mode", "share"), [("account", "0.25"), ("day", "0.15"), ("null", "0.15"), ("minute", "0.15")])
 def test_hot_account_is_spread_over_tasks(mode, share):
     # own process: the check needs Spark's event log, set at session start
     run = subprocess.run(

@@ -11,7 +11,8 @@ Usage: python tools/skew_check.py [sf_dir] [cores] [max_share] [mode]
 With ``max_share`` (e.g. 0.25) the exit code is 1 when a shuffle stage of
 more than 1000 records gives one task a larger share than that. ``mode``
 ``day`` runs the point-in-time join alone, with a third of the label rows
-on one account and one day; ``null`` gives that third a null account.
+on one account and one day; ``null`` gives that third a null account;
+``minute`` puts it on one account within one minute and joins by ranges.
 """
 
 from __future__ import annotations
@@ -61,7 +62,8 @@ def main() -> None:
         labels = labels.withColumn(S.KEY, F.when(third, F.lit("-1")).otherwise(F.col(S.KEY)))
     else:
         snaps = materialize(feature_snapshots(preprocess(log_view(events)).sessions))
-        one_day = F.to_timestamp_ntz(F.concat(F.lit("2024-01-15 "), F.date_format(S.LABEL_TIME, "HH:mm:ss")))
+        clock = F.lit("12:30:") if mode == "minute" else F.date_format(S.LABEL_TIME, "HH:mm:")
+        one_day = F.to_timestamp_ntz(F.concat(F.lit("2024-01-15 "), clock, F.date_format(S.LABEL_TIME, "ss")))
         labels = labels.withColumn("hot", third).withColumns(
             {
                 S.KEY: F.when(F.col("hot"), F.lit(None if mode == "null" else "3").cast("string")).otherwise(F.col(S.KEY)),
@@ -72,7 +74,7 @@ def main() -> None:
         total, hot_rows = labels.count(), labels.where("hot").count()
     spark.sparkContext.setJobDescription("SKEW")
     started = time.time()
-    pit_join(labels, snaps).write.format("noop").mode("overwrite").save()
+    pit_join(labels, snaps, by_ranges=mode == "minute").write.format("noop").mode("overwrite").save()
     spark.stop()
     print(f"rows {total}, hot account rows {hot_rows} ({hot_rows / total:.0%})")
     worst = report(logdir, 0 if mode == "account" else started * 1000)
