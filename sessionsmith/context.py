@@ -60,24 +60,27 @@ def local_session(cores: int | str = "*", app: str = "sessionsmith", **conf: str
     return spark
 
 
-#: Set to true where ``file:`` paths are a mount that all executors share.
+#: Set to true where ``file:`` paths are a mount that all executors share; then no probe is made.
 SHARED_FILES = "spark.sessionsmith.sharedFileCheckpoint"
+#: Applications and their ``file:`` checkpoint folders that a probe found to be shared.
+_SHARED: set[tuple[str, str]] = set()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster the setting names a shared folder that survives executor
-    loss, so a ``file:`` path is refused there unless ``SHARED_FILES`` says
-    that it is a shared mount. A machine-local folder is only created for
-    local test sessions.
+    loss. A ``file:`` path may be a shared mount there or a disk of each
+    machine: it is refused unless ``SHARED_FILES`` says that it is shared or
+    a probe shows it (``_require_shared``). A machine-local folder is only
+    created for local test sessions.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         shared = sc.master.startswith("local") or sc.getConf().get(SHARED_FILES, "false").lower() == "true"
         if not shared and _scheme(spark, current) == "file":
-            raise RuntimeError(f"spark.checkpoint.dir is the local folder {current}; name a shared one, or set {SHARED_FILES}")
+            _require_shared(spark, current)
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
@@ -88,6 +91,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _require_shared(spark: SparkSession, path: str) -> None:
+    """Raise unless files that tasks write below ``path`` are there for the driver and for other tasks; found out once for each application.
+
+    Each core gets a task that writes a row. On disks of single machines the
+    driver finds no file of another machine, so rows are missing when the
+    table is read back. A probe that fails shows nothing, so it refuses too.
+    """
+    refused = RuntimeError(f"spark.checkpoint.dir is the local folder {path}; name a shared one, or set {SHARED_FILES}")
+    try:
+        place = (spark.sparkContext.applicationId, path)
+        if place in _SHARED:
+            return
+        tasks, probe = spark.sparkContext.defaultParallelism, f"{path.rstrip('/')}/probe-{uuid.uuid4().hex}"
+        folder, fs = _filesystem(spark, probe)
+        try:
+            spark.range(0, tasks, 1, tasks).write.parquet(probe)
+            found = spark.read.schema("id bigint").parquet(probe).count()
+        finally:
+            fs.delete(folder, True)
+    except Exception as exc:
+        raise refused from exc
+    if found != tasks:
+        raise refused
+    _SHARED.add(place)
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
