@@ -20,7 +20,8 @@ EVENTS = """SELECT range AS event_id, range % 12 * 7 AS user_id, TIMESTAMP '2024
 DOCUMENTS = """SELECT range AS doc_id, repeat('some words' || chr(10), (range * 7 % 40 + 1)::INT) AS text, 'en' AS lang, 's' AS source,
     (range * 7 % 40 + 1) * 11 AS n_chars FROM range(200)"""
 LABELS = "SELECT range AS doc_id, (range * 7 % 40 > 15)::INT AS quality, 0 AS toxic FROM range(200)"
-NAMES = """asof_forward assemble batch_score batch_score_facts drop_null_labels feature_pipeline feature_snapshots feature_time_range""".split()
+NAMES = """asof_forward assemble batch_score batch_score_facts drop_null_labels feature_pipeline feature_snapshots feature_time_range
+    file_status""".split()
 
 
 @pytest.fixture(scope="module")
