@@ -21,7 +21,8 @@ DOCUMENTS = """SELECT range AS doc_id, repeat('some words' || chr(10), (range *
     (range * 7 % 40 + 1) * 11 AS n_chars FROM range(200)"""
 LABELS = "SELECT range AS doc_id, (range * 7 % 40 > 15)::INT AS quality, 0 AS toxic FROM range(200)"
 NAMES = """asof_forward assemble batch_score batch_score_facts drop_null_labels feature_pipeline feature_snapshots feature_time_range
-    file_status grow_tree head_sample label_join label_rejects labels_accepted latest_per_key lookup_features materialize""".split()
+    file_status grow_tree head_sample label_join label_rejects labels_accepted latest_per_key lookup_features materialize
+    materialize_upsert""".split()
 
 
 @pytest.fixture(scope="module")
