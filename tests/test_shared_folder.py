@@ -22,7 +22,7 @@ DOCUMENTS = """SELECT range AS doc_id, repeat('some words' || chr(10), (range *
 LABELS = "SELECT range AS doc_id, (range * 7 % 40 > 15)::INT AS quality, 0 AS toxic FROM range(200)"
 NAMES = """asof_forward assemble batch_score batch_score_facts drop_null_labels feature_pipeline feature_snapshots feature_time_range
     file_status grow_tree head_sample label_join label_rejects labels_accepted latest_per_key lookup_features materialize
-    materialize_upsert pit_join pit_join_ranges pit_join_ttl player_features project_features""".split()
+    materialize_upsert pit_join pit_join_ranges pit_join_ttl player_features project_features row_counts""".split()
 
 
 @pytest.fixture(scope="module")
