@@ -83,6 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             _require_shared(spark, current)
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
+            if (sc.applicationId, current) in _SHARED:  # later calls find the folder that Spark has made in it
+                _SHARED.add((sc.applicationId, sc.getCheckpointDir()))
         return current
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

@@ -60,6 +60,18 @@ def test_probe_is_made_once_and_leaves_nothing(cluster, monkeypatch):
     assert context.ensure_checkpoint_dir(cluster) == folder
 
 
+def test_folder_that_spark_makes_is_not_probed_again(cluster, monkeypatch, tmp_path):
+    """The first query of an application finds the setting, the others the folder that Spark made below it."""
+    sc, made, probes, whole = cluster.sparkContext, [], [], type(cluster).range
+    conf = sc.getConf().set("spark.checkpoint.dir", str(tmp_path))
+    monkeypatch.setattr(sc, "getConf", lambda: conf)
+    monkeypatch.setattr(sc, "getCheckpointDir", lambda: made[0] if made else None)
+    monkeypatch.setattr(sc, "setCheckpointDir", lambda path: made.append(f"file:{path}/own"))
+    monkeypatch.setattr(type(cluster), "range", lambda *args: probes.append(args) or whole(*args))
+    assert [context.ensure_checkpoint_dir(cluster) for _ in range(3)] == [str(tmp_path), made[0], made[0]]
+    assert len(probes) == 1
+
+
 @pytest.mark.parametrize("lost", ["rows", "all"])
 def test_folder_of_one_machine_is_refused(cluster, monkeypatch, lost):
     from pyspark.sql.readwriter import DataFrameWriter
