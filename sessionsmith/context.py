@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 import weakref
 
 from pyspark.sql import SparkSession
@@ -72,25 +73,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared folder that survives executor
     loss. A ``file:`` path may be a shared mount there or a disk of each
     machine: it is refused unless ``SHARED_FILES`` says that it is shared or
-    a probe shows it (``_require_shared``). A machine-local folder is only
-    created for local test sessions.
+    a probe shows it (``_require_shared``). Where the setting is missing or
+    its folder is refused, a folder in the warehouse is used, which holds
+    tables for all machines; it is probed alike, and if it is no better the
+    error names the setting. A machine-local folder is only created for local
+    test sessions.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        shared = sc.master.startswith("local") or sc.getConf().get(SHARED_FILES, "false").lower() == "true"
+    local = sc.master.startswith("local")
+    if not current and local:
+        path = tempfile.mkdtemp(prefix="sessionsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        sc.setCheckpointDir(path)
+        return path
+    try:
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        shared = local or sc.getConf().get(SHARED_FILES, "false").lower() == "true"
         if not shared and _scheme(spark, current) == "file":
             _require_shared(spark, current)
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-            if (sc.applicationId, current) in _SHARED:  # later calls find the folder that Spark has made in it
-                _SHARED.add((sc.applicationId, sc.getCheckpointDir()))
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="sessionsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+        if sc.getCheckpointDir():
+            return current
+    except RuntimeError as refused:
+        try:
+            current = f"{_warehouse(spark).rstrip('/')}/sessionsmith-checkpoint"
+            if _scheme(spark, current) == "file":
+                _require_shared(spark, current)
+        except Exception:
+            raise refused from refused.__cause__
+        warnings.warn(f"{refused}; intermediate tables go to {current}", stacklevel=2)
+    sc.setCheckpointDir(current)
+    if (sc.applicationId, current) in _SHARED:  # later calls find the folder that Spark has made in it
+        _SHARED.add((sc.applicationId, sc.getCheckpointDir()))
+    return current
+
+
+def _warehouse(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir")
 
 
 def _require_shared(spark: SparkSession, path: str) -> None:

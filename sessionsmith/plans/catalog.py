@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..context import ensure_checkpoint_dir, materialize
+from ..context import _filesystem, ensure_checkpoint_dir, materialize
 from ..functions.expressions import level_from_key
 from ..operators import boosting
 from ..operators import features as feat
@@ -81,8 +81,12 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def _log_files(spark, sf) -> str:
-    """The log view written as one Parquet file per account, in the shared folder; once for each application and table folder."""
+    """The log view written as one Parquet file per account, in the shared folder; once for each application and table folder, again if somebody has deleted it."""
     place = (spark.sparkContext.applicationId, sf)
+    if place in _WRITTEN:
+        folder, fs = _filesystem(spark, _WRITTEN[place])
+        if not fs.exists(folder):
+            del _WRITTEN[place]
     if place not in _WRITTEN:
         path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
         write_log_files(read_log_view(spark, sf), path)
