@@ -14,7 +14,7 @@ from sessionsmith import context
 from sessionsmith.plans import catalog
 from tests.test_shared_folder import tables  # noqa: F401
 
-NAMES = ["batch_score_facts"]
+NAMES = """batch_score_facts feature_pipeline""".split()
 
 
 @pytest.fixture
