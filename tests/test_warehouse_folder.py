@@ -14,7 +14,8 @@ from sessionsmith import context
 from sessionsmith.plans import catalog
 from tests.test_shared_folder import tables  # noqa: F401
 
-NAMES = """batch_score_facts feature_pipeline drop_null_labels feature_snapshots feature_time_range file_status grow_tree head_sample""".split()
+NAMES = """batch_score_facts feature_pipeline drop_null_labels feature_snapshots feature_time_range file_status grow_tree head_sample
+    label_join""".split()
 
 
 @pytest.fixture
