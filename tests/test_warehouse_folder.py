@@ -16,7 +16,7 @@ from tests.test_shared_folder import tables  # noqa: F401
 
 NAMES = """batch_score_facts feature_pipeline drop_null_labels feature_snapshots feature_time_range file_status grow_tree head_sample
     label_join label_rejects labels_accepted latest_per_key materialize lookup_features materialize_upsert pit_join
-    pit_join_ranges pit_join_ttl player_features""".split()
+    pit_join_ranges pit_join_ttl player_features project_features""".split()
 
 
 @pytest.fixture
