@@ -224,6 +224,8 @@ def footer_facts(listing: DataFrame) -> DataFrame:
     first non-numeric column, read error, and the stored type of each T1
     column (``signature``), from the Parquet footer only (no data pages);
     and the path, so that the rows can be read by the same list.
-    Each task reads the footers of its share of the listing."""
+    Each task reads the footers of its share of the listing; eight tasks a
+    core at most, as a scan of many small files has one for a few of them."""
     reader = _footer_reader(list(S.RAW_COLUMNS), list(_NUMERIC_ORDER), S.FILE)
-    return listing.select(S.FILE, "path").mapInPandas(reader, schema=_FOOTER_SCHEMA)
+    tasks = 8 * listing.sparkSession.sparkContext.defaultParallelism
+    return listing.select(S.FILE, "path").coalesce(tasks).mapInPandas(reader, schema=_FOOTER_SCHEMA)

@@ -15,13 +15,14 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from .. import schema as S
 from ..context import Workspace, _filesystem, materialize
 from ..operators import features as feat
 from ..operators import quality as q
 from ..operators import sessions as sess
-from ..sources.logs import footer_listing, has_files, scan_logs
+from ..sources.logs import footer_listing, scan_logs
 from ..sources.versions import VersionedTable
 
 
@@ -57,11 +58,14 @@ def preprocess(
 
 
 def preprocess_files(spark: SparkSession, raw_dir: str, work: Workspace | None = None) -> Preprocessed | None:
-    """``preprocess`` of all files below ``raw_dir``: listing, footers (kept, so that no file is opened for them again), scan by stored types. ``None`` without files."""
-    if not has_files(spark, raw_dir):
+    """``preprocess`` of all files below ``raw_dir``: one listing, footers (kept, so that no file is opened for them again), scan by stored types. ``None`` without files."""
+    try:
+        listing = footer_listing(spark, raw_dir)
+    except AnalysisException:  # the folder is missing
         return None
-    footers = materialize(q.footer_facts(footer_listing(spark, raw_dir)), work)
-    return preprocess(scan_logs(spark, raw_dir, footers=footers), footers, work=work)
+    footers = materialize(q.footer_facts(listing), work)
+    logs = scan_logs(spark, raw_dir, footers=footers)
+    return None if logs is None else preprocess(logs, footers, work=work)
 
 
 def run_feature_pipeline(

@@ -9,6 +9,9 @@ and checked against SQL on the given data.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -18,6 +21,21 @@ from ..functions.expressions import format_time
 from .stores import store_opener
 
 
+#: Spark lists folders by so many tasks at most: one for each folder by default.
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """In this block Spark lists folders by eight tasks a core at most, each of which lists its share of them."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, min(int(before), 8 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """Distributed listing ``(source_file, path, length)`` of the input files, in subfolders too; no content is read.
 
@@ -25,18 +43,15 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataF
     characters encoded) and joins with it; ``path`` has the plain
     characters and opens the file.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias(S.FILE), "path", "length")
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    with _listing_tasks(spark):
+        found = reader.load(path)
+    return found.select(F.col("_metadata.file_path").alias(S.FILE), "path", "length")
 
 
 def has_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> bool:
     try:
-        return not list_files(spark, path, glob).isEmpty()
+        return bool(list_files(spark, path, glob).take(1))
     except AnalysisException:
         return False
 
@@ -71,9 +86,10 @@ def scan_logs(
     Only the declared columns are read. Rows that can't be read are missing
     here; validation compares each file's rows with its footer and reports
     the file as failed. Returns ``None`` when the folder is missing or holds
-    no matching file.
+    no matching file; with ``footers``, when they have no row: the folder is
+    not listed again.
     """
-    if not has_files(spark, path, glob):
+    if not (has_files(spark, path, glob) if footers is None else footers.take(1)):
         return None
     df = _read(spark, path, schema, glob) if footers is None else scan_files(footers, schema)
     return df if lineage else df.drop(S.FILE)
